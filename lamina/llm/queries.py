@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from lamina.llm import encode as enc
 from lamina.functions.text import real_sql
-from lamina.functions.uids import object_sql
+from lamina.functions.uids import object_of, object_sql
 from lamina.llm import leaks as lk
 from lamina.llm import sample as smp
 from lamina.llm import split as spl
 from lamina.llm import survivor as srv
+from lamina.llm import truncation as trn
 from lamina.session import table
 
 
@@ -33,6 +34,18 @@ def p2_records(spark: SparkSession, d: str) -> DataFrame:
     return srv.caption_survivors(table(spark, d, "captions"))
 
 
+def _p4(spark: SparkSession, d: str) -> DataFrame:
+    return trn.verdicts(table(spark, d, "captions"), "caption_id", "caption", "shard", object_of(F.col("uid")))
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return _p4(spark, d).filter("cut").select("caption_id").distinct()
+
+
+def p4_report(spark: SparkSession, d: str) -> DataFrame:
+    return trn.report(_p4(spark, d), "shard")
+
+
 def p6_ids(spark: SparkSession, d: str) -> DataFrame:
     return enc.encode(table(spark, d, "documents"))
 
@@ -77,6 +90,8 @@ QUERIES = {
     "p1_sample": p1_sample,
     "p2_found": p2_found,
     "p2_records": p2_records,
+    "p4_found": p4_found,
+    "p4_report": p4_report,
     "p6_ids": p6_ids,
     "p6_roundtrip": p6_roundtrip,
     "p7_found": p7_found,
