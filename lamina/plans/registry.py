@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from lamina.plans import general
+from lamina.plans import general, tabular
 
-MODULES = [general]
+MODULES = [general, tabular]
 
 
 def queries() -> dict:
