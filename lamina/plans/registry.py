@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from lamina.plans import general, tabular
+from lamina.plans import general, geometry, tabular
 
-MODULES = [general, tabular]
+MODULES = [general, tabular, geometry]
 
 
 def queries() -> dict:
