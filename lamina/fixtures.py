@@ -131,9 +131,10 @@ def fragments_sql(res: int) -> str:
     """CTEs from nv, mf and cam to zb: the nearest fragment of every pixel."""
     dot = lambda a: f"({a}x * (x - ox) + {a}y * (y - oy) + {a}z * (z - oz))"
     r = f"CAST({res} AS double)"
-    cols = ", ".join(f"{p}.px AS px{i}, {p}.py AS py{i}, {p}.depth AS depth{i}" for i, p in enumerate(("p0", "p1", "p2")))
-    return f"""pj AS (SELECT uid, view, vid, ({dot('r')} * CAST(0.5 AS double) + CAST(0.5 AS double)) * {r} AS px, (1 - ({dot('u')} * CAST(0.5 AS double) + CAST(0.5 AS double))) * {r} AS py, -{dot('k')} AS depth FROM nv CROSS JOIN cam),
-    tri AS (SELECT f.uid, p0.view, f.fid, {cols} FROM mf f JOIN pj p0 ON p0.uid = f.uid AND p0.vid = f.a JOIN pj p1 ON p1.uid = f.uid AND p1.vid = f.b AND p1.view = p0.view JOIN pj p2 ON p2.uid = f.uid AND p2.vid = f.c AND p2.view = p0.view),
+    return f"""pj AS MATERIALIZED (SELECT uid, view, vid, ({dot('r')} * CAST(0.5 AS double) + CAST(0.5 AS double)) * {r} AS px, (1 - ({dot('u')} * CAST(0.5 AS double) + CAST(0.5 AS double))) * {r} AS py, -{dot('k')} AS depth FROM nv CROSS JOIN cam),
+    t0 AS MATERIALIZED (SELECT f.*, p.view, p.px AS px0, p.py AS py0, p.depth AS depth0 FROM mf f JOIN pj p ON p.uid = f.uid AND p.vid = f.a),
+    t1 AS MATERIALIZED (SELECT f.*, p.px AS px1, p.py AS py1, p.depth AS depth1 FROM t0 f JOIN pj p ON p.uid = f.uid AND p.vid = f.b AND p.view = f.view),
+    tri AS MATERIALIZED (SELECT f.uid, f.view, f.fid, px0, py0, px1, py1, p.px AS px2, p.py AS py2, depth0, depth1, p.depth AS depth2 FROM t1 f JOIN pj p ON p.uid = f.uid AND p.vid = f.c AND p.view = f.view),
     {cells_sql(res, ['uid', 'view'], True, ', depth0, depth1, depth2')},
     zf AS (SELECT *, round(depth0 * b0 + depth1 * b1 + depth2 * b2, 9) AS z FROM frag),
     zb AS (SELECT uid, view, y, x, fid, b0, b1, b2, z FROM (SELECT *, row_number() OVER (PARTITION BY uid, view, y, x ORDER BY z, fid) AS n FROM zf) WHERE n = 1)"""

@@ -132,9 +132,9 @@ def ortho_camera(spark: SparkSession, d: str) -> DataFrame:
     return rounded(vw.camera_table(spark, vw.shape_cameras()), *vw.CAMERA_COLUMNS[1:])
 
 
-@query("ortho_zbuffer", f"WITH {_ZB} SELECT uid, view, y, x, fid, {r6('b0', 'b1', 'b2', 'z')} FROM zb")
+@query("ortho_zbuffer", f"WITH {_ZB} SELECT uid, view, y, x, fid, {r6('b0', 'b1', 'b2')} FROM zb")
 def ortho_zbuffer(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(_fragments(spark, d), "b0", "b1", "b2", "z")
+    return rounded(_fragments(spark, d).drop("z"), "b0", "b1", "b2")
 
 
 @query("faces_keep", f"WITH {fx.FIELD.replace('mf AS (', 'mf AS (SELECT * FROM (').replace('AND h.x < 63)', 'AND h.x < 63) WHERE fid % 2 = 0)')}, {fx.normalized_sql()}, {_BOX}, {fx.fragments_sql(VRES)} SELECT uid, view, count(*) AS covered, sum(fid)::bigint AS fids FROM zb GROUP BY uid, view")
@@ -153,8 +153,10 @@ def _render_sql(name: str, flip: bool) -> str:
 
 
 _UVZ = """dim AS (SELECT img, max(y) + 1 AS h, max(x) + 1 AS w FROM px GROUP BY img),
-uvz AS (SELECT z.*, t0.u * b0 + t1.u * b1 + t2.u * b2 AS u, t0.v * b0 + t1.v * b1 + t2.v * b2 AS v FROM zb z JOIN mf f ON f.uid = z.uid AND f.fid = z.fid
-  JOIN mt t0 ON t0.uid = f.uid AND t0.tid = f.a JOIN mt t1 ON t1.uid = f.uid AND t1.tid = f.b JOIN mt t2 ON t2.uid = f.uid AND t2.tid = f.c)"""
+uv0 AS MATERIALIZED (SELECT z.*, f.b, f.c, f.a FROM zb z JOIN mf f ON f.uid = z.uid AND f.fid = z.fid),
+uv1 AS MATERIALIZED (SELECT z.*, t.u * b0 AS u0, t.v * b0 AS v0 FROM uv0 z JOIN mt t ON t.uid = z.uid AND t.tid = z.a),
+uv2 AS MATERIALIZED (SELECT z.*, u0 + t.u * b1 AS u1, v0 + t.v * b1 AS v1 FROM uv1 z JOIN mt t ON t.uid = z.uid AND t.tid = z.b),
+uvz AS MATERIALIZED (SELECT z.*, u1 + t.u * b2 AS u, v1 + t.v * b2 AS v FROM uv2 z JOIN mt t ON t.uid = z.uid AND t.tid = z.c)"""
 _RENDER = f"{fx.PX}, {_ZB}, {_UVZ}, {_render_sql('rd', False)}, {_render_sql('rf', True)}"
 
 
@@ -186,8 +188,9 @@ _LIGHT = vw._unit(vw.KEY_LIGHT)
 @query(
     "render_shape",
     f"""WITH {fx.FIELD}, {fx.normalized_sql('sphere')}, {_SHAPE}, {fx.fragments_sql(VRES)},
-    e AS (SELECT f.uid, f.fid, p.x AS x0, p.y AS y0, p.z AS z0, q.x - p.x AS ax, q.y - p.y AS ay, q.z - p.z AS az, s.x - p.x AS bx, s.y - p.y AS by_, s.z - p.z AS bz FROM mf f
-      JOIN nv p ON p.uid = f.uid AND p.vid = f.a JOIN nv q ON q.uid = f.uid AND q.vid = f.b JOIN nv s ON s.uid = f.uid AND s.vid = f.c),
+    e0 AS MATERIALIZED (SELECT f.*, p.x AS x0, p.y AS y0, p.z AS z0 FROM mf f JOIN nv p ON p.uid = f.uid AND p.vid = f.a),
+    e1 AS MATERIALIZED (SELECT f.*, p.x - x0 AS ax, p.y - y0 AS ay, p.z - z0 AS az FROM e0 f JOIN nv p ON p.uid = f.uid AND p.vid = f.b),
+    e AS MATERIALIZED (SELECT f.*, p.x - x0 AS bx, p.y - y0 AS by_, p.z - z0 AS bz FROM e1 f JOIN nv p ON p.uid = f.uid AND p.vid = f.c),
     n AS (SELECT uid, fid, ay * bz - az * by_ AS nx, az * bx - ax * bz AS ny, ax * by_ - ay * bx AS nz FROM e),
     un AS (SELECT uid, fid, nx / greatest(sqrt(nx * nx + ny * ny + nz * nz), 1e-12) AS nx, ny / greatest(sqrt(nx * nx + ny * ny + nz * nz), 1e-12) AS ny, nz / greatest(sqrt(nx * nx + ny * ny + nz * nz), 1e-12) AS nz FROM n)
     SELECT z.uid, z.view, z.y, z.x, CAST(round_even(least(greatest(CAST(0.18 AS double) + abs(nx * kx + ny * ky + nz * kz) * CAST(0.45 AS double)
@@ -244,10 +247,10 @@ def _g8_views(spark: SparkSession, d: str) -> DataFrame:
     ref = canvas.join(direct, at, "left").select(*at, F.coalesce(F.least(F.col("r") + F.pmod(F.col("x") * 7 + F.col("y") * 3, F.lit(5)), F.lit(255)), F.lit(210)).alias("r"), F.coalesce(F.least(F.col("g") + F.pmod(F.col("x") * 5 + F.col("y"), F.lit(3)), F.lit(255)), F.lit(210)).alias("g"), F.coalesce("b", F.lit(210)).alias("b"))
     fg = vw.tile_foreground(ref.withColumns({"th": F.lit(VRES), "tw": F.lit(VRES)}), ["uid", "view"]).select(*at, "fg", *[F.col(c).alias(f"t{c}") for c in "rgb"])
     named = lambda df, p: df.select(*at, *[F.col(c).alias(f"{p}{c}") for c in "rgb"])
-    j = fg.join(named(direct, "d"), at, "left").join(named(flipped, "f"), at, "left")
+    j = fg.join(named(direct, "d"), at, "left").join(named(flipped, "m"), at, "left")
     alpha = F.col("dr").isNotNull()
     both = F.col("fg") & alpha
-    g = j.groupBy("uid", "view").agg(F.count_if(both).alias("i"), F.count_if(F.col("fg") | alpha).alias("u"), F.sum(F.when(both, pm.squared_error("d", "t"))).alias("se"), F.sum(F.when(both, pm.squared_error("f", "t"))).alias("sf"))
+    g = j.groupBy("uid", "view").agg(F.count_if(both).alias("i"), F.count_if(F.col("fg") | alpha).alias("u"), F.sum(F.when(both, pm.squared_error("d", "t"))).alias("se"), F.sum(F.when(both, pm.squared_error("m", "t"))).alias("sf"))
     samples = F.when(F.col("i") >= 100, F.col("i") * 3).otherwise(0)
     return g.select("uid", "view", F.round(F.col("i") / F.greatest("u", F.lit(1)), 4).alias("iou"), pm.psnr(F.col("se"), samples).alias("psnr"), pm.psnr(F.col("sf"), samples).alias("psnr_flip"))
 
