@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from lamina.plans import general, geometry, tabular
+from lamina.plans import general, geometry, sources, tabular
 
-MODULES = [general, tabular, geometry]
+MODULES = [general, tabular, geometry, sources]
 
 
 def queries() -> dict:

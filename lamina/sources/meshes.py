@@ -1,8 +1,14 @@
-"""Mesh sources and sinks."""
+"""Mesh sources and sinks: OBJ text as relations, GLB bytes through Arrow."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import json
+import struct
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -10,3 +16,171 @@ def format_of(path: Column) -> Column:
     """obj, gltf or unsupported, by the ending of the path."""
     s = F.lower(F.regexp_extract(path, r"(\.[A-Za-z0-9]+)\z", 1))
     return F.when(s == ".obj", "obj").when(s.isin(".glb", ".gltf"), "gltf").otherwise("unsupported")
+
+
+def polygon_fan(polygons: DataFrame, keys: list[str], corners: str) -> DataFrame:
+    """Triangles (0, k, k + 1) of each list of corners; lists of fewer than three have none."""
+    p = polygons.filter(F.size(corners) >= 3).withColumn("k", F.explode(F.sequence(F.lit(1), F.size(corners) - 2)))
+    at = lambda i: F.element_at(corners, i + 1)
+    return p.select(*keys, "k", at(F.lit(0)).alias("a"), at(F.col("k")).alias("b"), at(F.col("k") + 1).alias("c"))
+
+
+def _obj_lines(files: DataFrame) -> DataFrame:
+    """(uid, pos, tag, fields, nv, nt): lines of OBJ texts with the vertices and texture vertices up to each.
+
+    The tag ends at the first blank; indented and tabbed lines are no tags. Files are numbered by line, so a window
+    over one file counts what came before.
+    """
+    lines = files.select("uid", F.posexplode(F.split("content", "\r?\n")).alias("pos", "line")).filter("line <> '' and not startswith(line, '#')")
+    tag = F.substring_index("line", " ", 1)
+    rest = F.trim(F.regexp_replace(F.substring(F.col("line"), F.length(tag) + 2, F.length("line")), r"\s+", " "))
+    rows = lines.select("uid", "pos", tag.alias("tag"), F.split(rest, " ").alias("fields")).filter(F.col("tag").isin("v", "vt", "f"))
+    w = Window.partitionBy("uid").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    return rows.withColumns({"nv": F.count_if(F.col("tag") == "v").over(w), "nt": F.count_if(F.col("tag") == "vt").over(w)})
+
+
+def obj_scan(files: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(vertices, uv_vertices, faces) of OBJ texts (uid, content).
+
+    Polygons are fanned; indices below zero count back from the last vertex so far; v, v/vt, v//vn and v/vt/vn are
+    read; a texture vertex with one number has 0 as its second; the second runs down in the result. Texture
+    indices are null for a file unless every triangle has them.
+    """
+    rows = _obj_lines(files)
+    num = lambda i: F.element_at("fields", i).cast("double")
+    v = rows.filter("tag = 'v'").select("uid", (F.col("nv") - 1).alias("vid"), num(1).alias("x"), num(2).alias("y"), num(3).alias("z"))
+    second = F.when(F.size("fields") > 1, F.try_element_at("fields", F.lit(2)).cast("double")).otherwise(0.0)
+    t = rows.filter("tag = 'vt'").select("uid", (F.col("nt") - 1).alias("tid"), num(1).alias("u"), (F.lit(1.0) - second).alias("v"))
+
+    def index(part: int, seen: str):
+        def one(ref: Column) -> Column:
+            i = F.get(F.split(ref, "/"), F.lit(part))
+            n = F.when(i != "", i.cast("long"))
+            return F.when(n > 0, n - 1).otherwise(F.col(seen) + n)
+
+        return one
+
+    poly = rows.filter("tag = 'f' and size(fields) >= 3").select("uid", "pos", F.transform("fields", index(0, "nv")).alias("vi"), F.transform("fields", index(1, "nt")).alias("ti"))
+    fan = poly.withColumn("k", F.explode(F.sequence(F.lit(1), F.size("vi") - 2)))
+    at = lambda c, i: F.element_at(c, i + 1)
+    order = Window.partitionBy("uid").orderBy("pos", "k")
+    tri = fan.select(
+        "uid",
+        (F.row_number().over(order) - 1).cast("long").alias("fid"),
+        *[at("vi", i).alias(c) for c, i in (("a", F.lit(0)), ("b", F.col("k")), ("c", F.col("k") + 1))],
+        *[at("ti", i).alias(c) for c, i in (("ta", F.lit(0)), ("tb", F.col("k")), ("tc", F.col("k") + 1))],
+    )
+    whole = F.bool_and(F.col("ta").isNotNull() & F.col("tb").isNotNull() & F.col("tc").isNotNull()).over(Window.partitionBy("uid"))
+    f = tri.withColumn("_w", whole).select("uid", "fid", "a", "b", "c", *[F.when(F.col("_w"), F.col(c)).alias(c) for c in ("ta", "tb", "tc")])
+    return v, t, f
+
+
+def obj_lines(vertices: DataFrame, uv_vertices: DataFrame, faces: DataFrame) -> DataFrame:
+    """(uid, part, n, line): the lines of an OBJ file in order: vertices, texture vertices turned back up, faces from 1."""
+    six = lambda c: F.format_string("%.6f", F.bround(c, 6))  # noqa: E731  (halves to even, as C does)
+    v = vertices.select("uid", F.lit(0).alias("part"), F.col("vid").alias("n"), F.concat_ws(" ", F.lit("v"), six(F.col("x")), six(F.col("y")), six(F.col("z"))).alias("line"))
+    t = uv_vertices.select("uid", F.lit(1).alias("part"), F.col("tid").alias("n"), F.concat_ws(" ", F.lit("vt"), six(F.col("u")), six(F.lit(1.0) - F.col("v"))).alias("line"))
+    ref = lambda a, b: F.concat((F.col(a) + 1).cast("string"), F.lit("/"), (F.col(b) + 1).cast("string"))
+    f = faces.select("uid", F.lit(2).alias("part"), F.col("fid").alias("n"), F.concat_ws(" ", F.lit("f"), ref("a", "ta"), ref("b", "tb"), ref("c", "tc")).alias("line"))
+    return v.unionByName(t).unionByName(f)
+
+
+def obj_text(lines: DataFrame) -> DataFrame:
+    """(uid, content): one text per mesh."""
+    g = lines.groupBy("uid").agg(F.array_sort(F.collect_list(F.struct("part", "n", "line"))).alias("l"))
+    return g.select("uid", F.concat(F.array_join(F.transform("l", lambda s: s["line"]), "\n"), F.lit("\n")).alias("content"))
+
+
+#: Component types of binary glTF accessors, and components of their shapes.
+_KIND = {5120: "<i1", 5121: "<u1", 5122: "<i2", 5123: "<u2", 5125: "<u4", 5126: "<f4"}
+_WIDTH = {"SCALAR": 1, "VEC2": 2, "VEC3": 3, "VEC4": 4}
+
+
+def glb_chunks(data: bytes) -> tuple[dict, bytes]:
+    """JSON and binary chunk of a GLB file; anything else raises ValueError."""
+    if len(data) < 20 or data[:4] != b"glTF":
+        raise ValueError("no GLB file")
+    at, doc, body = 12, None, b""
+    while at + 8 <= len(data):
+        size, kind = struct.unpack_from("<II", data, at)
+        part = data[at + 8 : at + 8 + size]
+        if kind == 0x4E4F534A:
+            doc = json.loads(part)
+        elif kind == 0x004E4942 and not body:
+            body = part
+        at += 8 + size
+    if doc is None:
+        raise ValueError("GLB without JSON")
+    return doc, body
+
+
+def glb_accessor(doc: dict, body: bytes, i: int) -> np.ndarray:
+    """The numbers of an accessor, one row an element; strided views are honoured."""
+    a = doc["accessors"][i]
+    view = doc["bufferViews"][a["bufferView"]]
+    kind, width = np.dtype(_KIND[a["componentType"]]), _WIDTH[a["type"]]
+    start = view.get("byteOffset", 0) + a.get("byteOffset", 0)
+    step = view.get("byteStride") or kind.itemsize * width
+    return np.lib.stride_tricks.as_strided(np.frombuffer(body, np.uint8)[start:].view(np.uint8), (a["count"], kind.itemsize * width), (step, 1)).copy().view(kind).reshape(a["count"], width)
+
+
+def glb_primitives(data: bytes) -> list[tuple[np.ndarray, np.ndarray, np.ndarray | None]]:
+    """(positions, triangles, texture coordinates or None) of every triangle primitive. glTF's v runs down already."""
+    doc, body = glb_chunks(data)
+    out = []
+    for mesh in doc.get("meshes", []):
+        for p in mesh.get("primitives", []):
+            if p.get("mode", 4) != 4:
+                continue
+            pos = glb_accessor(doc, body, p["attributes"]["POSITION"]).astype(np.float64)
+            idx = glb_accessor(doc, body, p["indices"]).reshape(-1) if "indices" in p else np.arange(len(pos))
+            uv = glb_accessor(doc, body, p["attributes"]["TEXCOORD_0"]).astype(np.float64) if "TEXCOORD_0" in p["attributes"] else None
+            out.append((pos, idx.astype(np.int64).reshape(-1, 3), uv))
+    return out
+
+
+def has_texcoord(data: bytes) -> bool:
+    doc, _ = glb_chunks(data)
+    return any("TEXCOORD_0" in p.get("attributes", {}) for m in doc.get("meshes", []) for p in m.get("primitives", []))
+
+
+def glb_bytes(pos: np.ndarray, tri: np.ndarray, uv: np.ndarray | None) -> bytes:
+    """A GLB file of one primitive."""
+    parts = [pos.astype("<f4").tobytes(), tri.astype("<u4").tobytes()] + ([uv.astype("<f4").tobytes()] if uv is not None else [])
+    views, at = [], 0
+    for p in parts:
+        views.append({"buffer": 0, "byteOffset": at, "byteLength": len(p)})
+        at += len(p)
+    acc = [{"bufferView": 0, "componentType": 5126, "count": len(pos), "type": "VEC3"}, {"bufferView": 1, "componentType": 5125, "count": tri.size, "type": "SCALAR"}]
+    attr = {"POSITION": 0}
+    if uv is not None:
+        acc.append({"bufferView": 2, "componentType": 5126, "count": len(uv), "type": "VEC2"})
+        attr["TEXCOORD_0"] = 2
+    doc = json.dumps({"asset": {"version": "2.0"}, "buffers": [{"byteLength": at}], "bufferViews": views, "accessors": acc, "meshes": [{"primitives": [{"attributes": attr, "indices": 1}]}]}).encode()
+    doc += b" " * (-len(doc) % 4)
+    body = b"".join(parts)
+    body += b"\0" * (-len(body) % 4)
+    return b"glTF" + struct.pack("<II", 2, 12 + 8 + len(doc) + 8 + len(body)) + struct.pack("<II", len(doc), 0x4E4F534A) + doc + struct.pack("<II", len(body), 0x004E4942) + body
+
+
+def glb_scan(files: DataFrame) -> DataFrame:
+    """(uid, primitive, part, n, p, q, r): vertices (part v), texture coordinates (vt) and triangles (f) of GLB files (uid, content); unreadable files give one row of part error."""
+
+    def rows(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["uid", "primitive", "part", "n", "p", "q", "r"]
+        for b in it:
+            for uid, data in zip(b.column("uid"), b.column("content").to_pylist()):
+                try:
+                    prims = glb_primitives(data or b"")
+                except (ValueError, KeyError, IndexError, TypeError):
+                    yield pa.RecordBatch.from_arrays([pa.array([uid.as_py()], uid.type), pa.array([0], pa.int32()), pa.array(["error"]), pa.array([0], pa.int64()), *[pa.array([None], pa.float64())] * 3], names)
+                    continue
+                for i, (pos, tri, uv) in enumerate(prims):
+                    for part, m in (("v", pos), ("f", tri), ("vt", uv)):
+                        if m is None:
+                            continue
+                        m = np.column_stack([m, np.full((len(m), 3 - m.shape[1]), np.nan)]).astype(np.float64) if m.shape[1] < 3 else m.astype(np.float64)
+                        yield pa.RecordBatch.from_arrays([pa.repeat(uid, len(m)), pa.repeat(pa.scalar(i, pa.int32()), len(m)), pa.repeat(part, len(m)), pa.array(np.arange(len(m))), *[pa.array(m[:, k]) for k in range(3)]], names)
+
+    kind = files.schema["uid"].dataType.simpleString()
+    return files.select("uid", "content").mapInArrow(rows, f"uid {kind}, primitive int, part string, n long, p double, q double, r double")
