@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lamina.llm import bytebpe as B
+from lamina.session import settled
 
 
 def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.Array, pa.DictionaryArray, np.ndarray]]:
@@ -110,7 +111,8 @@ def token_table(spark, path: str = B.TOKENIZERS, name: str = "byte_bpe_50k") ->
 
 def decode(df: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", path: str = B.TOKENIZERS, name: str = "byte_bpe_50k") -> DataFrame:
     """(id_col, text): the bytes of each row's ids, joined from the token table in order. An empty or null list gives the empty text."""
-    rows = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{ids_col}`").alias("ids")).withColumn("row", F.monotonically_increasing_id())
+    # written once, so that the row numbers are the same in both branches
+    rows = settled(df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{ids_col}`").alias("ids")).withColumn("row", F.monotonically_increasing_id()), "ids")
     each = rows.select("row", F.posexplode("ids").alias("pos", "token"))
     parts = each.join(F.broadcast(token_table(df.sparkSession, path, name)), "token")
     whole = parts.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("pos", F.hex("bytes").alias("h")))).alias("p"))

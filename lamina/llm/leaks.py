@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lamina.llm import bytebpe as B
+from lamina.session import settled
 
 SEED = 4
 LEAST = 12
@@ -278,7 +279,7 @@ def leaks(docs: DataFrame, items: DataFrame, doc_col: str = "doc_id", item_col:
     """
     spark = docs.sparkSession
     kind, ikind = docs.schema[doc_col].dataType.simpleString(), items.schema[item_col].dataType.simpleString()
-    seeds = item_seeds(items, item_col, text_col)
+    seeds = settled(item_seeds(items, item_col, text_col), "seeds")
     total = seeds.count()
     blocks = -(-total * 5 // (4 * most_seeds)) if total > most_seeds else 1
     src = docs.select(F.col(f"`{doc_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
