@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lamina.functions.text import is_stand_in
+from lamina.session import settled
 
 #: Names an unmeasured list may hold.
 GATE_NAMES = ["g1_ref_dark", "g3", "g4", "g5", "g6", "g7", "g8"]
@@ -127,7 +128,7 @@ def value_drift(hist: DataFrame, totals: DataFrame, percent: int = 25, ranges: i
 
 def drifting_loads(df: DataFrame, rules: list[Rule], null_percent: int = 15, gap_percent: int = 25) -> DataFrame:
     """Loads that differ from the load before, as (load_id, column_name). All rows count as stored; the first load has none before."""
-    hist = histogram(df, rules)
+    hist = settled(histogram(df, rules), "histogram")
     totals = load_totals(hist)
     return null_drift(totals, null_percent).unionByName(value_drift(hist, totals, gap_percent)).distinct()
 
