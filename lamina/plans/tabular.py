@@ -339,10 +339,10 @@ def render_override(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    "albedo_ratio",
+    "g3_albedo_ratio",
     f"SELECT measurement_id, round(g8_psnr / nullif(g8_psnr_flip, 0), 4) AS ratio, CASE WHEN coalesce(g8_psnr_flip, 0) = 0 THEN 'no visible albedo' ELSE '' END AS note FROM {_ONCE} WHERE NOT isnan(coalesce(g8_psnr, 0)) AND NOT isnan(coalesce(g8_psnr_flip, 0)) AND NOT isinf(coalesce(g8_psnr, 0)) AND NOT isinf(coalesce(g8_psnr_flip, 0))",
 )
-def albedo_ratio(spark: SparkSession, d: str) -> DataFrame:
+def g3_albedo_ratio(spark: SparkSession, d: str) -> DataFrame:
     from lamina.operators.measures import albedo_ratio as ratio
 
     finite = lambda c: ~F.isnan(F.coalesce(c, F.lit(0.0))) & ~F.coalesce(F.abs(c) == float("inf"), F.lit(False))

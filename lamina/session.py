@@ -34,6 +34,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 _LOCAL: list[str] = []
+_WRITTEN: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -55,7 +56,18 @@ def shared_dir(spark: SparkSession) -> str:
 
 def shared_table(spark: SparkSession, label: str) -> str:
     """A fresh path in the shared folder."""
-    return f"{shared_dir(spark)}/lamina/{label}-{uuid.uuid4().hex}"
+    at = f"{shared_dir(spark)}/lamina/{label}-{uuid.uuid4().hex}"
+    _WRITTEN.append(at)
+    return at
+
+
+def forget(spark: SparkSession) -> int:
+    """Deletes the shared tables this process wrote; call it when no frame that reads them is needed any more."""
+    n = len(_WRITTEN)
+    while _WRITTEN:
+        fs, p = hadoop_path(spark, _WRITTEN.pop())
+        fs.delete(p, True)
+    return n
 
 
 def settled(df: DataFrame, label: str) -> DataFrame:
