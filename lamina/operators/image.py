@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lamina.session import fits
+
 #: Fixed value: what a digest of delivered bytes starts with.
 DIGEST_PREFIX = "delivered-v1|"
 
@@ -144,16 +146,24 @@ def sizes(pixels: DataFrame) -> DataFrame:
 def resized(pixels: DataFrame, size: int, kernel: str = "lanczos") -> DataFrame:
     """Each image at size x size: two passes of a join with the weights of its own height and width, rounded to bytes in between.
 
-    The weights are a table by distinct image size, broadcast: at most (sizes) x size x kernel width rows.
+    The weights are a table by distinct image size, made where it is needed; it is broadcast for up to 64 sizes.
     """
-    spark = pixels.sparkSession
     dims = sizes(pixels)
-    distinct = sorted({n for r in dims.select("h", "w").distinct().collect() for n in r})
-    weights = spark.createDataFrame([w for n in distinct for w in kernel_weights(n, size, kernel)] or [(0, 0, 0, 0)], "n int, dst int, src int, k long")
+    distinct = dims.select(F.explode(F.array("h", "w")).alias("n")).distinct()
+
+    def rows(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in it:
+            for n in b.column("n").to_pylist():
+                cols = list(zip(*kernel_weights(n, size, kernel)))
+                yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.int32()) for c in cols[:3]], pa.array(cols[3], pa.int64())], ["n", "dst", "src", "k"])
+
+    weights = distinct.mapInArrow(rows, "n int, dst int, src int, k long")
+    if fits(distinct, 64):
+        weights = F.broadcast(weights)
     byte = lambda c: F.least(F.greatest(F.shiftright(F.sum(F.col(c).cast("long") * F.col("k")) + F.lit(1 << 21), 22), F.lit(0)), F.lit(255)).cast("int").alias(c)
     p = pixels.join(dims, "img")
-    wide = p.join(F.broadcast(weights), (p.w == weights.n) & (p.x == weights.src)).groupBy("img", "h", "y", "dst").agg(*[byte(c) for c in "rgb"]).withColumnRenamed("dst", "nx")
-    tall = wide.join(F.broadcast(weights), (wide.h == weights.n) & (wide.y == weights.src)).groupBy("img", "dst", "nx").agg(*[byte(c) for c in "rgb"])
+    wide = p.join(weights, (p.w == weights.n) & (p.x == weights.src)).groupBy("img", "h", "y", "dst").agg(*[byte(c) for c in "rgb"]).withColumnRenamed("dst", "nx")
+    tall = wide.join(weights, (wide.h == weights.n) & (wide.y == weights.src)).groupBy("img", "dst", "nx").agg(*[byte(c) for c in "rgb"])
     return tall.select("img", F.col("dst").alias("y"), F.col("nx").alias("x"), "r", "g", "b")
 
 

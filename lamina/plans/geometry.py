@@ -438,7 +438,7 @@ def g1_ref_dark(spark: SparkSession, d: str) -> DataFrame:
     "measurement_row",
     f"""WITH {_BLOBS}, {_FULL}, {_RC}, a AS ({SQL['g1_dark_frac'].replace(f'WITH {fx.PX}', '')}), b AS (SELECT img, round(max(n) / sum(n), 3) AS g1_max_blob FROM sz GROUP BY img), c AS ({SQL['ring_consistency'].split(_RC)[1]})
     SELECT img, g1_dark_frac, g1_valid_texels, coalesce(g1_max_blob, 0) AS g1_max_blob, ring_texels, CASE WHEN ring_difference > 0 OR far_background > 0 THEN 'margin kernel post-condition violated' END AS error,
-      ['g1_ref_dark', 'g3', 'g4', 'g5', 'g6', 'g7', 'g8'] AS unmeasured FROM a JOIN c USING (img) LEFT JOIN b USING (img)""",
+      'g1_ref_dark g3 g4 g5 g6 g7 g8' AS unmeasured FROM a JOIN c USING (img) LEFT JOIN b USING (img)""",
 )
 def measurement_row(spark: SparkSession, d: str) -> DataFrame:
     from lamina.operators.measures import unmeasured
@@ -447,4 +447,4 @@ def measurement_row(spark: SparkSession, d: str) -> DataFrame:
     rows = pm.dark_coverage(px, grid).join(im.ring_consistency(px, grid), "img").join(pm.dark_blobs(px, grid).select("img", "g1_max_blob"), "img", "left")
     error = F.when((F.col("ring_difference") > 0) | (F.col("far_background") > 0), "margin kernel post-condition violated")
     none = F.lit(None).cast("double")
-    return rows.select("img", "g1_dark_frac", "g1_valid_texels", F.coalesce("g1_max_blob", F.lit(0.0)).alias("g1_max_blob"), "ring_texels", error.alias("error"), unmeasured({g: none for g in ("g1_ref_dark", "g3", "g4", "g5", "g6", "g7", "g8")}).alias("unmeasured"))
+    return rows.select("img", "g1_dark_frac", "g1_valid_texels", F.coalesce("g1_max_blob", F.lit(0.0)).alias("g1_max_blob"), "ring_texels", error.alias("error"), F.array_join(unmeasured({g: none for g in ("g1_ref_dark", "g3", "g4", "g5", "g6", "g7", "g8")}), " ").alias("unmeasured"))

@@ -490,14 +490,14 @@ def worker_plan(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "prepared_record",
-    """SELECT prepared_id, list_filter([CASE WHEN uv_out_of_range THEN 'layout outside [0, 1], replaced' END, CASE WHEN lower(trim(uv_source)) = 'xatlas' THEN 'layout made here' END,
-      CASE WHEN overlap_texels > 0 THEN concat(overlap_texels, ' texels claimed twice') END, CASE WHEN occupancy < 0.05 THEN 'layout covers little of the atlas' END], lambda x: x IS NOT NULL) AS notes
+    """SELECT prepared_id, array_to_string(list_filter([CASE WHEN uv_out_of_range THEN 'layout outside [0, 1], replaced' END, CASE WHEN lower(trim(uv_source)) = 'xatlas' THEN 'layout made here' END,
+      CASE WHEN overlap_texels > 0 THEN concat(overlap_texels, ' texels claimed twice') END, CASE WHEN occupancy < 0.05 THEN 'layout covers little of the atlas' END], lambda x: x IS NOT NULL), '; ') AS notes
     FROM (SELECT DISTINCT ON (prepared_id) * FROM prepared)""",
 )
 def prepared_record(spark: SparkSession, d: str) -> DataFrame:
     from lamina.operators.measures import preparation_notes
 
-    return table(spark, d, "prepared").dropDuplicates(["prepared_id"]).select("prepared_id", preparation_notes().alias("notes"))
+    return table(spark, d, "prepared").dropDuplicates(["prepared_id"]).select("prepared_id", F.array_join(preparation_notes(), "; ").alias("notes"))
 
 
 @query("uv_source", "SELECT DISTINCT prepared_id, coalesce(nullif(lower(trim(uv_source)), ''), 'grid') AS uv_source FROM prepared")
