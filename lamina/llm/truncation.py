@@ -2,8 +2,10 @@
 
 A stack automaton reads each text: brackets, quotes and markup left open, escapes and multibyte sequences broken
 at the end, marks of omission. What it leaves open is held against the corpus: how often the last word, after
-the word before it, is followed by a gap (comma, stop, end of text) in all other texts. Last, lengths at which a
-source piles up unfinished texts are its limits; there, a text needs a terminator or a closing phrase.
+the word before it, is followed by a gap (comma, stop, end of text) elsewhere; ends without a stop count only from
+other sources, so that a source cannot vouch for its own cuts. Last, lengths at which a source piles up unfinished
+texts, and ranges of lengths that a limit at whole words leaves, are its limits; there, a text needs a terminator or
+a closing phrase.
 """
 
 from __future__ import annotations
@@ -28,6 +30,8 @@ OMITTED = re.compile(r"(?:…|\.\.\.?|\[(?:…|\.\.\.|truncated|cut)\]|\((?:…|
 BROKEN_END = re.compile(r"(?:\ufffd+|\\(?:u[0-9a-fA-F]{0,3}|x[0-9a-fA-F]?|U[0-9a-fA-F]{0,7})?|&(?:a|am|amp|ap|apo|apos|lt?|gt?|q|qu|quo|quot|n|nb|nbs|nbsp|#[0-9]{0,6}|#x[0-9A-Fa-f]{0,5})?|</?[A-Za-z][^<>]*|[\ud800-\udfff])\Z")
 GAP = re.compile(r"[,.;:!?…)\]}。！？、，；：）】]")
 LONGEST_WORD = 64
+#: Lengths below a limit at which a text may end that is cut back to whole words.
+SPAN = 12
 #: Words of a text that may be a bare name.
 BRIEF = 4
 
@@ -101,7 +105,7 @@ def _scan(id_type: pa.DataType | None = None):
                 before.append(steps[-1][0] if steps else "^")
                 word.append(steps[-1][1] if steps else "")
                 brief.append(0 < len(steps) <= BRIEF and not any(gap for _, _, gap in steps))
-            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("source"), pa.array([len(t) for t in texts], pa.int32()), pa.array(state, pa.int32()), pa.array(before, pa.string()), pa.array(word, pa.string()), pa.array(brief)], ["id", "source", "size", "state", "before", "word", "brief"])
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("source"), b.column("copy"), pa.array([len(t) for t in texts], pa.int32()), pa.array(state, pa.int32()), pa.array(before, pa.string()), pa.array(word, pa.string()), pa.array(brief)], ["id", "source", "copy", "size", "state", "before", "word", "brief"])
 
     return rows
 
@@ -126,9 +130,29 @@ def _steps(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), *[pa.array([c[k] for k in keys], pa.int64()) for c in (n, gaps, ends)]], ["before", "word", "n", "gaps", "ends"])
 
 
-def _finished(n: Column, gaps: Column, ends: Column) -> Column:
-    """Share of all other occurrences that are followed by a gap, smoothed."""
-    return (gaps + ends - 1 + 0.05) / n
+def _finished(n: Column, gaps: Column, ends: Column, own: Column) -> Column:
+    """Share of the occurrences that are followed by a gap, smoothed, without the `own` ends."""
+    return (gaps + ends - own + 0.05) / (n - own + 1)
+
+
+def _ranges(rows: DataFrame) -> DataFrame:
+    """(source, size, limit): sizes that a limit at whole words leaves, up to SPAN below it; of several limits the least.
+
+    There a source has twice as many texts without a terminator as in the spans below and above, two in five of them
+    are cut by their last word, three times the share of its other lengths, and so many more than expected look
+    whole that most of these are cut as well. Bare names are left out: their lengths lie close together by nature.
+    rows are those at no exact limit.
+    """
+    loose = (F.col("state") != DONE) & ~F.col("brief")
+    left = loose & ~F.col("cut") & ~F.col("closing")
+    count = lambda c: F.sum(c.cast("int"))
+    sizes = rows.groupBy("source", "size").agg(count(loose).alias("loose"), count(loose & F.col("cut")).alias("cuts"), count(left).alias("left"))
+    at = Window.partitionBy("source").orderBy("size")
+    span = lambda c, a, b: F.coalesce(F.sum(c).over(at.rangeBetween(a, b)), F.lit(0))
+    w = sizes.select("source", "size", *[span(c, 1 - SPAN, 0).alias(c) for c in ("loose", "cuts", "left")], *[F.greatest(span(c, 1 - 2 * SPAN, -SPAN), span(c, 1, SPAN)).alias(f"{c}_near") for c in ("loose", "left")], *[F.sum(c).over(Window.partitionBy("source")).alias(f"{c}_all") for c in ("loose", "cuts")])
+    other = F.col("loose_all") - F.col("loose")
+    found = w.filter((F.col("loose") >= 25) & (F.col("loose") >= 2 * F.col("loose_near")) & (F.col("cuts") * 5 >= F.col("loose") * 2) & (F.col("cuts") * other >= 3 * (F.col("cuts_all") - F.col("cuts")) * F.col("loose")) & (F.col("left") >= 2 * F.col("left_near")))
+    return found.select("source", F.col("size").alias("limit"), F.explode(F.sequence(F.col("size") - SPAN + 1, F.col("size"))).alias("size")).groupBy("source", "size").agg(F.min("limit").alias("limit"))
 
 
 def verdicts(df: DataFrame, id_col: str, text_col: str, source_col: str, subject: Column, least_share: float = 0.012, enough: int = 12, few: int = 5) -> DataFrame:
@@ -136,12 +160,14 @@ def verdicts(df: DataFrame, id_col: str, text_col: str, source_col: str, subject
 
     `subject` is what a text is about: a text that was copied for one subject counts once in the statistics.
     Null, blank and stand-in texts are left out. `state` is the automaton's; `limit` the length at which the
-    source cuts, where the text has just that length; `cut` the verdict. A null source is a source of its own.
+    source cuts, where the text has just that length or one that whole words leave below it; `cut` the verdict. A
+    null source is a source of its own. A source with more than two thirds of the texts has too few others beside it
+    and is held against all texts.
     """
     real = df.filter(is_real(F.col(text_col))).select(F.col(id_col).alias("id"), F.coalesce(F.col(source_col), F.lit("")).alias("source"), F.col(text_col).alias("text"), subject.alias("subject"))
-    src = real.select("id", "source", "text").distinct()
+    src = real.groupBy("id", "source", "text").agg(F.min(F.xxhash64("subject", "text")).alias("copy"))
     kind = src.schema["id"].dataType.simpleString()
-    rows = settled(src.mapInArrow(_scan(), f"id {kind}, source string, size int, state int, before string, word string, brief boolean"), "tails")
+    rows = settled(src.mapInArrow(_scan(), f"id {kind}, source string, copy long, size int, state int, before string, word string, brief boolean"), "tails")
     sums = [F.sum(c).alias(c) for c in ("n", "gaps", "ends")]
     pairs = settled(real.select("subject", "text").distinct().select("text").mapInArrow(_steps, "before string, word string, n long, gaps long, ends long").groupBy("before", "word").agg(*sums), "steps")
     single = pairs.groupBy("word").agg(*sums)
@@ -158,33 +184,44 @@ def verdicts(df: DataFrame, id_col: str, text_col: str, source_col: str, subject
     goes_on = pairs.filter(~F.col("before").startswith("^")).join(F.broadcast(joining), "word", "left").groupBy(F.col("before").alias("word")).agg(F.sum("n").alias("on"), F.sum(F.coalesce("joins", F.lit(0)) * F.col("n")).alias("joined"))
     nouns = goes_on.filter((F.col("on") >= few) & (F.col("joined") * 10 >= F.col("on") * 7)).select("word", F.lit(True).alias("noun"))
 
-    tails = rows.filter(F.col("state") == OPEN).select("before", "word", "brief").distinct().join(F.broadcast(frequent), "before", "left").select("before", "word", "brief", group)
+    # ends of a source, each text once for a subject; they are no evidence about the source itself
+    per = rows.groupBy("source").agg(F.count("*").alias("texts"))
+    texts = per.agg(F.coalesce(F.sum("texts"), F.lit(0))).first()[0]
+    alone = per.filter(F.col("texts") * 3 > 2 * texts).select("source", F.lit(True).alias("alone"))
+    ends = rows.filter(F.col("state") == OPEN).select("source", "copy", "before", "word").distinct().groupBy("source", "before", "word").agg(F.count("*").alias("own"))
+    ends = ends.join(F.broadcast(frequent), "before", "left").select("source", "before", "word", group, "own")
+
+    tails = rows.filter(F.col("state") == OPEN).select("source", "before", "word", "brief").distinct().join(F.broadcast(frequent), "before", "left").select("source", "before", "word", "brief", group).join(F.broadcast(alone), "source", "left")
     for name, stats, on in (("p", pairs, ["before", "word"]), ("g", grouped, ["group", "word"]), ("w", single, ["word"])):
-        tails = tails.join(stats.select(*on, F.col("n").alias(f"{name}_n"), _finished(F.col("n"), F.col("gaps"), F.col("ends")).alias(f"{name}_share"), F.col("ends").alias(f"{name}_ends")), on, "left")
+        own = ends.groupBy("source", *on).agg(F.sum("own").alias("own"))
+        tails = tails.join(stats.select(*on, "n", "gaps", "ends"), on, "left").join(own, ["source", *on], "left").withColumn("own", F.when(F.coalesce("alone", F.lit(False)), 1).otherwise(F.col("own")))
+        share = _finished(F.col("n"), F.col("gaps"), F.col("ends"), F.col("own"))
+        tails = tails.withColumns({f"{name}_n": F.col("n"), f"{name}_ends": F.col("ends"), f"{name}_own": F.col("own"), f"{name}_share": share}).drop("n", "gaps", "ends", "own")
     tails = tails.join(starts, "word", "left").join(nouns, "word", "left")
-    known = lambda a: F.coalesce(F.col(f"{a}_n") - 1, F.lit(0)) >= enough
+    known = lambda a: F.coalesce(F.col(f"{a}_n") - F.col(f"{a}_own"), F.lit(0)) >= enough
     stump = F.col("longer").isNotNull() & ((F.col("w_n") - 1 < few) | ((F.col("w_n") == F.col("w_ends")) & (F.col("longer") > F.col("w_n"))))
     unfinished = (
         F.when(F.col("brief") & F.col("noun"), False)
-        .when((F.col("w_n") >= 500) & (F.col("w_share") < least_share / 3), True)
+        .when((F.col("w_n") - F.col("w_own") >= 500) & (F.col("w_share") < least_share / 3), True)
         .when(stump, True)
         .when(known("p"), F.col("p_share") < least_share)
         .when(known("g"), F.col("g_share") < least_share)
-        .when(F.col("w_n") - 1 >= few, F.col("w_share") < least_share)
+        .when(F.col("w_n") - F.col("w_own") >= few, F.col("w_share") < least_share)
         .otherwise(False)
     )
-    closing = (F.col("p_n") >= 20) & (F.col("p_ends") * 2 >= F.col("p_n"))
-    judged = tails.select("before", "word", "brief", F.coalesce(unfinished, F.lit(False)).alias("unfinished"), F.coalesce(closing, F.lit(False)).alias("closing")).filter("unfinished or closing")
+    closing = (F.col("p_n") - F.col("p_own") >= 20) & ((F.col("p_ends") - F.col("p_own")) * 2 >= F.col("p_n") - F.col("p_own"))
+    judged = tails.select("source", "before", "word", "brief", F.coalesce(unfinished, F.lit(False)).alias("unfinished"), F.coalesce(closing, F.lit(False)).alias("closing")).filter("unfinished or closing")
     judged = settled(judged, "judged")
     if fits(judged, 100_000):
         judged = F.broadcast(judged)
-    rows = rows.join(judged, ["before", "word", "brief"], "left").select("id", "source", "size", "state", ((F.col("state") == CUT) | ((F.col("state") == OPEN) & F.coalesce("unfinished", F.lit(False)))).alias("cut"), F.coalesce("closing", F.lit(False)).alias("closing"))
+    rows = rows.join(judged, ["source", "before", "word", "brief"], "left").select("id", "source", "size", "state", "brief", ((F.col("state") == CUT) | ((F.col("state") == OPEN) & F.coalesce("unfinished", F.lit(False)))).alias("cut"), F.coalesce("closing", F.lit(False)).alias("closing"))
 
     # lengths at which a source piles up unfinished texts; lengths and sources are few, the counts merge before the shuffle
     sizes = rows.groupBy("source", "size").agg(F.count("*").alias("here"), F.sum(F.col("cut").cast("int")).alias("cuts"))
     near = Window.partitionBy("source").orderBy("size").rangeBetween(-10, 10)
     around = (F.sum("here").over(near) - F.col("here")) / 20.0
     limits = sizes.withColumn("around", around).filter((F.col("here") >= 5) & (F.col("here") >= 4 * F.greatest(F.col("around"), F.lit(0.5))) & (F.col("cuts") * 5 >= F.col("here") * 2)).select("source", "size", F.col("size").alias("limit"))
+    limits = limits.unionByName(_ranges(rows.join(limits, ["source", "size"], "left_anti")).join(limits, ["source", "size"], "left_anti"))
     limits = F.broadcast(limits) if fits(limits, 100_000) else limits
     out = rows.join(limits, ["source", "size"], "left")
     at_limit = F.col("limit").isNotNull() & (F.col("state") == OPEN) & ~F.col("closing")

@@ -119,6 +119,22 @@ def test_limits_and_unfinished_words(spark):
     assert len(got & want) >= 0.95 * len(want) and len(got - want) <= 0.02 * len(want) + 2
 
 
+@pytest.mark.parametrize("lost", [False, True])
+def test_a_source_does_not_vouch_for_its_own_cuts(spark, lost):
+    """A third of the rows lie in one source that is mostly cut at whole words: by a limit, or at any word."""
+    r = random.Random(5)
+    colours, stuff, parts = ["amber", "cobalt", "crimson", "emerald"], ["walnut", "marble", "porcelain", "velvet"], ["rivets", "feathers", "grain lines", "petal shapes"]
+    rows, want = [], set()
+    for i in range(1800):
+        t = f"{r.choice(['Chair', 'Lantern', 'Windmill'])} with {r.choice(colours)} and {r.choice(stuff)}, " + ", ".join(f"{r.choice(parts)} over {r.choice(['smooth', 'dusty', 'glossy'])} {r.choice(stuff)}" for _ in range(r.randint(1, 6))) + r.choice([", intricate detail", ""])
+        if i % 3 == 0 and (r.random() < 0.8 if lost else len(t) > 80):
+            t = t[: (r.randint(30, len(t) - 5) if lost else 80) + 1].rsplit(" ", 1)[0]
+            want.add(i)
+        rows.append((i, t, "abc"[i % 3], "", 0))
+    got = cut(spark, rows)
+    assert len(want) > 300 and len(got & want) >= 0.9 * len(want) and len(got - want) <= 0.05 * len(want)
+
+
 def test_odd_captions(spark):
     assert cut(spark, []) == set()
     rows = [(1, None, "a", "", 0), (2, "", "a", "", 0), (3, " ", None, "", 0), (4, "n/a", "a", "", 0), (5, "Chair (toy", None, "", 0), (5, "Chair (toy", None, "", 0), (6, "x" * 50_000, "a", "", 0), (7, "Chair.", "a", "", 0)]
