@@ -441,10 +441,7 @@ def g1_ref_dark(spark: SparkSession, d: str) -> DataFrame:
       'g1_ref_dark g3 g4 g5 g6 g7 g8' AS unmeasured FROM a JOIN c USING (img) LEFT JOIN b USING (img)""",
 )
 def measurement_row(spark: SparkSession, d: str) -> DataFrame:
-    from lamina.operators.measures import unmeasured
+    from lamina.operators.measures import assembled
 
-    px, grid = _image(spark, d)
-    rows = pm.dark_coverage(px, grid).join(im.ring_consistency(px, grid), "img").join(pm.dark_blobs(px, grid).select("img", "g1_max_blob"), "img", "left")
-    error = F.when((F.col("ring_difference") > 0) | (F.col("far_background") > 0), "margin kernel post-condition violated")
-    none = F.lit(None).cast("double")
-    return rows.select("img", "g1_dark_frac", "g1_valid_texels", F.coalesce("g1_max_blob", F.lit(0.0)).alias("g1_max_blob"), "ring_texels", error.alias("error"), F.array_join(unmeasured({g: none for g in ("g1_ref_dark", "g3", "g4", "g5", "g6", "g7", "g8")}), " ").alias("unmeasured"))
+    rows = assembled(*_image(spark, d))
+    return rows.select("img", "g1_dark_frac", "g1_valid_texels", "g1_max_blob", "ring_texels", "error", F.array_join("unmeasured", " ").alias("unmeasured"))

@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lamina.operators import captions as cap
-from lamina.operators import gates, identity, image, ledger, pixelmeasures, raster
-from lamina.operators.measures import unmeasured
+from lamina.operators import gates, identity, image, ledger, raster
+from lamina.operators.measures import assembled, resolved_families, sheet_agreement
 from lamina.session import build_session
 from lamina.sources import meshes, records
 
@@ -77,26 +77,34 @@ class Run:
         return self.write(cap.merge(captions), "captions")
 
     def assetize(self, size: int = 256, margin: int = 4) -> DataFrame:
-        """Atlases (pixels, valid) to delivered textures."""
+        """Atlases (pixels, valid) to delivered textures, and to full ones without a margin, which views are rendered from."""
+        self.write(image.resized(image.dilate_full(self.table("pixels"), self.table("valid")), size), "texture_full")
         return self.write(image.delivered(self.table("pixels"), self.table("valid"), size, margin), "delivered")
 
-    def measure(self, size: int = 256) -> DataFrame:
-        """Fresh measurement rows over the delivered textures, folded into the stored ones."""
+    def measure(self, size: int = 256, view_res: int = 512) -> DataFrame:
+        """Fresh measurement rows over the delivered textures, folded into the stored ones.
+
+        What else is there is measured too: references, sheets (uid, y, x, r, g, b), families (uid, family, i, face_id,
+        b0, b1, b2), bless (uid, note) and render (uid, measures, note); sheets and families need the tables of prepare.
+        """
         grid = image.mask_resized(self.table("valid"), size, image.sizes(self.table("pixels")))
         px = self.table("delivered")
-        post = image.ring_consistency(px, grid)
-        rows = pixelmeasures.dark_coverage(px, grid).join(pixelmeasures.dark_blobs(px, grid).select("img", "g1_max_blob"), "img", "left").join(post, "img")
-        none = F.lit(None).cast("double")
-        absent = ["g1_ref_dark", "g3", "g4", "g5", "g6", "g7", "g8"]
-        fresh = rows.select(
-            F.col("img").cast("string").alias("uid"),
-            F.when((F.col("ring_difference") > 0) | (F.col("far_background") > 0), "margin kernel post-condition violated").alias("error"),
-            "g1_dark_frac", F.coalesce("g1_max_blob", F.lit(0.0)).alias("g1_max_blob"), F.lit(False).alias("g1_bless"), F.lit("").alias("g3_note"), F.lit(None).cast("int").alias("g5_valid_views"),
-            *[none.alias(c) for c in ("g1_ref_dark", "g3_ratio", "g4_iou_min", "g4_iou_orig", "g6_bad_fraction", "g7_ring_difference", "g8_psnr", "g8_psnr_flip")],
-            unmeasured({g: none for g in absent}).alias("unmeasured"),
-        )
+        there = lambda name: self.table(name) if self.has(name) else None
+        named = lambda df: df.withColumn("uid", F.col("img").cast("string")).drop("img")
+        mesh = [there(n) for n in ("vertices", "faces", "uv_vertices", "uv_faces")]
+        whole, agreement, resolved = all(m is not None for m in mesh), None, None
+        if whole and self.has("sheets"):
+            full = self.table("texture_full") if self.has("texture_full") else px
+            agreement = sheet_agreement(tuple(mesh), named(full), self.table("sheets"), view_res)
+        if whole and self.has("families"):
+            resolved = resolved_families(self.table("families"), mesh[2], mesh[3], named(px))
+        fresh = assembled(px, grid, there("references"), agreement, resolved, there("bless"), there("render")).drop("img")
         if self.has("measurements"):
-            fresh = ledger.upsert(self.table("measurements"), fresh, "uid")
+            old = self.table("measurements")
+            kinds = {f.name: f.dataType for f in fresh.schema}
+            old = old.withColumns({c: F.lit(None).cast(k) for c, k in kinds.items() if c not in old.columns})
+            fresh = fresh.withColumns({f.name: F.lit(None).cast(f.dataType) for f in old.schema if f.name not in kinds})
+            fresh = ledger.upsert(old, fresh, "uid")
         return self.write(fresh, "measurements")
 
     def gate(self, thresholds: gates.Thresholds = gates.Thresholds()) -> DataFrame:

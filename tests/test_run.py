@@ -72,6 +72,36 @@ def test_stages(spark, tmp_path):
     assert run.status() == {"population": 2, "measurements": 1, "verdicts": {"FAIL:G8_MISSING": 1, "total": 1}}
 
 
+def test_measure_takes_what_is_there(spark, tmp_path):
+    """Two objects of one atlas; the first has a view sheet, a reference, families, a blessing and renderer numbers."""
+    run = Run(spark, f"file://{tmp_path}/work")
+    rng = np.random.default_rng(1)
+    for img in (5, 6):
+        part = im.encode_grid(spark, img, rng.integers(90, 250, (32, 32, 3)).astype(np.uint8))
+        px = part if img == 5 else px.unionByName(part)
+    run.write(px, "pixels")
+    run.write(px.select("img", "y", "x", F.lit(True).alias("valid")), "valid")
+    run.assetize(32)
+    both = lambda rows, schema: spark.createDataFrame([(u, *r) for u in ("5", "6") for r in rows], "uid string, " + schema)
+    run.write(both([(0, -1.0, -1.0, 0.0), (1, 1.0, -1.0, 0.0), (2, 1.0, 1.0, 0.0), (3, -1.0, 1.0, 0.0)], "vid long, x double, y double, z double"), "vertices")
+    run.write(both([(0, 0.0, 1.0), (1, 1.0, 1.0), (2, 1.0, 0.0), (3, 0.0, 0.0)], "tid long, u double, v double"), "uv_vertices")
+    run.write(both([(0, 0, 1, 2), (1, 0, 2, 3)], "fid long, a long, b long, c long"), "faces")
+    run.write(both([(0, 0, 1, 2), (1, 0, 2, 3)], "fid long, ta long, tb long, tc long"), "uv_faces")
+    # the sheet shows what the front view shows, on a ground of 10
+    full = {(r.y, r.x): (r.r, r.g, r.b) for r in run.table("texture_full").filter("img = 5").collect()}
+    tile = lambda y, x: full[(round((y - 1) / 30 * 31), round((x - 1) / 30 * 31))] if 1 <= y < 31 and 1 <= x < 31 else (10, 10, 10)
+    run.write(spark.createDataFrame([("5", y, x, *(tile(y, x) if y < 32 and x < 32 else (10, 10, 10))) for y in range(64) for x in range(96)], "uid string, y int, x int, r int, g int, b int"), "sheets")
+    run.write(spark.createDataFrame([("5", y, x, *([200] * 3 if y < 8 else [20] * 3)) for y in range(40) for x in range(40)], "uid string, y int, x int, r int, g int, b int"), "references")
+    run.write(spark.createDataFrame([("5", f, i, i % 2 if f == "a" else 9, 1.0, 0.0, 0.0) for f in "ab" for i in range(4)], "uid string, family string, i long, face_id long, b0 double, b1 double, b2 double"), "families")
+    run.write(spark.createDataFrame([("5", "looked at")], "uid string, note string"), "bless")
+    run.write(spark.createDataFrame([("5", {"g3_ratio": 0.5, "g4_iou_min": 0.97, "g5_valid_views": 4.0, "seconds": 3.0}, "")], "uid string, measures map<string,double>, note string"), "render")
+    row = {r.uid: r for r in run.measure(32, 32).collect()}
+    assert row["6"].unmeasured == ["g1_ref_dark", "g3", "g4", "g5", "g6", "g7", "g8"] and not row["6"].g1_bless
+    assert row["5"].unmeasured == ["g6", "g7"] and row["5"].g1_bless and row["5"].g1_ref_dark is not None
+    assert row["5"].g8_views == 6 and row["5"].g8_psnr > row["5"].g8_psnr_flip and row["5"].family_resolve == {"a": 1.0, "b": 0.0}
+    assert {r.uid: r.verdict for r in run.gate().collect()} == {"5": "PASS", "6": "FAIL:G8_MISSING"}
+
+
 def test_records(spark, tmp_path):
     (tmp_path / "p.json").write_text(json.dumps({"uids": ["a", "b"]}))
     (tmp_path / "captions_w0.jsonl").write_text('{"uid": "a", "caption": "x"}\n\nbroken\n')
