@@ -54,7 +54,7 @@ def _row_nearest(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for i in range(0, len(at), 512):
                 best[i : i + 512] = (dy2[None, :] + (x[None, :] - at[i : i + 512, None]) ** 2).argmin(axis=1)
             n = len(at)
-            yield pa.RecordBatch.from_arrays([pa.array([img] * n, pa.int64()), pa.array([y] * n, pa.int32()), *[pa.array(v.astype(np.int32)) for v in (at, ny[best], x[best], dy2[best] + (x[best] - at) ** 2)]], ["img", "y", "x", "ny", "nx", "d2"])
+            yield pa.RecordBatch.from_arrays([pa.array([img] * n, b.column("img").type), pa.array([y] * n, pa.int32()), *[pa.array(v.astype(np.int32)) for v in (at, ny[best], x[best], dy2[best] + (x[best] - at) ** 2)]], ["img", "y", "x", "ny", "nx", "d2"])
 
 
 def nearest_valid(grid: DataFrame) -> DataFrame:
@@ -64,8 +64,9 @@ def nearest_valid(grid: DataFrame) -> DataFrame:
         F.collect_list(F.when(F.col("ny").isNotNull(), F.struct("x", "ny"))).alias("c"),
         F.collect_list(F.when(~F.col("valid"), F.col("x"))).alias("todo"),
     )
-    rows = g.select(F.col("img").cast("long").alias("img"), F.col("y").cast("int").alias("y"), F.transform("c", lambda s: s["x"].cast("int")).alias("xs"), F.transform("c", lambda s: s["ny"].cast("int")).alias("nys"), F.transform("todo", lambda x: x.cast("int")).alias("todo"))
-    return rows.mapInArrow(_row_nearest, "img long, y int, x int, ny int, nx int, d2 int")
+    kind = "string" if grid.schema["img"].dataType.simpleString() == "string" else "long"
+    rows = g.select(F.col("img").cast(kind).alias("img"), F.col("y").cast("int").alias("y"), F.transform("c", lambda s: s["x"].cast("int")).alias("xs"), F.transform("c", lambda s: s["ny"].cast("int")).alias("nys"), F.transform("todo", lambda x: x.cast("int")).alias("todo"))
+    return rows.mapInArrow(_row_nearest, f"img {kind}, y int, x int, ny int, nx int, d2 int")
 
 
 def _colour_of(near: DataFrame, pixels: DataFrame) -> DataFrame:

@@ -52,15 +52,16 @@ def _components(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in it:
         for img, ys, xs in zip(b.column("img").to_pylist(), b.column("ys").to_pylist(), b.column("xs").to_pylist()):
             sizes = np.bincount(np.unique(label(np.array(ys, np.int64), np.array(xs, np.int64)), return_inverse=True)[1])
-            yield pa.RecordBatch.from_arrays([pa.array([img], pa.int64()), pa.array([len(sizes)], pa.int64()), pa.array([int(sizes.max())], pa.int64()), pa.array([int(sizes.sum())], pa.int64())], ["img", "blobs", "largest", "dark"])
+            yield pa.RecordBatch.from_arrays([pa.array([img], b.column("img").type), pa.array([len(sizes)], pa.int64()), pa.array([int(sizes.max())], pa.int64()), pa.array([int(sizes.sum())], pa.int64())], ["img", "blobs", "largest", "dark"])
 
 
 def dark_blobs(pixels: DataFrame, grid: DataFrame, luma_max: int = 12) -> DataFrame:
     """(img, blobs, largest, dark, g1_max_blob) of images with dark valid texels. One image's dark texels are one task's row."""
     dark = pixels.join(grid.filter("valid"), ["img", "y", "x"]).filter(F.greatest("r", "g", "b") < luma_max)
-    g = dark.groupBy(F.col("img").cast("long").alias("img")).agg(F.collect_list(F.struct(F.col("y").cast("int").alias("y"), F.col("x").cast("int").alias("x"))).alias("p"))
+    kind = "string" if pixels.schema["img"].dataType.simpleString() == "string" else "long"
+    g = dark.groupBy(F.col("img").cast(kind).alias("img")).agg(F.collect_list(F.struct(F.col("y").cast("int").alias("y"), F.col("x").cast("int").alias("x"))).alias("p"))
     g = g.select("img", F.transform("p", lambda s: s["y"]).alias("ys"), F.transform("p", lambda s: s["x"]).alias("xs"))
-    out = g.mapInArrow(_components, "img long, blobs long, largest long, dark long")
+    out = g.mapInArrow(_components, f"img {kind}, blobs long, largest long, dark long")
     return out.withColumn("g1_max_blob", F.round(F.col("largest") / F.col("dark"), 3))
 
 

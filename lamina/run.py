@@ -14,9 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lamina.operators import captions as cap
-from lamina.operators import gates, identity, image, ledger, raster
+from lamina.operators import gates, identity, image, ledger, raster, view
 from lamina.operators.measures import assembled, resolved_families, sheet_agreement
-from lamina.session import build_session
+from lamina.session import build_session, settled
 from lamina.sources import meshes, records
 
 
@@ -46,24 +46,50 @@ class Run:
         fs.rename(hadoop_path(self.spark, part)[1], old)
         return self.table(name)
 
-    def prepare(self, *paths: str, res: int = 256) -> DataFrame:
-        """OBJ files to vertices, layouts and one record each; a mesh without a usable layout gets the grid layout."""
-        files = self.spark.read.format("binaryFile").load(list(paths)).select(identity.content_uid(F.col("content")).alias("uid"), F.decode("content", "UTF-8").alias("content"), F.col("path").alias("source"))
-        v, t, f = meshes.obj_scan(files)
+    def prepare(self, *paths: str, res: int = 256, view_res: int = 512) -> DataFrame:
+        """OBJ and GLB files to vertices, layouts, address maps, masks, generator texts, shape views and one record each.
+
+        A mesh without a usable layout gets the grid layout. A file that gives no mesh keeps its record, with an error.
+        """
+        files = settled(self.spark.read.format("binaryFile").load(list(paths)).select(identity.content_uid(F.col("content")).alias("uid"), "content", F.col("path").alias("source"), meshes.format_of(F.col("path")).alias("format")), "files")
+        obj = files.filter("format = 'obj'").select("uid", F.try_validate_utf8("content").alias("content"))
+        scan = settled(meshes.glb_scan(files.filter("format = 'gltf'")), "glb")
+        v, t, f = (settled(a.unionByName(b), "mesh") for a, b in zip(meshes.obj_scan(obj.filter("content is not null")), meshes.glb_mesh(scan.filter("part <> 'error'"))))
         bad = raster.uv_range(t).filter("out_of_range").select("uid")
         own = f.filter("ta is not null").join(bad, "uid", "left_anti")
         made = f.join(own.select("uid").distinct(), "uid", "left_anti")
         gv, gf = raster.grid_unwrap(made)
         uv = t.join(own.select("uid").distinct(), "uid", "left_semi").unionByName(gv)
         uf = own.select("uid", "fid", "ta", "tb", "tc").unionByName(gf)
-        s = raster.stats(uv, uf, res).withColumn("resolution", F.lit(res))
+        v, f, uv, uf = (self.write(df, name) for name, df in (("vertices", v), ("faces", f), ("uv_vertices", uv), ("uv_faces", uf)))
+        s = raster.stats(uv, uf, res)
         kept = own.select("uid").distinct().withColumn("uv_source", F.lit("supplied"))
-        n = v.groupBy("uid").agg(F.count("*").alias("n_vertices"))
-        rec = files.select("uid", "source").join(s, "uid").join(n, "uid").join(kept, "uid", "left").withColumn("uv_source", F.coalesce("uv_source", F.lit("grid")))
-        for name, df in (("vertices", v), ("faces", f), ("uv_vertices", uv), ("uv_faces", uf)):
-            self.write(df, name)
+        n = v.groupBy("uid").agg(F.count("*").alias("n_vertices"), F.greatest(*[F.max(c) - F.min(c) for c in "xyz"]).alias("_extent"))
+        seen = f.select("uid").distinct().withColumn("_faces", F.lit(True))
+        unread = scan.filter("part = 'error'").select("uid").unionByName(obj.filter("content is null").select("uid")).distinct().withColumn("_unread", F.lit(True))
+        rec = files.select("uid", "source", "format")
+        for df in (s, n, kept, seen, unread):
+            rec = rec.join(df, "uid", "left")
+        error = (
+            F.when(F.col("format") == "unsupported", "unsupported format")
+            .when(F.col("_unread"), "unreadable file")
+            .when(F.col("n_vertices").isNull(), "no vertices")
+            .when(F.col("_faces").isNull(), "no faces")
+            .when(F.coalesce("valid_px", F.lit(0)) == 0, "layout covers no texel")
+            .when(~F.coalesce(F.col("_extent") > 0, F.lit(False)), "mesh has zero extent")
+        )
+        rec = rec.withColumns({"resolution": F.lit(res), "error": error, "uv_source": F.when(F.col("_faces"), F.coalesce("uv_source", F.lit("grid")))}).drop("_extent", "_faces", "_unread")
         out = self.write(rec, "prepared")
-        self.select(out.select("uid"))
+        good = out.filter("error is null").select("uid").distinct()
+        a = self.write(raster.address_map(uv, uf, res).join(good, "uid", "left_semi"), "addresses")
+        side = F.sequence(F.lit(0), F.lit(res - 1))
+        grid = good.withColumn("y", F.explode(side)).withColumn("x", F.explode(side)).join(a.select("uid", "y", "x", "coverage"), ["uid", "y", "x"], "left")
+        self.write(grid.select(F.col("uid").alias("img"), "y", "x", F.coalesce(F.col("coverage") == 1, F.lit(False)).alias("valid")), "valid")
+        v, f, uv, uf = (df.join(good, "uid", "left_semi") for df in (v, f, uv, uf))
+        self.write(meshes.obj_text(meshes.obj_lines(v, uv, f.select("uid", "fid", "a", "b", "c").join(uf, ["uid", "fid"]))), "generator_obj")
+        cams, nv = view.camera_table(self.spark, view.shape_cameras()), view.normalized(v, "sphere")
+        self.write(view.shaded(view.fragments(nv, f, cams, view_res), nv, f, cams), "shape_views")
+        self.select(good)
         return out
 
     def select(self, objects: DataFrame, pilot: int = 0) -> DataFrame:

@@ -184,3 +184,19 @@ def glb_scan(files: DataFrame) -> DataFrame:
 
     kind = files.schema["uid"].dataType.simpleString()
     return files.select("uid", "content").mapInArrow(rows, f"uid {kind}, primitive int, part string, n long, p double, q double, r double")
+
+
+def glb_mesh(scan: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(vertices, uv_vertices, faces) of glb_scan's rows, as obj_scan gives them; primitives are numbered on.
+
+    Texture indices are null for a file unless every primitive has texture coordinates, which lie one a vertex.
+    """
+    counts = scan.groupBy("uid", "primitive").agg(*[F.count_if(F.col("part") == p).alias(f"n_{p}") for p in ("v", "f", "vt")])
+    before = Window.partitionBy("uid").orderBy("primitive").rowsBetween(Window.unboundedPreceding, -1)
+    off = counts.select("uid", "primitive", *[F.coalesce(F.sum(f"n_{p}").over(before), F.lit(0)).alias(f"at_{p}") for p in ("v", "f")], F.bool_and(F.col("n_vt") == F.col("n_v")).over(Window.partitionBy("uid")).alias("laid"))
+    j = scan.join(off, ["uid", "primitive"])
+    v = j.filter("part = 'v'").select("uid", (F.col("n") + F.col("at_v")).alias("vid"), F.col("p").alias("x"), F.col("q").alias("y"), F.col("r").alias("z"))
+    t = j.filter("part = 'vt' and laid").select("uid", (F.col("n") + F.col("at_v")).alias("tid"), F.col("p").alias("u"), F.col("q").alias("v"))
+    corner = lambda c: (F.col(c).cast("long") + F.col("at_v"))
+    f = j.filter("part = 'f'").select("uid", (F.col("n") + F.col("at_f")).alias("fid"), *[corner(c).alias(n) for c, n in zip("pqr", "abc")], *[F.when(F.col("laid"), corner(c)).alias(n) for c, n in zip("pqr", ("ta", "tb", "tc"))])
+    return v, t, f
