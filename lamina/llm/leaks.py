@@ -1,11 +1,14 @@
 """Held-out passages in training text: rare word n-grams seed the search, local alignment decides.
 
 Words are runs of letters and digits after compatibility folding, without case, markup and invisible characters;
-signs inside words and numbers are dropped. With
-at most one word in `tolerance` (6) changed, added, dropped or misspelt, any twelve consecutive words keep four
-in a row, so seeds of four words miss nothing; sentences that stand in more than one item give no seeds. Each
-seed that a text shares with an item becomes a pair of windows. Smith-Waterman keeps the pairs that can hold a
-passage, an exact count of the edits decides.
+signs inside words and numbers are dropped; of Chinese and Japanese every character is a word. Tags are left
+aside whole, with the values of their attributes; what a comment holds is text.
+With at most one word in `tolerance` (6) changed, added, dropped or misspelt, any twelve consecutive words keep four
+in a row, so seeds of four words miss nothing; sentences that stand in more than one item give no seeds. One scan
+of the corpus keeps the stretches of text around shared seeds; there the seeds are counted. Each pair of text and
+item is aligned at its rarest shared seed first, at the others only while no passage is found: a seed that
+stands in very many texts is reached only for pairs that have no rarer one, or none that led to a passage.
+Smith-Waterman scores the alignments, an exact count of the edits decides.
 """
 
 from __future__ import annotations
@@ -19,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,9 +40,19 @@ SLACK = TESTED[-1] // TOLERANCE
 STEP = 4
 ITEM_WINDOW = 2 * REACH + SEED + STEP - 1
 TEXT_WINDOW = ITEM_WINDOW + 2 * SLACK
-
-_BREAK_TAG = re.compile(r"<(?:br|p|/p|li|/li|div|/div|tr|/tr|td|/td|th|/th|h[1-6]|/h[1-6])\b[^<>]{0,300}>", re.I)
-_MARKUP = re.compile(r"</?[A-Za-z][^<>]{0,300}>|<!--.*?-->", re.S)
+#: Texts of one seed that go to one task of a shuffle.
+SPREAD = 20_000
+
+#: Elements that part words, and attributes that stand without a value.
+BREAKS = frozenset("br p li div tr td th h1 h2 h3 h4 h5 h6".split())
+BARE = "async autofocus autoplay checked controls defer disabled hidden loop multiple muted nowrap novalidate open readonly required reversed selected"
+#: A tag is a name and attributes with values; anything else between angle brackets is text. Every part is possessive, so that time is linear.
+_TAG = re.compile(
+    r"""</?+([A-Za-z][A-Za-z0-9:-]*+)(?:\s++(?:[A-Za-z_:@][A-Za-z0-9_:.@-]*+\s*+=\s*+(?:"[^"<>]*+"|'[^'<>]*+'|[^\s"'<>=]++)|(?:%s)(?![A-Za-z0-9_:.@=-])))*+\s*+/?+>"""
+    % BARE.replace(" ", "|"),
+    re.I,
+)
+_COMMENT = re.compile(r"<!--|-->|<!\[CDATA\[|\]\]>")
 _ENTITY = re.compile(r"&(?:[A-Za-z][A-Za-z0-9]{1,30}|#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6});")
 _ESCAPE = re.compile(r"\\(?:u([0-9a-fA-F]{4})|([nrt\"/]))")
 _HYPHENATED = re.compile(r"(?<=\w)[-\u2010\u2011][ \t]*\r?\n[ \t>*|#+]*(?=\w)")
@@ -57,7 +71,7 @@ def folded(text: str | None) -> str:
     if not text:
         return ""
     if "<" in text:
-        text = _MARKUP.sub("", _BREAK_TAG.sub(" ", text))
+        text = _TAG.sub(lambda m: " " if m[1].lower() in BREAKS else "", _COMMENT.sub(" ", text))
     if "&" in text:
         text = _ENTITY.sub(lambda m: html.unescape(m.group()), text)
     if "\\" in text:
@@ -88,6 +102,12 @@ def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     word = (k == B.LETTER) | (k == B.DIGIT) | _marks()[cp]
     edge = np.flatnonzero(np.diff(np.concatenate([[0], word.view(np.int8), [0]])))
     s, e = edge[::2], edge[1::2]
+    alone = np.flatnonzero(_alone()[cp] & word)
+    if len(alone):
+        inside = np.zeros(len(cp) + 1, bool)
+        inside[alone] = inside[alone + 1] = True
+        cuts = np.flatnonzero(inside[1:-1] & word[1:] & word[:-1]) + 1
+        s, e = np.sort(np.concatenate([s, cuts])), np.sort(np.concatenate([e, cuts]))
     if not len(s):
         return np.empty(0, np.uint64), np.zeros(len(texts) + 1, np.int64)
     # spans of words and of what lies between, as one array of strings; the words are every other one
@@ -130,6 +150,16 @@ def _marks() -> np.ndarray:
     return out
 
 
+@functools.lru_cache(1)
+def _alone() -> np.ndarray:
+    """Characters of scripts without blanks between words."""
+    import regex
+
+    out = np.zeros(0x110000, bool)
+    out[[ord(c) for c in regex.findall(r"[\p{Han}\p{Hiragana}\p{Katakana}]", "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)])))]] = True
+    return out
+
+
 _MIX = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)]
 
 
@@ -196,27 +226,82 @@ def item_seeds(items: DataFrame, id_col: str = "item_id", text_col: str = "text"
     return runs.mapInArrow(seeds, f"seed long, item {kind}, iw binary").distinct()
 
 
-def _hit_rows(shared):
-    """(id, seed, window) wherever a text has a seed of the broadcast sorted array."""
+def _near_rows(shared):
+    """(id, words, at): of every text with a known seed the words around its seeds, stretches parted by margins, and where the seeds are."""
 
     def rows(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
+        known = shared.value[0]
         bits = np.zeros(1 << 22, bool)
         low = np.uint64((1 << 22) - 1)
         bits[known & low] = True
+        reach = REACH + SLACK + STEP
         for b in it:
             for i, n in B.slices(b.column(1)):
                 h, off = word_hashes(b.column(1).slice(i, n).to_pylist())
                 s = seeds_of(h)
-                if not len(s):
-                    continue
                 at = np.flatnonzero(bits[s & low])
                 at = at[known[np.minimum(np.searchsorted(known, s[at]), len(known) - 1)] == s[at]]
                 doc = np.searchsorted(off, at, "right") - 1
                 ok = at + SEED <= off[doc + 1]
                 at, doc = at[ok], doc[ok]
-                win = _windows(h, off[doc], off[doc + 1], at, REACH + SLACK, TEXT_WINDOW, 1)
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, n).take(pa.array(doc)), pa.array(s[at].view(np.int64)), _packed(win)], ["id", "seed", "tw"])
+                if not len(at):
+                    continue
+                # words within reach of a seed in the same text
+                cover = np.zeros(len(h) + 1, np.int32)
+                np.add.at(cover, np.maximum(at - reach, off[doc]), 1)
+                np.add.at(cover, np.minimum(at + SEED + reach, off[doc + 1]), -1)
+                keep = np.flatnonzero(np.cumsum(cover[:-1]) > 0)
+                of = np.searchsorted(off, keep, "right") - 1
+                # a margin ahead of every stretch: one word is enough, as windows that reach it hold all words up to the margin
+                new = np.append(True, (np.diff(keep) > 1) | (np.diff(of) > 0))
+                place = np.arange(len(keep)) + np.cumsum(new)
+                out = np.ones(len(keep) + int(new.sum()), np.uint64)
+                out[place] = h[keep]
+                docs, first = np.unique(of, return_index=True)
+                starts = np.append(place[first] - 1, len(out)).astype(np.int32)
+                spots = place[np.searchsorted(keep, at)] - starts[np.searchsorted(docs, doc)]
+                ends = np.append(0, np.cumsum(np.bincount(np.searchsorted(docs, doc), minlength=len(docs)))).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).slice(i, n).take(pa.array(docs)), _bytes_of(out, starts), _bytes_of(spots.astype(np.int32), ends)], ["id", "words", "at"]
+                )
+
+    return rows
+
+
+def _bytes_of(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    return pa.BinaryArray.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer((offsets * values.itemsize).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _unpacked(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(words, offsets of the texts in words, places of the seeds in words, text of each)."""
+    words, at = b.column("words").to_pylist(), b.column("at").to_pylist()
+    h = np.frombuffer(b"".join(words), np.uint64)
+    off = np.append(0, np.cumsum([len(w) // 8 for w in words]))
+    doc = np.repeat(np.arange(len(at)), [len(a) // 4 for a in at])
+    return h, off, np.frombuffer(b"".join(at), np.int32) + off[doc], doc
+
+
+def _count_rows(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(seed, docs) counted a batch at a time."""
+    for b in it:
+        h, _, at, doc = _unpacked(b)
+        pairs = np.unique(np.stack([seeds_of(h)[at], doc.astype(np.uint64)], 1), axis=0) if len(at) else np.empty((0, 2), np.uint64)
+        seed, n = np.unique(pairs[:, 0], return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(seed.view(np.int64)), pa.array(n.astype(np.int64))], ["seed", "docs"])
+
+
+def _hit_rows(shared):
+    """(id, seed, salt, docs, tw) of every shared seed; a seed that stands in very many texts is spread over as many salts as it needs."""
+
+    def rows(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, docs = shared.value
+        for b in it:
+            h, off, at, doc = _unpacked(b)
+            s = seeds_of(h)[at]
+            n = docs[np.searchsorted(known, s)]
+            salt = (at + doc) % np.maximum(1, -(-n // SPREAD))
+            win = _windows(h, off[doc], off[doc + 1], at, REACH + SLACK, TEXT_WINDOW, 1)
+            yield pa.RecordBatch.from_arrays([b.column("id").take(pa.array(doc)), pa.array(s.view(np.int64)), pa.array(salt.astype(np.int64)), _packed(win)], ["id", "seed", "salt", "tw"])
 
     return rows
 
@@ -255,27 +340,91 @@ def holds_passage(item: np.ndarray, text: np.ndarray) -> np.ndarray:
     return found
 
 
-def _align_rows(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in it:
-        for i in range(0, b.num_rows, 2000):
-            part = b.slice(i, 2000)
-            item = np.frombuffer(b"".join(part.column("iw").to_pylist()), np.uint64).reshape(-1, ITEM_WINDOW)
-            text = np.frombuffer(b"".join(part.column("tw").to_pylist()), np.uint64).reshape(-1, TEXT_WINDOW)
-            # a passage within the tolerance scores at least LEAST - 2 * (LEAST // TOLERANCE)
-            back = np.logical_and.accumulate(item[:, REACH - 1 :: -1] == text[:, REACH + SLACK - 1 : SLACK - 1 : -1], axis=1).sum(axis=1)
-            step = np.flatnonzero(back % STEP == 0)
-            near = step[local_scores(item[step], text[step]) >= LEAST - 2 * (LEAST // TOLERANCE)]
-            good = near[np.concatenate([holds_passage(item[k], text[k]) for k in np.array_split(near, len(near) // 500 + 1)])] if len(near) else near
-            yield part.select(["id", "item"]).take(pa.array(good, pa.int64()))
-
-
-def leaks(docs: DataFrame, items: DataFrame, doc_col: str = "doc_id", item_col: str = "item_id", text_col: str = "text", most_seeds: int = 4_000_000, broadcast_rows: int = 50_000) -> DataFrame:
+def aligned(item: np.ndarray, text: np.ndarray, least_score: int) -> np.ndarray:
+    """Whether each pair of windows holds a passage in an alignment of at least that score."""
+    out = np.zeros(len(item), bool)
+    for a in range(0, len(item), 2000):
+        part = slice(a, a + 2000)
+        near = a + np.flatnonzero(local_scores(item[part], text[part]) >= least_score)
+        for k in np.array_split(near, len(near) // 500 + 1):
+            out[k] = holds_passage(item[k], text[k])
+    return out
+
+
+def _leading(item: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """Pairs of windows to align: of a run of shared seeds every STEP-th, as windows reach STEP - 1 words further ahead."""
+    back = np.logical_and.accumulate(item[:, REACH - 1 :: -1] == text[:, REACH + SLACK - 1 : SLACK - 1 : -1], axis=1).sum(axis=1)
+    return np.flatnonzero(back % STEP == 0)
+
+
+def _align_rows(least_score: int):
+    """(id, item) of joined windows that hold a passage."""
+
+    def rows(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in it:
+            item = np.frombuffer(b"".join(b.column("iw").to_pylist()), np.uint64).reshape(-1, ITEM_WINDOW)
+            text = np.frombuffer(b"".join(b.column("tw").to_pylist()), np.uint64).reshape(-1, TEXT_WINDOW)
+            step = _leading(item, text)
+            yield b.select(["id", "item"]).take(pa.array(step[aligned(item[step], text[step], least_score)], pa.int64()))
+
+    return rows
+
+
+def _search_rows(shared, items: pa.Array, least_score: int):
+    """(id, item): the search with all item windows at hand, (known, docs, first occurrence of each, item number of each, windows)."""
+
+    def rows(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, docs, first, number, windows = shared.value
+        size = np.diff(first)
+        for b in it:
+            h, off, at, doc = _unpacked(b)
+            k = np.searchsorted(known, seeds_of(h)[at])
+            run = np.cumsum(size[k])
+            hits = []
+            for lo, hi in _chunks(run, 200_000):
+                # every hit with every occurrence of its seed in an item, the rarest seed of each pair first
+                n = size[k[lo:hi]]
+                hit = np.repeat(np.arange(lo, hi), n)
+                occ = np.repeat(first[k[lo:hi]] - (run[lo:hi] - n), n) + np.arange(run[lo] - n[0], run[hi - 1])
+                pair = doc[hit].astype(np.int64) * len(items) + number[occ]
+                order = np.lexsort((docs[k[hit]], pair))
+                hit, occ, pair = hit[order], occ[order], pair[order]
+                lead = np.append(True, pair[1:] != pair[:-1])
+                known_pairs = np.empty(0, np.int64)
+                for turn in (lead, ~lead):
+                    w = np.flatnonzero(turn & ~np.isin(pair, known_pairs))
+                    for part in np.array_split(w, len(w) // 20_000 + 1):
+                        text = _windows(h, off[doc[hit[part]]], off[doc[hit[part]] + 1], at[hit[part]], REACH + SLACK, TEXT_WINDOW, 1)
+                        item = windows[occ[part]]
+                        use = np.arange(len(part)) if turn is lead else _leading(item, text)
+                        good = use[aligned(item[use], text[use], least_score)]
+                        known_pairs = np.union1d(known_pairs, pair[part[good]])
+                hits.append(known_pairs)
+            found = np.unique(np.concatenate([*hits, np.empty(0, np.int64)]))
+            yield pa.RecordBatch.from_arrays([b.column("id").take(pa.array(found // len(items))), items.take(pa.array(found % len(items)))], ["id", "item"])
+
+    return rows
+
+
+def _chunks(run: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
+    """Ranges of hits with about `limit` pairs, one hit at least."""
+    i = 0
+    while i < len(run):
+        j = max(i + 1, int(np.searchsorted(run, (run[i - 1] if i else 0) + limit, "right")))
+        yield i, j
+        i = j
+
+
+def leaks(docs: DataFrame, items: DataFrame, doc_col: str = "doc_id", item_col: str = "item_id", text_col: str = "text", least_score: int = LEAST - 2, most_seeds: int = 4_000_000, broadcast_rows: int = 50_000) -> DataFrame:
     """(doc_col, item_col): every text that holds a passage of an item, once each.
 
+    A passage is twelve or more consecutive words of the item with at most one in six edited, in an alignment that
+    scores `least_score` (a match 1, an edit -1): twelve words with one edit, fourteen with two, or a passage that
+    goes on beyond. With 8, twelve words with two edits are enough: mostly another sentence of the same pattern.
     Null and empty texts hold nothing; items of fewer than twelve words have no passage. Hashes of the items'
-    seeds are broadcast in blocks of at most `most_seeds` (32 MB), by ranges of their hash; each block is
-    searched for in all texts, and the parts are put together. The windows of the items are broadcast only
-    up to `broadcast_rows` of them (16 MB), else joined by a shuffle.
+    seeds and their counts are broadcast in blocks of at most `most_seeds` (64 MB), by ranges of their hash; each
+    block is searched for in all texts, and the parts are put together. The windows of the items are broadcast
+    only up to `broadcast_rows` of them (16 MB), else joined by a shuffle on seed and salt.
     """
     spark = docs.sparkSession
     kind, ikind = docs.schema[doc_col].dataType.simpleString(), items.schema[item_col].dataType.simpleString()
@@ -286,11 +435,26 @@ def leaks(docs: DataFrame, items: DataFrame, doc_col: str = "doc_id", item_col:
     out = None
     for k in range(blocks):
         mine = seeds.filter(F.pmod("seed", F.lit(blocks)) == k) if blocks > 1 else seeds
-        known = np.sort(np.array([r[0] for r in mine.select("seed").distinct().toLocalIterator()], np.int64).view(np.uint64))
+        known = np.sort(mine.select("seed").distinct().toArrow().column(0).to_numpy().view(np.uint64))
         if not len(known):
             known = np.zeros(1, np.uint64)
-        hits = src.mapInArrow(_hit_rows(spark.sparkContext.broadcast(known)), f"id {kind}, seed long, tw binary")
-        pairs = hits.join(F.broadcast(mine) if total <= broadcast_rows else mine, "seed").select("id", "item", "iw", "tw")
-        found = pairs.mapInArrow(_align_rows, f"id {kind}, item {ikind}")
+        near = settled(src.mapInArrow(_near_rows(spark.sparkContext.broadcast((known,))), f"id {kind}, words binary, at binary"), "near")
+        met = near.mapInArrow(_count_rows, "seed long, docs long").groupBy("seed").agg(F.sum("docs").alias("docs")).toArrow()  # at most one row a seed of the block
+        counts = np.zeros(len(known), np.int64)
+        counts[np.searchsorted(known, met.column("seed").to_numpy().view(np.uint64))] = met.column("docs").to_numpy()
+        if total <= broadcast_rows:
+            table = mine.toArrow()  # at most broadcast_rows rows
+            order = np.argsort(table.column("seed").to_numpy().view(np.uint64), kind="stable")
+            table = table.take(pa.array(order)).combine_chunks()
+            names = pa.array(table.column("item").to_pylist(), table.schema.field("item").type).dictionary_encode()
+            windows = np.frombuffer(b"".join(table.column("iw").to_pylist()), np.uint64).reshape(-1, ITEM_WINDOW)
+            first = np.searchsorted(table.column("seed").to_numpy().view(np.uint64), known)
+            shared = spark.sparkContext.broadcast((known, counts, np.append(first, len(windows)), names.indices.to_numpy(), windows))
+            found = near.mapInArrow(_search_rows(shared, names.dictionary, least_score), f"id {kind}, item {ikind}")
+        else:
+            hits = near.mapInArrow(_hit_rows(spark.sparkContext.broadcast((known, counts))), f"id {kind}, seed long, salt long, tw binary")
+            frequent = spark.createDataFrame(met.filter(pc.greater(met.column("docs"), SPREAD)))
+            salted = mine.join(frequent, "seed", "left").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce(F.ceil(F.col("docs") / SPREAD) - 1, F.lit(0)).cast("long"))))
+            found = hits.join(salted.select("seed", "salt", "item", "iw"), ["seed", "salt"]).select("id", "item", "iw", "tw").mapInArrow(_align_rows(least_score), f"id {kind}, item {ikind}")
         out = found if out is None else out.unionByName(found)
     return out.distinct().select(F.col("id").alias(doc_col), F.col("item").alias(item_col))

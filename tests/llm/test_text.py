@@ -33,6 +33,17 @@ def brute(item, doc):
     return False
 
 
+def score(item, doc):
+    """Best local alignment: a match 1, an edit -1."""
+    best, row = 0, [0] * (len(doc) + 1)
+    for w in item:
+        nxt = [0]
+        for j, x in enumerate(doc):
+            nxt.append(max(0, row[j] + (1 if w == x else -1), row[j + 1] - 1, nxt[j] - 1))
+        best, row = max(best, *nxt), nxt
+    return best
+
+
 def test_matches_brute_force(spark):
     r = random.Random(11)
     items = [[r.choice(WORDS) for _ in range(r.randint(8, 40))] for _ in range(12)]
@@ -49,8 +60,10 @@ def test_matches_brute_force(spark):
     want = {(i, j) for i, d in enumerate(docs) for j, it in enumerate(items) if brute(it, d)}
     text = [" ".join(d) for d in docs], [" ".join(i) for i in items]
     assert 5 < len(want) < 60
-    assert found(spark, *text) == want
-    assert found(spark, *text, most_seeds=40, broadcast_rows=0) == want
+    assert found(spark, *text, least_score=8) == want
+    assert found(spark, *text, least_score=8, most_seeds=40, broadcast_rows=0) == want
+    scored = {(i, j) for i, j in want if score(items[j], docs[i]) >= 10}
+    assert scored < want and found(spark, *text) == scored == found(spark, *text, broadcast_rows=0)
 
 
 PASSAGE = "Nobody should name oak when the smooth stem glows aquamarine, next to 30.5 bulky hand-painted copies in leather"
@@ -65,6 +78,38 @@ def test_disguises(spark, doc):
     assert found(spark, ["before " + doc + " after", "nothing here"], [PASSAGE]) == {(0, 0)}
 
 
+STYLE = '<span style="' + "color: red; " * 50 + '">'
+
+
+@pytest.mark.parametrize(
+    "doc",
+    [" ".join(w + (STYLE if i % 3 == 0 else "") for i, w in enumerate(PASSAGE.split())), "before <!-- " + PASSAGE + " --> after", "<![CDATA[" + PASSAGE + "]]>", "if x <y then " + PASSAGE + " and z> 3", PASSAGE.replace("stem", "<a href='http://x.y/?q=" + "z" * 5000 + "' download-as=x disabled>stem</a>")],
+)
+def test_long_markup_and_comments(spark, doc):
+    assert found(spark, [doc], [PASSAGE]) == {(0, 0)}
+
+
+def test_markup_is_read_in_linear_time():
+    for text in ("<a " * 200_000, "<a b=" + " " * 400_000, "<" * 400_000, "<a x='" + "b" * 400_000, "<!--" * 100_000):
+        assert lk.folded(text) is not None
+
+
+def test_scripts_without_blanks(spark):
+    passage = "验证数据集中的这一段文字不应当出现在训练语料里面"
+    assert found(spark, ["前言。" + passage[2:18] + "等等", "别的文字"], [passage]) == {(0, 0)}
+
+
+def test_a_seed_in_every_text(spark, monkeypatch):
+    """A stock phrase in all texts and several items: seeds are spread over tasks, and only the passages count."""
+    monkeypatch.setattr(lk, "SPREAD", 7)
+    stock = "as everyone in the workshop knows by heart"
+    items = [f"{' '.join(WORDS[20 * i : 20 * i + 10])} {stock} {' '.join(WORDS[20 * i + 10 : 20 * i + 20])}" for i in range(5)]
+    docs = [f"{' '.join(WORDS[300 + i % 50 : 306 + i % 50])} {stock} nothing more {i}" for i in range(120)]
+    docs[17], docs[90] = items[2], " ".join(items[4].split()[5:24])
+    for rows in (50_000, 0):
+        assert found(spark, docs, items, broadcast_rows=rows) == {(17, 2), (90, 4)}
+
+
 def test_shared_sentences_and_short_parts_do_not_count(spark):
     stock = "This one sentence stands in every single item of the whole set and means nothing."
     items = [stock + " " + PASSAGE + ".", "Other words lead into this one here first. " + stock, "too short"]
