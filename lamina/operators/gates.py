@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Thresholds:
-    """The limits of the gates; a missing key of a configuration has these values."""
+    """The limits of the gates; a missing key of a configuration has these values. Names and numbers are fixed values."""
 
     dark_luma_max: int = 12
     fail_dark_frac: float = 0.40
@@ -80,21 +80,32 @@ def verdict(t: Thresholds | None = None) -> Column:
     return out.otherwise(VERDICTS[-1])
 
 
+def _fixed(name: str, places: int) -> Column:
+    """The number with so many places as text, halves upwards by magnitude; nothing where it is missing."""
+    c = num(F.col(name))
+    n = F.floor(F.abs(c) * F.lit(float(10**places)) + F.lit(0.5)).cast("bigint")
+    text = F.concat(F.when(c < 0, "-").otherwise(""), F.floor(n / 10**places).cast("string"), F.lit("."), F.lpad((n % 10**places).cast("string"), places, "0"))
+    return F.when(F.abs(c) < F.lit(1e12), text).otherwise(c.cast("string"))
+
+
 def reasons(t: Thresholds = Thresholds()) -> Column:
-    """What the failing gate saw, as text."""
-    f = lambda c, p: F.format_string(f"%.{p}f", num(F.col(c)))
+    """What the failing gate saw, as text: empty for PASS. A view mismatch says which of its three rules was met first."""
+    x = _limits(t)
+    psnr, flip, iou, orig = num(F.col("g8_psnr")), F.coalesce(num(F.col("g8_psnr_flip")), F.lit(-1.0)), "g4_iou_min", num(F.col("g4_iou_orig"))
+    mismatch = F.when(flip >= psnr + x["g8_flip_margin"], "upside down fits better").when((flip >= psnr - x["g8_ambiguity_margin"]) & (psnr < x["g8_ambiguity_min_psnr"]), "either way up fits badly").otherwise("no fit")
+    framing = F.when(num(F.col(iou)).isNull(), "iou missing").when(orig.isNull(), F.concat(F.lit("iou "), _fixed(iou, 3), F.lit(", original unknown"))).otherwise(F.concat(F.lit("iou "), _fixed(iou, 3), F.lit(", original "), _fixed("g4_iou_orig", 3)))
     texts = [
         F.col("error"),
         F.lit("g1_dark_frac is missing"),
-        F.concat(F.lit("dark "), f("g1_dark_frac", 3)),
-        F.concat(F.lit("dark "), f("g1_dark_frac", 3), F.lit(", blob "), f("g1_max_blob", 2)),
+        F.concat(F.lit("dark "), _fixed("g1_dark_frac", 3), F.lit(", reference not dark")),
+        F.concat(F.lit("dark "), _fixed("g1_dark_frac", 3), F.lit(", blob "), _fixed("g1_max_blob", 2)),
         F.lit("g8_psnr is missing"),
-        F.concat(F.lit("psnr "), f("g8_psnr", 1), F.lit(", flipped "), f("g8_psnr_flip", 1)),
-        F.concat(F.lit("albedo ratio "), f("g3_ratio", 2)),
-        F.concat(F.lit("iou "), F.coalesce(f("g4_iou_min", 3), F.lit("missing"))),
+        F.concat(mismatch, F.lit(": psnr "), _fixed("g8_psnr", 1), F.lit(", flipped "), F.coalesce(_fixed("g8_psnr_flip", 1), F.lit("-1.0"))),
+        F.concat(F.lit("albedo ratio "), _fixed("g3_ratio", 2)),
+        framing,
         F.concat(F.lit("valid views "), F.coalesce(F.col("g5_valid_views").cast("string"), F.lit("missing"))),
-        F.concat(F.lit("bad fraction "), f("g6_bad_fraction", 4)),
-        F.concat(F.lit("ring difference "), f("g7_ring_difference", 2)),
+        F.concat(F.lit("bad fraction "), _fixed("g6_bad_fraction", 4)),
+        F.concat(F.lit("ring difference "), _fixed("g7_ring_difference", 2)),
     ]
     out = None
     for test, text in zip(failures(t), texts):
@@ -103,14 +114,30 @@ def reasons(t: Thresholds = Thresholds()) -> Column:
 
 
 def logged(t: Thresholds = Thresholds()) -> Column:
-    """The numbers that were looked at up to the gate that failed, as a map."""
-    stage = {"g1_dark_frac": 2, "g1_ref_dark": 2, "g8_psnr": 5, "g8_psnr_flip": 5, "g3_ratio": 6, "g4_iou_min": 7, "g5_valid_views": 8, "g6_bad_fraction": 9, "g7_ring_difference": 10}
+    """The numbers that were looked at, as a map: a gate's numbers once it was asked, the framing ones once it was passed, the dark share on PASS.
+
+    The share of the reference and the original framing stay as null where they are missing; the other numbers are
+    left out. A ratio above g3_log_above is repeated as g3_high_side.
+    """
+    x = _limits(t)
     at = None
     for i, test in enumerate(failures(t)):
         at = F.when(test, i) if at is None else at.when(test, i)
     at = at.otherwise(len(VERDICTS) - 1)
-    entries = F.array_compact(F.array(*[F.when((at >= s) & num(F.col(c)).isNotNull(), F.struct(F.lit(c).alias("k"), num(F.col(c)).alias("v"))) for c, s in stage.items()]))
-    return F.map_from_entries(entries)
+    psnr, ratio = num(F.col("g8_psnr")), num(F.col("g3_ratio"))
+    asked = {v: at >= i for i, v in enumerate(VERDICTS)}
+    banded = asked["FAIL:G3_ALBEDO_BAND"] & (F.coalesce(F.col("g3_note"), F.lit("")) == "") & ratio.isNotNull()
+    entries = [
+        ("g1_ref_dark", asked["FAIL:G1_DARK_NO_GAIN"], num(F.col("g1_ref_dark"))),
+        ("g8_psnr", asked["FAIL:G8_VIEW_MISMATCH"] & psnr.isNotNull(), psnr),
+        ("g8_psnr_flip", asked["FAIL:G8_VIEW_MISMATCH"] & psnr.isNotNull(), F.coalesce(num(F.col("g8_psnr_flip")), F.lit(-1.0))),
+        ("g3_ratio", banded, ratio),
+        ("g3_high_side", banded & asked["FAIL:G4_FRAME"] & (ratio > x["g3_log_above"]), ratio),
+        ("g4_iou_min", asked["FAIL:G5_GOLDEN"], num(F.col("g4_iou_min"))),
+        ("g4_iou_orig", asked["FAIL:G5_GOLDEN"], num(F.col("g4_iou_orig"))),
+        ("g1_dark_frac", asked["PASS"], num(F.col("g1_dark_frac"))),
+    ]
+    return F.map_from_entries(F.array_compact(F.array(*[F.when(when, F.struct(F.lit(k).alias("k"), v.alias("v"))) for k, when, v in entries])))
 
 
 def judged(rows: DataFrame, t: Thresholds = Thresholds(), keep: list[str] | None = None) -> DataFrame:

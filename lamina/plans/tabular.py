@@ -269,18 +269,47 @@ def gate_verdict(spark: SparkSession, d: str) -> DataFrame:
     return gates.judged(_measured(spark, d), keep=["measurement_id", "uid"])
 
 
-@query("gate_reasons")
-def gate_reasons(spark: SparkSession, d: str) -> DataFrame:
-    return _measured(spark, d).select("measurement_id", gates.verdict(gates.Thresholds()).alias("verdict"), gates.reasons().alias("reasons"))
+def _fixed_sql(c: str, p: int) -> str:
+    n = f"CAST(floor(abs({c}) * {10**p} + 0.5) AS bigint)"
+    return f"CASE WHEN {c} < 0 THEN '-' ELSE '' END || CAST({n} // {10**p} AS varchar) || '.' || lpad(CAST({n} % {10**p} AS varchar), {p}, '0')"
 
 
 @query(
-    "gate_logged",
-    f"""WITH j AS (SELECT *, list_position({gates.VERDICTS!r}, {_verdict_sql()}) - 1 AS reached FROM {_ONCE})
-    SELECT measurement_id, k, v FROM (SELECT measurement_id, reached, unnest(['g1_dark_frac', 'g1_ref_dark', 'g8_psnr', 'g8_psnr_flip', 'g3_ratio', 'g4_iou_min', 'g5_valid_views', 'g6_bad_fraction', 'g7_ring_difference']) AS k,
-      unnest([2, 2, 5, 5, 6, 7, 8, 9, 10]) AS s, unnest([g1_dark_frac, g1_ref_dark, g8_psnr, g8_psnr_flip, g3_ratio, g4_iou_min, CAST(g5_valid_views AS double), g6_bad_fraction, g7_ring_difference]) AS v FROM j)
-    WHERE reached >= s AND v IS NOT NULL AND NOT isnan(v)""",
+    "gate_reasons",
+    f"""WITH m AS (SELECT measurement_id, error, {_verdict_sql()} AS verdict, {", ".join(f"{_num_sql(c)} AS {c}" for c in ("g1_dark_frac", "g1_max_blob", "g8_psnr", "g8_psnr_flip", "g3_ratio", "g4_iou_min", "g4_iou_orig", "g6_bad_fraction", "g7_ring_difference"))}, g5_valid_views FROM {_ONCE})
+    SELECT measurement_id, verdict, CASE verdict
+      WHEN 'FAIL:ERROR' THEN [error]
+      WHEN 'FAIL:G1_MISSING' THEN ['g1_dark_frac is missing']
+      WHEN 'FAIL:G1_DARK_NO_GAIN' THEN ['dark ' || {_fixed_sql("g1_dark_frac", 3)} || ', reference not dark']
+      WHEN 'FAIL:G1_DARK_SMEAR' THEN ['dark ' || {_fixed_sql("g1_dark_frac", 3)} || ', blob ' || {_fixed_sql("g1_max_blob", 2)}]
+      WHEN 'FAIL:G8_MISSING' THEN ['g8_psnr is missing']
+      WHEN 'FAIL:G8_VIEW_MISMATCH' THEN [CASE WHEN coalesce(g8_psnr_flip, -1) >= g8_psnr + 3.0 THEN 'upside down fits better' WHEN coalesce(g8_psnr_flip, -1) >= g8_psnr - 1.0 AND g8_psnr < 15.0 THEN 'either way up fits badly' ELSE 'no fit' END
+        || ': psnr ' || {_fixed_sql("g8_psnr", 1)} || ', flipped ' || coalesce({_fixed_sql("g8_psnr_flip", 1)}, '-1.0')]
+      WHEN 'FAIL:G3_ALBEDO_BAND' THEN ['albedo ratio ' || {_fixed_sql("g3_ratio", 2)}]
+      WHEN 'FAIL:G4_FRAME' THEN [CASE WHEN g4_iou_min IS NULL THEN 'iou missing' ELSE 'iou ' || {_fixed_sql("g4_iou_min", 3)} || coalesce(', original ' || {_fixed_sql("g4_iou_orig", 3)}, ', original unknown') END]
+      WHEN 'FAIL:G5_GOLDEN' THEN ['valid views ' || coalesce(CAST(g5_valid_views AS varchar), 'missing')]
+      WHEN 'FAIL:G6_CROSS_FAMILY' THEN ['bad fraction ' || {_fixed_sql("g6_bad_fraction", 4)}]
+      WHEN 'FAIL:G7_MARGIN_RING' THEN ['ring difference ' || {_fixed_sql("g7_ring_difference", 2)}]
+      ELSE CAST([] AS varchar[]) END AS reasons FROM m""",
 )
+def gate_reasons(spark: SparkSession, d: str) -> DataFrame:
+    return _measured(spark, d).select("measurement_id", gates.verdict(gates.Thresholds()).alias("verdict"), gates.reasons().alias("reasons"))
+
+
+# written gate by gate: which numbers a row of each verdict leaves behind
+_LOGGED = f"""WITH j AS (SELECT *, {_verdict_sql()} AS verdict FROM {_ONCE}),
+  r AS (SELECT measurement_id, verdict, {", ".join(f"{_num_sql(c)} AS {c}" for c in ("g1_dark_frac", "g1_ref_dark", "g8_psnr", "g8_psnr_flip", "g3_ratio", "g4_iou_min", "g4_iou_orig"))}, g3_note,
+    verdict IN ('FAIL:ERROR', 'FAIL:G1_MISSING') AS unread, verdict LIKE 'FAIL:G1%' OR verdict IN ('FAIL:ERROR', 'FAIL:G8_MISSING') AS before_views FROM j)
+  SELECT measurement_id, 'g1_ref_dark' AS k, g1_ref_dark AS v FROM r WHERE NOT unread
+  UNION ALL SELECT measurement_id, 'g8_psnr', g8_psnr FROM r WHERE NOT before_views AND g8_psnr IS NOT NULL
+  UNION ALL SELECT measurement_id, 'g8_psnr_flip', coalesce(g8_psnr_flip, -1) FROM r WHERE NOT before_views AND g8_psnr IS NOT NULL
+  UNION ALL SELECT measurement_id, 'g3_ratio', g3_ratio FROM r WHERE NOT before_views AND verdict <> 'FAIL:G8_VIEW_MISMATCH' AND coalesce(g3_note, '') = '' AND g3_ratio IS NOT NULL
+  UNION ALL SELECT measurement_id, 'g3_high_side', g3_ratio FROM r WHERE NOT before_views AND verdict <> 'FAIL:G8_VIEW_MISMATCH' AND coalesce(g3_note, '') = '' AND g3_ratio > 0.8
+  UNION ALL SELECT measurement_id, k, CASE k WHEN 'g4_iou_min' THEN g4_iou_min ELSE g4_iou_orig END FROM r, (VALUES ('g4_iou_min'), ('g4_iou_orig')) AS two(k) WHERE verdict = 'PASS' OR verdict[6:7] IN ('G5', 'G6', 'G7')
+  UNION ALL SELECT measurement_id, 'g1_dark_frac', g1_dark_frac FROM r WHERE verdict = 'PASS'"""
+
+
+@query("gate_logged", _LOGGED)
 def gate_logged(spark: SparkSession, d: str) -> DataFrame:
     return _measured(spark, d).select("measurement_id", F.explode(gates.logged()).alias("k", "v"))
 
