@@ -81,11 +81,11 @@ def verdict(t: Thresholds | None = None) -> Column:
 
 
 def _fixed(name: str, places: int) -> Column:
-    """The number with so many places as text, halves upwards by magnitude; nothing where it is missing."""
+    """The number with so many places as text, halves upwards by magnitude, inf from 1e12 on; nothing where it is missing."""
     c = num(F.col(name))
     n = F.floor(F.abs(c) * F.lit(float(10**places)) + F.lit(0.5)).cast("bigint")
-    text = F.concat(F.when(c < 0, "-").otherwise(""), F.floor(n / 10**places).cast("string"), F.lit("."), F.lpad((n % 10**places).cast("string"), places, "0"))
-    return F.when(F.abs(c) < F.lit(1e12), text).otherwise(c.cast("string"))
+    digits = F.concat(F.floor(n / 10**places).cast("string"), F.lit("."), F.lpad((n % 10**places).cast("string"), places, "0"))
+    return F.concat(F.when(c < 0, "-").otherwise(""), F.when(F.abs(c) < F.lit(1e12), digits).when(c.isNotNull(), "inf"))
 
 
 def reasons(t: Thresholds = Thresholds()) -> Column:

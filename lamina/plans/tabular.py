@@ -270,8 +270,8 @@ def gate_verdict(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _fixed_sql(c: str, p: int) -> str:
-    n = f"CAST(floor(abs({c}) * {10**p} + 0.5) AS bigint)"
-    return f"CASE WHEN {c} < 0 THEN '-' ELSE '' END || CAST({n} // {10**p} AS varchar) || '.' || lpad(CAST({n} % {10**p} AS varchar), {p}, '0')"
+    n = f"TRY_CAST(floor(abs({c}) * {10**p} + 0.5) AS bigint)"
+    return f"CASE WHEN {c} < 0 THEN '-' ELSE '' END || CASE WHEN abs({c}) < 1e12 THEN CAST({n} // {10**p} AS varchar) || '.' || lpad(CAST({n} % {10**p} AS varchar), {p}, '0') WHEN {c} IS NOT NULL THEN 'inf' END"
 
 
 @query(
