@@ -1,23 +1,25 @@
 """Processing only new or changed records: the target is the state.
 
 Every row of the target names its source: key, position (event time, row id) and version (a digest of the
-compared columns). A run reads the source rows that arrived since the cutoff of the last published version,
-keeps one per key, and anti-joins them against the target; what remains is published as a new version by one
-rename. A run that dies before the rename leaves nothing a reader sees, and its repetition takes up the same
-rows; a published run that is repeated does nothing.
+compared columns), and whether the version was new to its key. A run takes the source rows that arrived since the
+cutoff of the last published version, keeps one per key, and anti-joins them against the target by key, position and
+version; what remains is published as a new version by a manifest that can be written only once. A run that dies
+before leaves nothing a reader sees, and its repetition takes up the same rows; a published run that is repeated,
+or is run twice at once, does nothing more.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lamina.session import hadoop_path
+from lamina.session import fits, shared_table
+from lamina.sources.versions import Versions
 
 _EPOCH = "0001-01-01 00:00:00"
-_SCHEMA = "key binary, at timestamp_ntz, row_id long, version binary, run_id int"
+_SCHEMA = "key binary, at timestamp_ntz, row_id long, version binary, changed boolean, run_id int"
+#: Up to so many new rows (16 bytes each) are sent to the target's rows; more are joined by a shuffle.
+SENT = 200_000
 
 
 def digest(*cols: Column) -> Column:
@@ -52,58 +54,35 @@ def latest_state(rows: DataFrame) -> DataFrame:
     return rows.groupBy("key").agg(F.max(F.struct("at", "row_id", "version")).alias("s")).select("key", "s.at", "s.row_id", "s.version")
 
 
-@dataclass
-class VersionedTarget:
-    """A folder of published versions v=<run>; a version is there wholly or not at all."""
-
-    spark: SparkSession
-    path: str
-
-    def published(self) -> list[int]:
-        fs, p = hadoop_path(self.spark, self.path)
-        if not fs.exists(p):
-            return []
-        return sorted(int(n[2:]) for n in (s.getPath().getName() for s in fs.listStatus(p)) if n.startswith("v="))
+class VersionedTarget(Versions):
+    """The target as published versions, one a run."""
 
     def rows(self, before: int | None = None) -> DataFrame:
         """Rows of the published versions, with run_id below `before` if given."""
-        at = [f"{self.path}/v={r}" for r in self.published() if before is None or r < before]
-        if not at:
-            return self.spark.createDataFrame([], _SCHEMA)
-        return self.spark.read.schema(_SCHEMA).parquet(*at)
-
-    def publish(self, rows: DataFrame, run_id: int) -> None:
-        part = f"{self.path}/part-{run_id}"
-        rows.write.mode("overwrite").parquet(part)
-        fs, src = hadoop_path(self.spark, part)
-        if not fs.rename(src, hadoop_path(self.spark, f"{self.path}/v={run_id}")[1]):
-            raise OSError(f"version {run_id} could not be published")
-
-    def advance(self, source: DataFrame, run_id: int, cutoff, after=None) -> None:
-        """Take up what arrived in (after, cutoff] and is later than the target's row of its key."""
+        return self.read([m for v, m in self.published().items() if before is None or v < before], _SCHEMA)
+
+    def advance(self, new: DataFrame, run_id: int) -> bool:
+        """Publish what is new: the rows of `new` (one a key) that are later than the target's row of their key.
+
+        Rows whose state moved but compares equal are stored with `changed` false: without their position a late
+        row could pass for a change. False where the run is published already.
+        """
         if run_id in self.published():
-            return
-        new = source.filter(F.col("arrived") <= F.lit(cutoff))
-        if after is not None:
-            new = new.filter(F.col("arrived") > F.lit(after))
-        new = latest_state(new)
+            return False
         known = self.rows(before=run_id)
-        if after is not None:
-            k = latest_state(known).alias("k")
-            n = new.alias("n")
-            held = (F.col("k.key") == F.col("n.key")) & ((F.col("k.at") > F.col("n.at")) | ((F.col("k.at") == F.col("n.at")) & (F.col("k.row_id") >= F.col("n.row_id"))))
-            new = n.join(k, held, "left_anti")
-        self.publish(new.withColumn("run_id", F.lit(run_id).cast("int")), run_id)
+        # few new rows go to the target, so that it is not shuffled; else Spark's own runtime filters thin it out
+        keys = new.select("key")
+        touched = known.join(F.broadcast(keys) if fits(keys, SENT) else keys, "key", "left_semi")
+        k, n = latest_state(touched).alias("k"), new.alias("n")
+        held = (F.col("k.at") > F.col("n.at")) | ((F.col("k.at") == F.col("n.at")) & (F.col("k.row_id") >= F.col("n.row_id")))
+        rows = n.join(k, F.col("n.key") == F.col("k.key"), "left").filter(~F.coalesce(held, F.lit(False)))
+        changed = F.coalesce(F.col("k.version") != F.col("n.version"), F.lit(True))
+        rows = rows.select("n.key", "n.at", "n.row_id", "n.version", changed.alias("changed"), F.lit(run_id).cast("int").alias("run_id"))
+        return self.publish(run_id, self.write(rows))
 
     def changes(self) -> DataFrame:
         """(run_id, row_id) of every key whose version is not that of the run before, or that had none."""
-        w = Window.partitionBy("key").orderBy("run_id")
-        return (
-            self.rows()
-            .withColumn("before", F.lag("version").over(w))
-            .filter(F.col("before").isNull() | (F.col("before") != F.col("version")))
-            .select("run_id", "row_id")
-        )
+        return self.rows().filter("changed").select("run_id", "row_id")
 
 
 def successful_runs(runs: DataFrame, consumer: str) -> list[tuple[int, object]]:
@@ -132,11 +111,31 @@ def measurements_source(measurements: DataFrame) -> DataFrame:
     return source_rows(measurements.filter(obj.isNotNull()), [obj], "measured_at", "measurement_id", "arrived_at", compared)
 
 
+def arrivals(source: DataFrame, cutoff, after=None) -> DataFrame:
+    """One row per key of what arrived in (after, cutoff]; a source laid out by arrival is read only there."""
+    new = source.filter(F.col("arrived") <= F.lit(cutoff))
+    return latest_state(new if after is None else new.filter(F.col("arrived") > F.lit(after)))
+
+
+def by_run(source: DataFrame, runs: list[tuple[int, object]]) -> DataFrame:
+    """The source read once and laid out by the first run that sees each row, one row per run and key; runs are a bounded log."""
+    slot, last = None, None
+    for run_id, cutoff in runs:
+        if last is None or cutoff > last:
+            seen = F.col("arrived") <= F.lit(cutoff)
+            slot = F.when(seen, run_id) if slot is None else slot.when(seen, run_id)
+            last = cutoff
+    at = shared_table(source.sparkSession, "arrivals")
+    rows = source.withColumn("slot", slot if slot is not None else F.lit(None).cast("int")).filter("slot is not null")
+    rows = rows.groupBy("slot", "key").agg(F.max(F.struct("at", "row_id", "version")).alias("s")).select("slot", "key", "s.at", "s.row_id", "s.version")
+    rows.write.partitionBy("slot").parquet(at)
+    return source.sparkSession.read.schema("key binary, at timestamp_ntz, row_id long, version binary, slot int").parquet(at)
+
+
 def replay(source: DataFrame, runs: list[tuple[int, object]], path: str) -> VersionedTarget:
     """Every successful run in turn against one target."""
     target = VersionedTarget(source.sparkSession, path)
-    after = None
-    for run_id, cutoff in runs:
-        target.advance(source, run_id, cutoff, after)
-        after = cutoff if after is None else max(after, cutoff)
+    laid = by_run(source, runs)
+    for run_id, _ in runs:
+        target.advance(laid.filter(F.col("slot") == run_id).drop("slot"), run_id)
     return target

@@ -2,7 +2,9 @@
 
 import datetime as dt
 import math
+import os
 import random
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,6 +14,7 @@ from lamina.functions.uids import object_of
 from lamina.operators import incremental as inc
 from lamina.operators import profile as prof
 from lamina.session import shared_table
+from lamina.sources.versions import put_if_absent, small_text
 
 CLAIMS = "claim_id long, stage string, uid string, op string, owner string, content_key string, event_at timestamp_ntz, recorded_at timestamp_ntz, key string, version string"
 T0 = dt.datetime(2026, 1, 1)
@@ -64,13 +67,34 @@ def test_failed_run_is_taken_up_again_and_repeats_do_nothing(spark):
     src = inc.claims_source(spark.createDataFrame(data, CLAIMS))
     path = shared_table(spark, "t")
     t = inc.VersionedTarget(spark, path)
-    t.advance(src, 1, CUTS[0][1])
-    src.limit(3).select("key").write.parquet(f"{path}/part-2")  # a run that died before it published
-    assert t.published() == [1]
-    t.advance(src, 2, CUTS[1][1], CUTS[0][1])
-    t.advance(src, 2, CUTS[1][1], CUTS[0][1])
-    assert t.published() == [1, 2]
+    t.advance(inc.arrivals(src, CUTS[0][1]), 1)
+    t.write(src.limit(3).select("key"))  # a run that died before it published
+    assert list(t.published()) == [1]
+    new = inc.arrivals(src, CUTS[1][1], CUTS[0][1])
+    assert t.advance(new, 2) and not t.advance(new, 2)
+    assert list(t.published()) == [1, 2]
     assert sorted(map(tuple, t.changes().collect())) == brute(data, CUTS[:2])
+    # a second writer of the same version changes nothing and leaves no data behind
+    before = sorted(map(tuple, t.rows().drop("key", "version").collect()))
+    late = t.write(t.rows().limit(1))
+    assert not t.publish(2, late) and sorted(map(tuple, t.rows().drop("key", "version").collect())) == before
+    assert sum(n.startswith("data-") for n in os.listdir(path.removeprefix("file://"))) == 3
+    # a run outputs changes only, and moved states of the same version are kept apart from them
+    assert {r.changed for r in t.rows().collect()} == {True, False}
+
+
+def test_many_new_rows_take_the_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(inc, "SENT", 3)
+    data = rows(8)
+    df = spark.createDataFrame(data, CLAIMS)
+    assert sorted(map(tuple, inc.replay(inc.claims_source(df), CUTS, shared_table(spark, "t")).changes().collect())) == brute(data, CUTS)
+
+
+def test_one_of_two_writers_wins(spark):
+    at = shared_table(spark, "m") + "/v=1.json"
+    with ThreadPoolExecutor(8) as pool:
+        won = list(pool.map(lambda i: put_if_absent(spark, at, f"writer {i} " * 1000), range(8)))
+    assert sum(won) == 1 and small_text(spark, at) == f"writer {won.index(True)} " * 1000
 
 
 def test_empty_ledger(spark):
