@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from lamina.functions.uids import VALID
+from lamina.operators.numbering import numbered
 
 SALT = "lamina/1"
 SPAN = 2**31 - 1
@@ -43,11 +44,12 @@ def rank_sha256(uid: Column, salt: str = SALT) -> Column:
 def pilot(objects: DataFrame, n: int, rank: Column, uid: str = "uid") -> DataFrame:
     """The first n objects in rank order (0: all), with their place. Objects are not deduplicated.
 
-    A prefix is a top-k: each task keeps n rows, so no task sorts the population.
+    A prefix is a top-k: each task keeps n rows, so no task sorts the population; all of it is numbered by ranges.
     """
     ranked = objects.select(F.col(uid).alias("uid"), rank.alias("rank_key"))
-    if n:
-        ranked = ranked.orderBy("rank_key", "uid").limit(n)
+    if not n:
+        return numbered(ranked, ["rank_key", "uid"], "place")
+    ranked = ranked.orderBy("rank_key", "uid").limit(n)
     return ranked.withColumn("place", F.row_number().over(Window.orderBy("rank_key", "uid")) - 1)
 
 

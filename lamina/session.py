@@ -13,16 +13,17 @@ from pyspark.sql import functions as F
 
 
 def build_session(master: str = "local[*]", app: str = "lamina", **conf: str) -> SparkSession:
-    """A session with the settings the operators assume: UTC, AQE, last key wins in maps."""
+    """A session with the settings the operators assume: UTC, AQE; on one machine, few shuffle partitions (a cluster's own hold elsewhere)."""
     b = (
         SparkSession.builder.master(master)
         .appName(app)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
+    if master.startswith("local["):
+        b = b.config("spark.sql.shuffle.partitions", "8")
     for k, v in conf.items():
         b = b.config(k, v)
     return b.getOrCreate()
