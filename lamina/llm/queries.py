@@ -23,7 +23,7 @@ RATE, SHIFT = 0.1, 761_404_133
 def p1_sample(spark: SparkSession, d: str) -> DataFrame:
     pop = table(spark, d, "population").select(F.explode("objects").alias("uid"), "arrived_at")
     sources = [(pop, F.col("uid"), "arrived_at"), (table(spark, d, "prepared"), F.col("uid"), "arrived_at")]
-    return smp.sample(sources, RATE, SHIFT)
+    return smp.sample(smp.registry_of(spark, d), sources, RATE, SHIFT)
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
@@ -71,7 +71,7 @@ def p8_pieces(spark: SparkSession, d: str) -> DataFrame:
 P1_SQL = f"""WITH objs AS (
   SELECT {object_sql('uid')} AS uid, arrived_at FROM (SELECT unnest(objects) AS uid, arrived_at FROM population)
   UNION ALL SELECT {object_sql('uid')}, arrived_at FROM prepared),
-seqs AS (SELECT uid, row_number() OVER (ORDER BY min(arrived_at) NULLS FIRST, uid) - 1 AS seq FROM objs WHERE uid IS NOT NULL GROUP BY uid)
+seqs AS (SELECT uid, row_number() OVER (ORDER BY min(arrived_at) NULLS LAST, uid) - 1 AS seq FROM objs WHERE uid IS NOT NULL GROUP BY uid)
 SELECT uid, seq FROM seqs WHERE (seq % {smp.CIRCLE} * {smp.GOLDEN} + {SHIFT}) % {smp.CIRCLE} < {int(RATE * smp.CIRCLE)}"""
 
 _P2 = f"""WITH r AS (

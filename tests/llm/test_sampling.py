@@ -2,11 +2,14 @@
 
 import datetime as dt
 import random
+from concurrent.futures import ThreadPoolExecutor
 
+import pytest
 from pyspark.sql import functions as F
 
 from lamina.llm import sample as smp
 from lamina.llm import survivor as srv
+from lamina.session import shared_table
 
 T0 = dt.datetime(2026, 1, 1)
 
@@ -20,8 +23,12 @@ def objects(n, day, tag):
     return [(f"{tag:08x}{i:024x}", T0 + dt.timedelta(days=day, minutes=i // 7), 0, "x") for i in range(n)]
 
 
-def drawn(spark, rows, parts=3, rate=0.2):
-    return {r.uid: r.seq for r in smp.sample(source(spark, rows, parts), rate, 12345).collect()}
+def registry(spark):
+    return smp.Registry(spark, shared_table(spark, "registry"))
+
+
+def drawn(spark, rows, parts=3, rate=0.2, reg=None):
+    return {r.uid: r.seq for r in smp.sample(reg or registry(spark), source(spark, rows, parts), rate, 12345).collect()}
 
 
 def test_same_however_read_and_kept_as_data_grows(spark):
@@ -43,10 +50,27 @@ def test_odd_rows(spark):
     assert set(drawn(spark, [(None, T0, 0, ""), ("", T0, 0, ""), ("zz", T0, 0, ""), ("a" * 32, None, 0, ""), ("b" * 10000, T0, 0, "")], rate=1.0)) == {"a" * 32}
 
 
-def test_registry_keeps_numbers(spark):
-    reg = spark.createDataFrame([("a" * 32, 4), ("b" * 32, 9)], "uid string, seq long")
-    new = spark.createDataFrame([("b" * 32, T0), ("c" * 32, T0 - dt.timedelta(days=90))], "uid string, first_at timestamp_ntz")
-    assert {r.uid[0]: r.seq for r in smp.extended(reg, new, ["first_at", "uid"]).collect()} == {"a": 4, "b": 9, "c": 10}
+@pytest.mark.parametrize(
+    "late",
+    [("0" * 32, None), ("0" * 32, T0), ("0" * 32, T0 - dt.timedelta(days=90)), ("0" * 32, T0 + dt.timedelta(days=90))],
+    ids=["no arrival time", "tied with the first, smaller uid", "earlier than all", "later"],
+)
+def test_no_later_object_moves_a_number(spark, late):
+    reg, early = registry(spark), objects(300, 0, 1) + [("f" * 32, None, 0, "")]
+    a = drawn(spark, early, reg=reg)
+    assert a == drawn(spark, early, reg=reg, parts=5) and len(reg.published()) == 1
+    b = drawn(spark, [(*late, 0, "x")] + early[::-1], 7, reg=reg)
+    assert a.items() <= b.items() and len(a) >= 50
+    assert {r.uid: r.seq for r in reg.rows().collect()}[late[0]] == 301
+    assert list(reg.published()) == [1, 2]
+
+
+def test_two_runs_at_once_number_every_object_once(spark):
+    reg = registry(spark)
+    with ThreadPoolExecutor(3) as pool:
+        added = list(pool.map(lambda k: reg.extend(smp.first_arrivals(source(spark, objects(40, 0, 9) + objects(30, k, k)))), [1, 2, 3]))
+    rows = reg.rows().collect()
+    assert sum(added) == len(rows) == len({r.uid for r in rows}) == 130 and {r.seq for r in rows} == set(range(130))
 
 
 COLS = "caption_id long, uid string, caption string, family string, shard string, written_at timestamp_ntz, key string, row_id int"
