@@ -19,7 +19,7 @@ from lamina.sources.versions import Versions
 _EPOCH = "0001-01-01 00:00:00"
 _SCHEMA = "key binary, at timestamp_ntz, row_id long, version binary, changed boolean, run_id int"
 #: Up to so many new rows (16 bytes each) are sent to the target's rows; more are joined by a shuffle.
-SENT = 200_000
+SENT = 50_000
 
 
 def digest(*cols: Column) -> Column:
