@@ -1,7 +1,9 @@
 """Texts cut off by field limits or in transfer.
 
-A stack automaton reads each text: brackets, quotes and markup left open, escapes and multibyte sequences broken
-at the end, marks of omission. What it leaves open is held against the corpus: how often the last word, after
+A stack automaton reads the signs of each text: brackets, typed quotes of several languages, elements of markup and
+code fences are pushed and popped; escapes, characters and tags broken at the end and marks of omission are its
+final states. What is left open is cut. What merely ends without a terminator is held against its source first
+(where nearly every text has one, its absence is a cut), then against the corpus: how often the last word, after
 the word before it, is followed by a gap (comma, stop, end of text) elsewhere; ends without a stop count only from
 other sources, so that a source cannot vouch for its own cuts. Last, lengths at which a source piles up unfinished
 texts, and ranges of lengths that a limit at whole words leaves, are its limits; there, a text needs a terminator or
@@ -10,10 +12,12 @@ a closing phrase.
 
 from __future__ import annotations
 
+import functools
 import re
-from collections import Counter
+from array import array
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,69 +27,118 @@ from lamina.session import fits, settled
 
 DONE, OPEN, CUT = 0, 1, 2
 
-#: Pairs that must close, stops that end a text, marks of omission at the end.
-PAIRS = {")": "(", "]": "[", "}": "{", "”": "“", "»": "«", "」": "「", "』": "『", "）": "（", "】": "【"}
+#: Brackets and what closes them, quotes that open and the signs that close each, stops, marks of omission at the end.
+BRACKETS = {")": "(", "]": "[", "}": "{", "」": "「", "』": "『", "）": "（", "】": "【"}
+QUOTES = {"„": "“”\"", "“": "”\"", "”": "”", "«": "»", "»": "«", "‹": "›", "›": "‹", "‚": "‘’", "‘": "’", '"': '"'}
 STOPS = ".!?。！？"
+CLOSERS = set(BRACKETS) | {q for c in QUOTES.values() for q in c}
 OMITTED = re.compile(r"(?:…|\.\.\.?|\[(?:…|\.\.\.|truncated|cut)\]|\((?:…|\.\.\.)\)|<(?:truncated|cut)>)\s*\Z", re.I)
-BROKEN_END = re.compile(r"(?:\ufffd+|\\(?:u[0-9a-fA-F]{0,3}|x[0-9a-fA-F]?|U[0-9a-fA-F]{0,7})?|&(?:a|am|amp|ap|apo|apos|lt?|gt?|q|qu|quo|quot|n|nb|nbs|nbsp|#[0-9]{0,6}|#x[0-9A-Fa-f]{0,5})?|</?[A-Za-z][^<>]*|[\ud800-\udfff])\Z")
+#: Elements that must be ended; others (paragraphs, list items, line breaks) end by themselves.
+ENDED = frozenset("a abbr article aside b big blockquote body button cite code del details dfn div em figcaption figure font footer form h1 h2 h3 h4 h5 h6 header html i ins kbd label main mark nav ol pre q s samp script section select small span strong style sub summary sup table textarea title u ul var".split())
+_TAG = r"""<(/?)([A-Za-z][A-Za-z0-9]*)(?:\s+[A-Za-z_:@][\w:.@-]*(?:\s*=\s*(?:"[^"<>]*"|'[^'<>]*'|[^\s"'<>=]+))?)*\s*(/?)>"""
+#: A tag that never ends, an entity or escape that breaks off, half a character, a joiner with nothing to join.
+BROKEN_END = re.compile(
+    r"(?:[\ufffd\ud800-\udfff]+|\u200d|\\(?:u[0-9a-fA-F]{0,3}|x[0-9a-fA-F]?|U[0-9a-fA-F]{0,7})?|&(?:a|am|amp|ap|apo|apos|lt?|gt?|q|qu|quo|quot|n|nb|nbs|nbsp|#[0-9]{0,6}|#x[0-9A-Fa-f]{0,5})?"
+    r"|</?[A-Za-z][A-Za-z0-9]*\s*|<[A-Za-z][A-Za-z0-9]*\s+[A-Za-z_:@][\w:.@-]*\s*=[^<>]*|â€|ðŸ.?|(?<=[a-z])[ÃÂ])\Z"
+)
+#: The signs the automaton reads; faces and other signs between them are none.
+SIGNS = re.compile(_TAG + r"""|```|(?<!\S)[:;=][-'^o]?[(\[{]+(?!\S)|[()\[\]{}「」『』（）【】„“”«»‹›‚‘’"]""")
+_ANY_SIGN = re.compile(r"""[<`()\[\]{}「」『』（）【】„“”«»‹›‚‘’"]""")
 GAP = re.compile(r"[,.;:!?…)\]}。！？、，；：）】]")
 LONGEST_WORD = 64
 #: Lengths below a limit at which a text may end that is cut back to whole words.
 SPAN = 12
+#: Texts with a terminator to each without one from which on a source is one that always has one.
+USUAL = 9
 #: Words of a text that may be a bare name.
 BRIEF = 4
 
 
-def _core(token: str) -> str:
-    """A word without signs around it, in lower case, numbers as 0."""
+@functools.lru_cache(1 << 17)
+def _token(token: str) -> tuple[str, bool]:
+    """(a word without signs around it, in lower case, numbers as 0; whether a gap follows)."""
     a, b = 0, len(token)
     while a < b and not token[a].isalnum():
         a += 1
     while b > a and not token[b - 1].isalnum():
         b -= 1
-    return re.sub(r"\d+", "0", token[a:b].casefold())
+    return re.sub(r"\d+", "0", token[a:b].casefold()), bool(GAP.match(token[-1]))
 
 
 def word_steps(text: str) -> list[tuple[str, str, bool]]:
     """(word before, word, gap after) of every word; ^ before the first, ^, after a gap. Signs alone are a gap."""
     out: list[tuple[str, str, bool]] = []
     before = "^"
-    for token in text.split():
-        core = _core(token)
-        if not core:
-            if out and before != "^,":
-                out[-1] = (out[-1][0], out[-1][1], True)
-                before = "^,"
-            continue
-        gap = bool(GAP.search(token[-1]))
-        out.append((before, core, gap))
-        before = "^," if gap else core
+    for core, gap in map(_token, text.split()):
+        if core:
+            out.append((before, core, gap))
+            before = "^," if gap else core
+        elif out and before != "^,":
+            out[-1] = (out[-1][0], out[-1][1], True)
+            before = "^,"
     return out
 
 
+def left_open(text: str) -> list[str]:
+    """What the stack holds at the end of a text: signs and names of elements that nothing closes."""
+    stack: list[str] = []
+
+    def close(opener: str) -> bool:
+        """What was opened after it is no longer awaited: stray signs do not hide the close of an outer pair."""
+        for k in range(len(stack) - 1, -1, -1):
+            if stack[k] == opener:
+                del stack[k:]
+                return True
+        return False
+
+    for m in SIGNS.finditer(text):
+        sign, at, end = m.group(), m.start(), m.end()
+        if m[2]:
+            name = m[2].lower()
+            if name in ENDED and not m[3]:
+                close(f"<{name}>") if m[1] else stack.append(f"<{name}>")
+            continue
+        if sign == "```":
+            close(sign) or stack.append(sign)
+            continue
+        if len(sign) > 1 or "```" in stack:
+            continue  # a face, or a sign in a block of code
+        if sign in BRACKETS:
+            close(BRACKETS[sign])
+            continue
+        if sign not in CLOSERS and sign not in QUOTES:
+            stack.append(sign)
+            continue
+        before, after = text[at - 1 : at], text[end : end + 1]
+        opens = (not before or before.isspace() or before in "([{<（「-–—/" or before in QUOTES) and after != "" and not after.isspace()
+        if sign == "’" and before.isalnum() and after.isalnum():
+            continue  # an apostrophe
+        if sign == '"' and before.isdigit() and '"' not in stack:
+            continue  # a measure in inches
+        if sign == '"' and opens:
+            stack.append(sign)
+            continue
+        waiting = next((q for q in reversed(stack) if sign in QUOTES.get(q, "")), None)
+        if waiting:
+            close(waiting)
+        elif sign == "’" or (sign == "”" and not opens) or (sign == "‘" and after.isdigit()):
+            continue  # an apostrophe, a stray close, the short form of a year
+        elif sign != '"' or not before.isalnum():
+            stack.append(sign)
+    return stack
+
+
 def structure(text: str) -> int:
     """DONE, OPEN or CUT by the signs of the text alone. A blank left after a word announces another."""
     tail = text.rstrip()
-    if OMITTED.search(tail) and not re.search(r"(?<![.])\b(?:etc|usw)\.\Z", tail):
+    if OMITTED.search(tail, max(0, len(tail) - 20)) and not re.search(r"(?<![.])\b(?:etc|usw)\.\Z", tail[-8:]):
         return CUT
-    if BROKEN_END.search(tail):
+    last, end = tail[-1:], tail[-12:]
+    if (not end.isascii() or "\\" in end or "&" in end or "<" in tail) and BROKEN_END.search(tail):
         return CUT
-    stack: list[str] = []
-    for c in tail:
-        if c in PAIRS:
-            if stack and stack[-1] == PAIRS[c]:
-                stack.pop()
-        elif c in PAIRS.values():
-            stack.append(c)
-        elif c == '"':
-            if '"' in stack:
-                del stack[stack.index('"') :]
-            else:
-                stack.append(c)
-    if stack:
+    if _ANY_SIGN.search(tail) and left_open(tail):
         return CUT
-    last = tail[-1:]
-    if last in STOPS or last in PAIRS or last == '"':
+    if last in STOPS or last in CLOSERS:
         return DONE
     if last.isalnum():
         return CUT if text[-1:] == " " else OPEN
@@ -93,41 +146,50 @@ def structure(text: str) -> int:
     return CUT if last in ",;:-–—/&+=、，；：" else DONE
 
 
-def _scan(id_type: pa.DataType | None = None):
-    def rows(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in it:
-            texts = b.column("text").to_pylist()
-            state, before, word, brief = [], [], [], []
-            for t in texts:
-                s = structure(t)
-                steps = word_steps(t)
-                state.append(s)
-                before.append(steps[-1][0] if steps else "^")
-                word.append(steps[-1][1] if steps else "")
-                brief.append(0 < len(steps) <= BRIEF and not any(gap for _, _, gap in steps))
-            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("source"), b.column("copy"), pa.array([len(t) for t in texts], pa.int32()), pa.array(state, pa.int32()), pa.array(before, pa.string()), pa.array(word, pa.string()), pa.array(brief)], ["id", "source", "copy", "size", "state", "before", "word", "brief"])
+def _last_step(text: str) -> tuple[str, str, bool]:
+    """(word before, last word, whether the text is BRIEF words without a gap), from the end of the text where that is enough."""
+    parts = text.rsplit(None, 4 * BRIEF)
+    steps = word_steps(" ".join(parts[1:]) if len(parts) > 4 * BRIEF else text)
+    if len(parts) > 4 * BRIEF and len(steps) <= BRIEF:
+        steps = word_steps(text)
+    before, word = (steps[-1][0], steps[-1][1]) if steps else ("^", "")
+    return before, word, 0 < len(steps) <= BRIEF and not any(gap for _, _, gap in steps)
 
-    return rows
+
+def _scan(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in it:
+        texts = b.column("text").to_pylist()
+        before, word, brief = zip(*map(_last_step, texts)) if texts else ((), (), ())
+        numbers = [pa.array(x, pa.int32()) for x in ([len(t) for t in texts], [structure(t) for t in texts])]
+        yield pa.RecordBatch.from_arrays([b.column("id"), b.column("source"), b.column("copy"), *numbers, pa.array(before, pa.string()), pa.array(word, pa.string()), pa.array(brief, pa.bool_())], ["id", "source", "copy", "size", "state", "before", "word", "brief"])
 
 
 def _steps(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(before, word, n, gaps, ends) counted a batch at a time; the last word of a cut text counts for nothing."""
     for b in it:
-        n, gaps, ends = Counter(), Counter(), Counter()
+        codes: dict[str, int] = {"^": 0, "^,": 1}
+        befores, words, kinds = array("q"), array("q"), array("b")
         for t in b.column("text").to_pylist():
-            s, steps = structure(t), word_steps(t)
-            for i, (before, word, gap) in enumerate(steps):
-                k = (before, word)
-                last = i == len(steps) - 1
-                if last and s == CUT:
-                    continue
-                n[k] += 1
-                if last and s == OPEN and not gap:
-                    ends[k] += 1
-                elif last or gap:
-                    gaps[k] += 1
-        keys = list(n)
-        yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), *[pa.array([c[k] for k in keys], pa.int64()) for c in (n, gaps, ends)]], ["before", "word", "n", "gaps", "ends"])
+            before, n = 0, len(words)
+            for core, gap in map(_token, t.split()):
+                if core:
+                    word = codes.setdefault(core, len(codes))
+                    befores.append(before)
+                    words.append(word)
+                    kinds.append(gap)
+                    before = 1 if gap else word
+                elif len(words) > n and before != 1:
+                    kinds[-1], before = 1, 1
+            if len(words) > n:
+                s = structure(t)
+                # the end of a text: nothing where it is cut, an end where it is open, else a gap
+                kinds[-1] = 3 if s == CUT else 2 if s == OPEN and not kinds[-1] else 1
+        at, w, k = (np.frombuffer(x, t) if len(x) else np.empty(0, t) for x, t in ((befores, np.int64), (words, np.int64), (kinds, np.int8)))
+        at, w, k = at[k < 3], w[k < 3], k[k < 3]
+        pair, which = np.unique(at * len(codes) + w, return_inverse=True)
+        names = pa.array(list(codes), pa.string())
+        counts = [np.bincount(which, x, len(pair)).astype(np.int64) for x in (np.ones(len(k)), k == 1, k == 2)]
+        yield pa.RecordBatch.from_arrays([names.take(pa.array(pair // len(codes))), names.take(pa.array(pair % len(codes))), *map(pa.array, counts)], ["before", "word", "n", "gaps", "ends"])
 
 
 def _finished(n: Column, gaps: Column, ends: Column, own: Column) -> Column:
@@ -167,7 +229,7 @@ def verdicts(df: DataFrame, id_col: str, text_col: str, source_col: str, subject
     real = df.filter(is_real(F.col(text_col))).select(F.col(id_col).alias("id"), F.coalesce(F.col(source_col), F.lit("")).alias("source"), F.col(text_col).alias("text"), subject.alias("subject"))
     src = real.groupBy("id", "source", "text").agg(F.min(F.xxhash64("subject", "text")).alias("copy"))
     kind = src.schema["id"].dataType.simpleString()
-    rows = settled(src.mapInArrow(_scan(), f"id {kind}, source string, copy long, size int, state int, before string, word string, brief boolean"), "tails")
+    rows = settled(src.mapInArrow(_scan, f"id {kind}, source string, copy long, size int, state int, before string, word string, brief boolean"), "tails")
     sums = [F.sum(c).alias(c) for c in ("n", "gaps", "ends")]
     pairs = settled(real.select("subject", "text").distinct().select("text").mapInArrow(_steps, "before string, word string, n long, gaps long, ends long").groupBy("before", "word").agg(*sums), "steps")
     single = pairs.groupBy("word").agg(*sums)
@@ -225,14 +287,20 @@ def verdicts(df: DataFrame, id_col: str, text_col: str, source_col: str, subject
     limits = F.broadcast(limits) if fits(limits, 100_000) else limits
     out = rows.join(limits, ["source", "size"], "left")
     at_limit = F.col("limit").isNotNull() & (F.col("state") == OPEN) & ~F.col("closing")
-    return out.select(F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "state", "limit", (F.col("cut") | at_limit).alias("cut"))
+    # the terminator baseline of each source, over the texts that nothing else calls cut
+    ended = rows.groupBy("source").agg(F.count_if(F.col("state") == DONE).alias("done"), F.count_if((F.col("state") == OPEN) & ~F.col("cut")).alias("open"))
+    strict = ended.filter((F.col("done") >= 50) & (F.col("done") >= USUAL * F.col("open"))).select("source", F.lit(True).alias("strict"))
+    out = out.join(F.broadcast(strict) if fits(strict, 100_000) else strict, "source", "left")
+    missing = F.coalesce("strict", F.lit(False)) & (F.col("state") == OPEN) & ~F.col("brief")
+    return out.select(F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "state", "limit", (F.col("cut") | at_limit | missing).alias("cut"))
 
 
 def report(judged: DataFrame, source_col: str) -> DataFrame:
-    """One row per source: texts, cut texts, their share, and the limits found."""
+    """One row per source: texts, cut texts, their share, the share that ends with a terminator, and the limits found."""
     return judged.groupBy(source_col).agg(
         F.count("*").alias("n_texts"),
         F.sum(F.col("cut").cast("int")).cast("long").alias("n_cut"),
         F.round(F.avg(F.col("cut").cast("double")), 4).alias("share"),
+        F.round(F.avg((F.col("state") == DONE).cast("double")), 4).alias("terminated"),
         F.array_sort(F.collect_set("limit")).alias("limits"),
     )

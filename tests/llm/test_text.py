@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -138,6 +139,48 @@ def test_structure(text, state):
     assert trn.structure(text) == state
 
 
+@pytest.mark.parametrize(
+    "text,state",
+    [("Er sagte „Guten Tag“.", trn.DONE), ("»Guten Tag«, sagte er.", trn.DONE), ("«Bonjour», dit-il.", trn.DONE), ("‹a› b.", trn.DONE), ("›a‹ b.", trn.DONE), ("‚so‘ war es.", trn.DONE), ("‘yes’ he said.", trn.DONE), ("”hej” sade han.", trn.DONE), ("“a ‘b’ c”.", trn.DONE),
+     ('say "x "y" z"', trn.DONE), ('She said "go (now" and left.', trn.DONE), ("don’t stop.", trn.DONE), ("the dogs’ bowl.", trn.DONE), ("the ‘90s.", trn.DONE), ('It\'s 5" wide.', trn.DONE), ("Nice :(", trn.DONE), ("a) first, b) second.", trn.DONE),
+     ("<b>bold</b> text.", trn.DONE), ("line<br>next.", trn.DONE), ("<p>para.", trn.DONE), ("if a <b then done.", trn.DONE), ("see <a href='x'>link</a>.", trn.DONE), ("```\nf(x\n```", trn.DONE), ("x < y", trn.OPEN)],
+)
+def test_complete_texts(text, state):
+    assert trn.structure(text) == state
+
+
+@pytest.mark.parametrize("text", ["<b>bold text without an end tag.", "<B>bold <i>and</i> more.", "He said ‘yes", "„So", "»So geht", "«Oui", "”hej sade han.", "“a ‘b’ c.", "```python\nx = 1", "see <a href=\"x", "see <a", "family 👨‍", "cafÃ", "half â€", "rated (good", 'say "x "y" z'])
+def test_texts_left_open(text):
+    assert trn.structure(text) == trn.CUT
+
+
+def test_words_match_a_plain_count():
+    r = random.Random(4)
+    texts = [" ".join(r.choice(["Chair,", "red", "-", "12", "a.", "(toy", "…", "x3", "“"]) for _ in range(r.randint(0, 40))) + r.choice(["", ".", " "]) for _ in range(400)]
+    want = {}
+    for t in texts:
+        steps, s = trn.word_steps(t), trn.structure(t)
+        for i, (before, word, gap) in enumerate(steps):
+            last = i == len(steps) - 1
+            if not (last and s == trn.CUT):
+                c = want.setdefault((before, word), [0, 0, 0])
+                c[0] += 1
+                c[2 if last and s == trn.OPEN and not gap else 1] += last or gap
+    (got,) = trn._steps(iter([pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])]))
+    assert {(x["before"], x["word"]): [x["n"], x["gaps"], x["ends"]] for x in got.to_pylist()} == want
+    for t in texts:
+        steps = trn.word_steps(t)
+        assert trn._last_step(t)[:2] == ((steps[-1][0], steps[-1][1]) if steps else ("^", ""))
+        assert trn._last_step(t)[2] == (0 < len(steps) <= trn.BRIEF and not any(g for *_, g in steps))
+
+
+def test_a_missing_terminator_counts_where_a_source_always_has_one(spark):
+    r = random.Random(2)
+    text = lambda: " ".join(r.choice(WORDS) for _ in range(9)) + ", intricate detail"
+    rows = [(i, text() + ("" if i % 20 == 0 else "."), "strict", "", 0) for i in range(400)] + [(1000 + i, text() + ("" if i % 2 else "."), "loose", "", 0) for i in range(400)]
+    assert cut(spark, rows) == set(range(0, 400, 20))
+
+
 def cut(spark, rows):
     df = spark.createDataFrame(rows, "caption_id long, caption string, shard string, text string, size int")
     return {r.caption_id for r in trn.verdicts(df, "caption_id", "caption", "shard", F.col("caption_id")).filter("cut").collect()}
