@@ -226,12 +226,13 @@ def verdicts(df: DataFrame, id_col: str, text_col: str, source_col: str, subject
     null source is a source of its own. A source with more than two thirds of the texts has too few others beside it
     and is held against all texts.
     """
-    real = df.filter(is_real(F.col(text_col))).select(F.col(id_col).alias("id"), F.coalesce(F.col(source_col), F.lit("")).alias("source"), F.col(text_col).alias("text"), subject.alias("subject"))
-    src = real.groupBy("id", "source", "text").agg(F.min(F.xxhash64("subject", "text")).alias("copy"))
+    real = df.filter(is_real(F.col(text_col))).select(F.col(id_col).alias("id"), F.coalesce(F.col(source_col), F.lit("")).alias("source"), F.col(text_col).alias("text"), F.xxhash64(subject, text_col).alias("copy"))
+    real = settled(real, "texts")  # read twice, tested once
+    src = real.groupBy("id", "source", "text").agg(F.min("copy").alias("copy"))
     kind = src.schema["id"].dataType.simpleString()
     rows = settled(src.mapInArrow(_scan, f"id {kind}, source string, copy long, size int, state int, before string, word string, brief boolean"), "tails")
     sums = [F.sum(c).alias(c) for c in ("n", "gaps", "ends")]
-    pairs = settled(real.select("subject", "text").distinct().select("text").mapInArrow(_steps, "before string, word string, n long, gaps long, ends long").groupBy("before", "word").agg(*sums), "steps")
+    pairs = settled(real.select("copy", "text").distinct().select("text").mapInArrow(_steps, "before string, word string, n long, gaps long, ends long").groupBy("before", "word").agg(*sums), "steps")
     single = pairs.groupBy("word").agg(*sums)
     total = pairs.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     # words that make up a 250th of the corpus: at most 250
@@ -277,6 +278,7 @@ def verdicts(df: DataFrame, id_col: str, text_col: str, source_col: str, subject
     if fits(judged, 100_000):
         judged = F.broadcast(judged)
     rows = rows.join(judged, ["source", "before", "word", "brief"], "left").select("id", "source", "size", "state", "brief", ((F.col("state") == CUT) | ((F.col("state") == OPEN) & F.coalesce("unfinished", F.lit(False)))).alias("cut"), F.coalesce("closing", F.lit(False)).alias("closing"))
+    rows = settled(rows, "verdicts")
 
     # lengths at which a source piles up unfinished texts; lengths and sources are few, the counts merge before the shuffle
     sizes = rows.groupBy("source", "size").agg(F.count("*").alias("here"), F.sum(F.col("cut").cast("int")).alias("cuts"))
