@@ -1,9 +1,10 @@
 """Encoding of a corpus by a shuffle of its distinct words, and decoding by a join with the token bytes.
 
-Texts are taken up in blocks. A block numbers its distinct pre-tokens and keeps its texts as lists of those
-numbers, position by position; each word goes through the shuffle once a block, is encoded in the task that
-owns it, and its ids go back to the block, where the texts are put together again by position. A hot word costs
-one row a block, however often it stands there.
+Texts are taken up in blocks, and cut into pre-tokens once. A word that is a token of the vocabulary has its id at
+once; a block numbers its other distinct words and keeps its texts as lists of ids and such numbers, position by
+position. The other words go through the shuffle once a block, are encoded in the task that owns them, and their ids
+go back to the block, where the texts are put together again by position. A hot word costs one row a block, however
+often it stands there, and is spread over SALTS tasks.
 """
 
 from __future__ import annotations
@@ -13,7 +14,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,23 +34,31 @@ def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.Array, pa.Dictionar
         yield int.from_bytes(h.digest(), "little", signed=True), part, B.words(data, cuts), ends
 
 
-def _word_rows(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in it:
-        for block, _, w, _ in _blocks(batch):
-            d = w.dictionary.cast(pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(block, pa.int64()), len(d)), pa.array(np.arange(len(d), dtype=np.int32)), d], ["block", "code", "word"])
+def _block_rows(id_type: str, path: str, name: str):
+    """Texts (block, id, codes, step) and the words the vocabulary lacks (block, code, word), as rows of one table."""
 
-
-def _text_rows(id_type: pa.DataType):
     def rows(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = B.ranks(path, name)
         for batch in it:
             for block, ids, w, ends in _blocks(batch):
-                codes = w.indices.to_numpy().astype(np.uint16 if len(w.dictionary) < 1 << 16 else np.uint32)
-                step = codes.itemsize
-                packed = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ids), [None, pa.py_buffer((ends * step).astype(np.int64)), pa.py_buffer(codes)])
-                yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(block, pa.int64()), len(ids)), ids, packed.cast(pa.binary()), pa.repeat(pa.scalar(step, pa.int32()), len(ids))], ["block", "id", "codes", "step"])
+                number = np.fromiter((known.get(x, -1) for x in w.dictionary.to_pylist()), np.int64, len(w.dictionary))
+                lacking = np.flatnonzero(number < 0)
+                number[lacking] = len(known) + np.arange(len(lacking))
+                codes = number[w.indices.to_numpy()].astype(np.uint16 if len(known) + len(lacking) <= 1 << 16 else np.uint32)
+                step, n, m = codes.itemsize, len(ids), len(lacking)
+                packed = pa.LargeBinaryArray.from_buffers(pa.large_binary(), n, [None, pa.py_buffer((ends * step).astype(np.int64)), pa.py_buffer(codes)])
+                same = lambda x, k, t: pa.repeat(pa.scalar(x, t), k)
+                yield pa.RecordBatch.from_arrays([same(block, n, pa.int64()), ids, packed.cast(pa.binary()), same(step, n, pa.int32()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], _NAMES)
+                if m:
+                    words = w.dictionary.take(pa.array(lacking)).cast(pa.binary())
+                    yield pa.RecordBatch.from_arrays([same(block, m, pa.int64()), pa.nulls(m, ids.type), pa.nulls(m, pa.binary()), pa.nulls(m, pa.int32()), pa.array(np.arange(m, dtype=np.int32)), words], _NAMES)
 
-    return rows
+    return rows, f"block long, id {id_type}, codes binary, step int, code int, word binary"
+
+
+_NAMES = ["block", "id", "codes", "step", "code", "word"]
+#: Tasks that a word of all blocks is spread over; each of them encodes it once.
+SALTS = 32
 
 
 def _encode_rows(path: str, name: str):
@@ -65,42 +73,47 @@ def _encode_rows(path: str, name: str):
     return rows
 
 
-def _join_back(texts: pa.Table, table: pa.Table) -> pa.Table:
-    if not texts.num_rows:
-        return pa.table({"id": texts.column("id"), "ids": pa.array([], pa.list_(pa.int32()))})
-    size = table.num_rows and int(pc.max(table.column("code")).as_py()) + 1
-    codes_at = table.column("code").to_numpy().astype(np.int64)
-    packed = table.column("ids").combine_chunks().cast(pa.large_binary()) if table.num_rows else pa.array([], pa.large_binary())
-    row = np.full(size, -1, np.int64)
-    row[codes_at] = np.arange(len(codes_at))
-    off = np.frombuffer(packed.buffers()[1], np.int64, len(packed) + 1, packed.offset * 8) // 4 if len(packed) else np.zeros(1, np.int64)
-    vals = np.frombuffer(packed.buffers()[2], np.int32, int(off[-1])) if len(packed) and off[-1] else np.empty(0, np.int32)
-    body = texts.column("codes").combine_chunks().cast(pa.large_binary())
-    boff = np.frombuffer(body.buffers()[1], np.int64, len(body) + 1, body.offset * 8)
-    raw = np.frombuffer(body.buffers()[2], np.uint8)[boff[0] : boff[-1]] if boff[-1] else np.empty(0, np.uint8)
-    step = texts.column("step")[0].as_py()
-    codes = raw.view(np.uint16 if step == 2 else np.uint32).astype(np.int64)
-    at = row[codes] if len(codes) else codes
-    if len(at) and at.min() < 0:
-        raise ValueError("a block lost words on the way; the input changed while it was read")
-    ids, ends = B.gather(vals, off, at)
-    lists = pa.ListArray.from_arrays(pa.array(ends[(boff - boff[0]) // step].astype(np.int32)), pa.array(ids, pa.int32()))
-    return pa.table({"id": texts.column("id"), "ids": lists})
+def _join_back(vocabulary: int):
+    """The texts of a block from its codes: ids as they are, and the numbered words' ids from the table."""
+
+    def join(texts: pa.Table, table: pa.Table) -> pa.Table:
+        if not texts.num_rows:
+            return pa.table({"id": texts.column("id"), "ids": pa.array([], pa.list_(pa.int32()))})
+        packed = table.column("ids").combine_chunks().cast(pa.large_binary()) if table.num_rows else pa.array([], pa.large_binary())
+        off = np.frombuffer(packed.buffers()[1], np.int64, len(packed) + 1, packed.offset * 8) // 4 if len(packed) else np.zeros(1, np.int64)
+        vals = np.frombuffer(packed.buffers()[2], np.int32, int(off[-1])) if off[-1] else np.empty(0, np.int32)
+        body = texts.column("codes").combine_chunks().cast(pa.large_binary())
+        boff = np.frombuffer(body.buffers()[1], np.int64, len(body) + 1, body.offset * 8)
+        raw = np.frombuffer(body.buffers()[2], np.uint8)[boff[0] : boff[-1]] if boff[-1] else np.empty(0, np.uint8)
+        step = texts.column("step")[0].as_py()
+        codes = raw.view(np.uint16 if step == 2 else np.uint32).astype(np.int64)
+        row = np.full(max(0, int(codes.max(initial=-1)) - vocabulary + 1), -1, np.int64)
+        place = table.column("code").to_numpy().astype(np.int64)
+        row[place] = vocabulary + np.arange(len(place))
+        at = np.concatenate([np.arange(vocabulary), row])[codes]
+        if len(at) and at.min() < 0:
+            raise ValueError("a block lost words on the way; the input changed while it was read")
+        ids, ends = B.gather(np.concatenate([np.arange(vocabulary, dtype=np.int32), vals]), np.concatenate([np.arange(vocabulary), vocabulary + off]), at)
+        lists = pa.ListArray.from_arrays(pa.array(ends[(boff - boff[0]) // step].astype(np.int32)), pa.array(ids, pa.int32()))
+        return pa.table({"id": texts.column("id"), "ids": lists})
+
+    return join
 
 
 def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str = B.TOKENIZERS, name: str = "byte_bpe_50k") -> DataFrame:
     """(id_col, ids): the token ids of each row's text, without special tokens; strings that look like them are ordinary text.
 
     Null and empty texts get an empty list. Every row stays, repeated rows and null ids too; other columns are
-    left out. Ids may be of any type that Arrow carries.
+    left out. Ids may be of any type that Arrow and Parquet carry.
     """
     src = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     kind = src.schema["id"].dataType.simpleString()
-    words = src.mapInArrow(_word_rows, "block long, code int, word binary")
+    blocks = settled(src.mapInArrow(*_block_rows(kind, path, name)), "blocks")
+    words = blocks.filter("word is not null").select("block", "code", "word")
     # the same words side by side, so that each is encoded once
-    coded = words.repartition("word").sortWithinPartitions("word").mapInArrow(_encode_rows(path, name), "block long, code int, ids binary")
-    texts = src.mapInArrow(_text_rows(None), f"block long, id {kind}, codes binary, step int")
-    out = texts.groupBy("block").cogroup(coded.groupBy("block")).applyInArrow(_join_back, f"id {kind}, ids array<int>")
+    coded = words.repartition("word", F.pmod("block", F.lit(SALTS))).sortWithinPartitions("word").mapInArrow(_encode_rows(path, name), "block long, code int, ids binary")
+    texts = blocks.filter("word is null").select("block", "id", "codes", "step")
+    out = texts.groupBy("block").cogroup(coded.groupBy("block")).applyInArrow(_join_back(len(B.ranks(path, name))), f"id {kind}, ids array<int>")
     return out.select(F.col("id").alias(id_col), "ids")
 
 
