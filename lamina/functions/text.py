@@ -16,6 +16,10 @@ BLANKS = r"[\p{Z}\p{Cc}\x{2800}]"
 _STAND_IN_RE = "^(" + "|".join(w.replace(".", r"\.") for w in STAND_INS) + r")\z"
 
 
+#: More letters and digits than the longest stand-in has: no stand-in, whatever stands between them.
+_MANY = "^(?:[^\\p{L}\\p{N}]*+[\\p{L}\\p{N}&&[^\\x{115F}\\x{1160}\\x{17B4}\\x{17B5}\\x{3164}\\x{FFA0}]]){" + str(max(map(len, STAND_INS)) + 1) + "}"
+
+
 def bare(c: Column) -> Column:
     """Lower case, without invisible characters, runs of blanks as one space, no blanks or brackets around."""
     s = F.lower(F.regexp_replace(F.regexp_replace(c, INVISIBLE, ""), BLANKS + "+", " "))
@@ -33,8 +37,8 @@ def is_stand_in(c: Column) -> Column:
 
 
 def is_real(c: Column) -> Column:
-    """Neither null nor blank nor a stand-in for a missing value. Never null."""
-    return F.coalesce(~is_stand_in(c), F.lit(False))
+    """Neither null nor blank nor a stand-in for a missing value. Never null. Texts with enough letters are settled at the first of them."""
+    return F.coalesce(F.when(c.rlike(_MANY), True).otherwise(~is_stand_in(c)), F.lit(False))
 
 
 def real_sql(c: str) -> str:

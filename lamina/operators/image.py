@@ -11,7 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lamina.session import fits
@@ -40,21 +40,45 @@ def nearest_within(grid: DataFrame, margin: int) -> DataFrame:
     return grid.filter(~F.col("valid")).select("img", "y", "x").join(best, ["img", "y", "x"]).select("img", "y", "x", "t.ny", "t.nx", "t.d2")
 
 
+def _least_in_row(x: list[int], dy2: list[int], rank: list[int], at: list[int]) -> list[int]:
+    """For each ascending `at` the candidate with the least (squared distance, rank): lower envelope of parabolas, in whole numbers.
+
+    x ascends. Cost and rank are one number, scale * distance + rank; curvatures are equal, so the envelope is one of lines.
+    """
+    scale = len(x) + 1
+    cost = [scale * (a * a + d) + r for a, d, r in zip(x, dy2, rank)]
+    hull: list[int] = []
+    for i in range(len(x)):
+        while len(hull) > 1:
+            a, b = hull[-2], hull[-1]
+            if (cost[i] - cost[a]) * (x[b] - x[a]) > (cost[b] - cost[a]) * (x[i] - x[a]):
+                break
+            hull.pop()
+        hull.append(i)
+    out, k = [], 0
+    for q in at:
+        turn = 2 * scale * q
+        while k + 1 < len(hull) and cost[hull[k + 1]] - turn * x[hull[k + 1]] < cost[hull[k]] - turn * x[hull[k]]:
+            k += 1
+        out.append(hull[k])
+    return out
+
+
 def _row_nearest(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Settles whole rows of an image: for each texel the nearest of the row's column candidates."""
+    """Settles whole rows of an image: for each texel the nearest of the row's column candidates, in time linear in the row."""
     for b in it:
         for img, y, xs, nys, inv in zip(b.column("img").to_pylist(), b.column("y").to_pylist(), b.column("xs").to_pylist(), b.column("nys").to_pylist(), b.column("todo").to_pylist()):
             if not xs or not inv:
                 continue
-            x, ny, at = np.array(xs, np.int64), np.array(nys, np.int64), np.array(inv, np.int64)
-            dy2 = (ny - y) ** 2
-            order = np.lexsort((x, ny))
-            x, ny, dy2 = x[order], ny[order], dy2[order]
-            best = np.empty(len(at), np.int64)
-            for i in range(0, len(at), 512):
-                best[i : i + 512] = (dy2[None, :] + (x[None, :] - at[i : i + 512, None]) ** 2).argmin(axis=1)
+            x, ny = np.array(xs, np.int64), np.array(nys, np.int64)
+            order = np.argsort(x)
+            x, ny, at = x[order], ny[order], np.sort(np.array(inv, np.int64))
+            rank = np.empty(len(x), np.int64)
+            rank[np.lexsort((x, ny))] = np.arange(len(x))
+            best = np.array(_least_in_row(x.tolist(), ((ny - y) ** 2).tolist(), rank.tolist(), at.tolist()))
             n = len(at)
-            yield pa.RecordBatch.from_arrays([pa.array([img] * n, b.column("img").type), pa.array([y] * n, pa.int32()), *[pa.array(v.astype(np.int32)) for v in (at, ny[best], x[best], dy2[best] + (x[best] - at) ** 2)]], ["img", "y", "x", "ny", "nx", "d2"])
+            d2 = (ny[best] - y) ** 2 + (x[best] - at) ** 2
+            yield pa.RecordBatch.from_arrays([pa.array([img] * n, b.column("img").type), pa.array([y] * n, pa.int32()), *[pa.array(v.astype(np.int32)) for v in (at, ny[best], x[best], d2)]], ["img", "y", "x", "ny", "nx", "d2"])
 
 
 def nearest_valid(grid: DataFrame) -> DataFrame:
@@ -144,12 +168,13 @@ def sizes(pixels: DataFrame) -> DataFrame:
     return pixels.groupBy("img").agg((F.max("y") + 1).alias("h"), (F.max("x") + 1).alias("w"))
 
 
-def resized(pixels: DataFrame, size: int, kernel: str = "lanczos") -> DataFrame:
+def resized(pixels: DataFrame, size: int, kernel: str = "lanczos", dims: DataFrame | None = None) -> DataFrame:
     """Each image at size x size: two passes of a join with the weights of its own height and width, rounded to bytes in between.
 
-    The weights are a table by distinct image size, made where it is needed; it is broadcast for up to 64 sizes.
+    dims (img, h, w) is taken where it is known, else worked out. The weights are a table by distinct image size, made
+    where it is needed; it is broadcast for up to 64 sizes, which is counted first.
     """
-    dims = sizes(pixels)
+    dims = sizes(pixels) if dims is None else dims
     distinct = dims.select(F.explode(F.array("h", "w")).alias("n")).distinct()
 
     def rows(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,8 +203,9 @@ def mask_resized(grid: DataFrame, size: int, dims: DataFrame) -> DataFrame:
 
 def delivered(pixels: DataFrame, grid: DataFrame, size: int, margin: int = 4) -> DataFrame:
     """The delivered texture: dilate, then resize, then resample the mask, then the margin; the order is what keeps black out of the seams."""
-    small = resized(dilate_full(pixels, grid), size)
-    return margin_ring(small, mask_resized(grid, size, sizes(pixels)), margin)
+    dims = sizes(grid)
+    small = resized(dilate_full(pixels, grid), size, dims=dims)
+    return margin_ring(small, mask_resized(grid, size, dims), margin)
 
 
 def digest(pixels: DataFrame) -> DataFrame:
@@ -190,23 +216,17 @@ def digest(pixels: DataFrame) -> DataFrame:
 
 
 def sampled_families(texels: DataFrame, uv_vertices: DataFrame, uv_faces: DataFrame, pixels: DataFrame) -> DataFrame:
-    """Every family's texels read out of the primary texture: (img, family, i, r, g, b), black where the face does not exist.
+    """Every family's texels read out of the primary texture: (uid, family, i, r, g, b), black where the face does not exist.
 
-    texels(family, i, face_id, b0, b1, b2) of one layout (uv_vertices(tid, u, v), uv_faces(fid, ta, tb, tc)); pixels of any number of images.
+    texels(uid, family, i, face_id, b0, b1, b2), uv_vertices(uid, tid, u, v), uv_faces(uid, fid, ta, tb, tc), pixels(uid, y, x,
+    r, g, b); all joins are on the object. Objects without pixels have no rows.
     """
     from lamina.operators.raster import corner_columns
     from lamina.operators.view import texel
 
-    one = F.lit(0).alias("_one")
-    uv = corner_columns(uv_faces.select("*", one), uv_vertices.select("*", one), ["ta", "tb", "tc"], "tid", ["u", "v"], ["_one"]).drop("_one").withColumnRenamed("fid", "face_id")
+    uv = corner_columns(uv_faces, uv_vertices, ["ta", "tb", "tc"], "tid", ["u", "v"], ["uid"]).withColumnRenamed("fid", "face_id")
+    size = pixels.groupBy("uid").agg((F.max("y") + 1).alias("h"), (F.max("x") + 1).alias("w"))
     at = lambda c: F.col(f"{c}0") * F.col("b0") + F.col(f"{c}1") * F.col("b1") + F.col(f"{c}2") * F.col("b2")
-    t = texels.join(uv, "face_id", "left").select("family", "i", at("u").alias("u"), at("v").alias("v"))
-    each = sizes(pixels).crossJoin(t).withColumns({"tx": texel(F.col("u"), F.col("w")), "ty": texel(F.col("v"), F.col("h"))})
-    p = pixels.select("img", F.col("y").alias("ty"), F.col("x").alias("tx"), "r", "g", "b")
-    return each.join(p, ["img", "ty", "tx"], "left").select("img", "family", "i", *[F.coalesce(c, F.lit(0)).cast("int").alias(c) for c in "rgb"])
-
-
-def encode_grid(spark: SparkSession, img: int, rgb: np.ndarray) -> DataFrame:
-    """A numpy image as a pixel relation."""
-    h, w = rgb.shape[:2]
-    return spark.createDataFrame([(img, y, x, *[int(c) for c in rgb[y, x]]) for y in range(h) for x in range(w)], "img long, y int, x int, r int, g int, b int")
+    t = texels.join(size, "uid").join(uv, ["uid", "face_id"], "left").select("uid", "family", "i", texel(at("v"), F.col("h")).alias("ty"), texel(at("u"), F.col("w")).alias("tx"), at("u").isNotNull().alias("there"))
+    p = pixels.select("uid", F.col("y").alias("ty"), F.col("x").alias("tx"), "r", "g", "b")
+    return t.join(p, ["uid", "ty", "tx"], "left").select("uid", "family", "i", *[F.when(F.col("there"), F.coalesce(c, F.lit(0))).otherwise(0).cast("int").alias(c) for c in "rgb"])

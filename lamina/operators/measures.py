@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from lamina.operators import image, view
 from lamina.operators import pixelmeasures as pm
-from lamina.operators.raster import corner_columns
 
 #: Measures that one frame alone cannot take, with the reason.
 UNMEASURABLE = {"g3": "needs rendered views", "g4": "needs rendered views", "g5": "needs a second render", "g6": "needs family textures", "g7": "needs family textures", "g8": "needs the view sheet"}
@@ -88,7 +87,7 @@ def sheet_agreement(mesh: tuple[DataFrame, DataFrame, DataFrame, DataFrame], tex
     sheet, f = (x.join(have, "uid", "left_semi") for x in (sheet, f))
     nv = view.normalized(v.join(have, "uid", "left_semi"))
     frags = view.fragments(nv, f, view.camera_table(v.sparkSession, view.box_cameras()), res).join(size(texture), "uid")
-    direct, flipped = (view.emission(frags, uv, uf, texture, F.col("w"), F.col("h"), flip) for flip in (False, True))
+    rendered = view.emission(frags, uv, uf, texture, F.col("w"), F.col("h"), None)
     tiles = view.sheet_tiles(sheet, size(sheet)).withColumnRenamed("tile", "view")
     fit = (F.col("th") == res) & (F.col("tw") == res)
     name = F.concat_ws("|", "view", "uid")
@@ -96,18 +95,8 @@ def sheet_agreement(mesh: tuple[DataFrame, DataFrame, DataFrame, DataFrame], tex
     part = F.split("img", r"\|", 2)
     at = ["uid", "view", "y", "x"]
     tiles = tiles.filter(fit).select(*at, "r", "g", "b").unionByName(other.select(part[1].alias("uid"), part[0].cast("long").alias("view"), "y", "x", "r", "g", "b"))
-    fg = view.tile_foreground(tiles.withColumns({"th": F.lit(res), "tw": F.lit(res)}), ["uid", "view"]).select(*at, "fg", *[F.col(c).alias(f"t{c}") for c in "rgb"])
-    named = lambda df, p: df.select(*at, *[F.col(c).alias(f"{p}{c}") for c in "rgb"])
-    j = fg.join(named(direct, "d"), at, "left").join(named(flipped, "m"), at, "left")
-    alpha = F.col("dr").isNotNull()
-    both = F.col("fg") & alpha
-    g = j.groupBy("uid", "view").agg(F.count_if(both).alias("i"), F.count_if(F.col("fg") | alpha).alias("u"), F.sum(F.when(both, pm.squared_error("d", "t"))).alias("se"), F.sum(F.when(both, pm.squared_error("m", "t"))).alias("sf"))
-    samples = F.when(F.col("i") >= 100, F.col("i") * 3).otherwise(0)
-    views = g.select("uid", "view", F.round(F.col("i") / F.greatest("u", F.lit(1)), 4).alias("iou"), pm.psnr(F.col("se"), samples).alias("psnr"), pm.psnr(F.col("sf"), samples).alias("psnr_flip"))
-    # least() passes over nulls, so a void view would count as the ceiling: the medians take defined views only
-    clip = lambda c: F.round(F.median(F.when(F.col(c).isNotNull(), F.least(F.col(c), F.lit(pm.PSNR_CEILING)))), 3).alias(f"g8_{c}")
-    middle = views.groupBy("uid").agg(clip("psnr"), clip("psnr_flip"), F.round(F.median("iou"), 4).alias("g8_iou"))
-    return pm.agreement(views, "uid").drop("g8_psnr", "g8_psnr_flip").join(middle, "uid")
+    truth = view.tile_foreground(tiles.withColumns({"th": F.lit(res), "tw": F.lit(res)}), ["uid", "view"]).select(*at, "fg", *[F.col(c).alias(f"t{c}") for c in "rgb"])
+    return pm.agreement(pm.compared_views(truth, rendered), "uid")
 
 
 def resolved_families(families: DataFrame, uv: DataFrame, uf: DataFrame, texture: DataFrame) -> DataFrame:
@@ -116,11 +105,7 @@ def resolved_families(families: DataFrame, uv: DataFrame, uf: DataFrame, texture
     families(uid, family, i, face_id, b0, b1, b2); objects with fewer than two families have no row, as in the source.
     """
     many = families.groupBy("uid").agg(F.count_distinct("family").alias("n")).filter("n >= 2").select("uid")
-    c = corner_columns(uf, uv, ["ta", "tb", "tc"], "tid", ["u", "v"], ["uid"]).withColumnRenamed("fid", "face_id")
-    size = texture.groupBy("uid").agg((F.max("y") + 1).alias("h"), (F.max("x") + 1).alias("w"))
-    at = lambda k: F.col(f"{k}0") * F.col("b0") + F.col(f"{k}1") * F.col("b1") + F.col(f"{k}2") * F.col("b2")
-    t = families.join(many, "uid", "left_semi").join(c, ["uid", "face_id"], "left").join(size, "uid").select("uid", "family", view.texel(at("v"), F.col("h")).alias("y"), view.texel(at("u"), F.col("w")).alias("x"), at("u").isNotNull().alias("there"))
-    p = t.join(texture, ["uid", "y", "x"], "left").select("uid", "family", *[F.when(F.col("there"), F.coalesce(k, F.lit(0))).otherwise(0).alias(k) for k in "rgb"])
+    p = image.sampled_families(families.join(many, "uid", "left_semi"), uv, uf, texture)
     return pm.family_resolve(p, ["uid"]).groupBy("uid").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("family", "resolved")))).alias("family_resolve"))
 
 
@@ -131,7 +116,7 @@ def assembled(pixels: DataFrame, grid: DataFrame, references: DataFrame | None =
     render(uid, measures map<string, double>, note): numbers of a renderer over the own ones. uid is img as text.
     """
     rows = pm.dark_coverage(pixels, grid).join(image.ring_consistency(pixels, grid), "img").join(pm.dark_blobs(pixels, grid).select("img", "g1_max_blob"), "img", "left")
-    error = F.when((F.col("ring_difference") > 0) | (F.col("far_background") > 0), "margin kernel post-condition violated")
+    error = F.when((F.col("ring_difference") > 0) | (F.col("far_background") > 0), "ring or background differs from the margin rule")
     rows = rows.withColumns({"uid": F.col("img").cast("string"), "error": error, "g1_max_blob": F.coalesce("g1_max_blob", F.lit(0.0))})
     none = lambda kind: F.lit(None).cast(kind)
 

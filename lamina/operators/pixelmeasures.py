@@ -65,27 +65,6 @@ def dark_blobs(pixels: DataFrame, grid: DataFrame, luma_max: int = 12) -> DataFr
     return out.withColumn("g1_max_blob", F.round(F.col("largest") / F.col("dark"), 3))
 
 
-def linked_components(nodes: DataFrame, edges: DataFrame, rounds: int = 60) -> DataFrame:
-    """(id, root): least id of each component, for graphs of any size, by joins with pointer jumping.
-
-    nodes(id), edges(a, b). Each round is checkpointed to the shared folder, so the plan stays short and a lost
-    executor costs one round. Used where a component may exceed one task; images use dark_blobs.
-    """
-    from lamina.session import settled
-
-    both = settled(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
-    cur = settled(nodes.select("id", F.col("id").alias("root")), "roots")
-    for _ in range(rounds):
-        near = both.join(cur, both.a == cur.id).groupBy(F.col("b").alias("id")).agg(F.min("root").alias("near"))
-        low = cur.join(near, "id", "left").select("id", F.col("root").alias("old"), F.least("root", F.coalesce("near", "root")).alias("root"))
-        jump = low.select(F.col("id").alias("root"), F.col("root").alias("next"))
-        nxt = settled(low.join(jump, "root").select("id", "old", F.least("root", "next").alias("root")), "roots")
-        if nxt.filter("old <> root").isEmpty():
-            return nxt.select("id", "root")
-        cur = nxt.select("id", "root")
-    raise RuntimeError(f"components did not settle in {rounds} rounds")
-
-
 def reference_dark(pixels: DataFrame, dims: DataFrame, luma_max: int = 60, delta: int = 40, least_px: int = 500) -> DataFrame:
     """(img, g1_ref_dark, g1_ref_foreground_px): share of the subject that is dark; null where the subject is too small.
 
@@ -107,23 +86,46 @@ def psnr(squares: Column, samples: Column) -> Column:
     return F.when(samples == 0, None).when(squares == 0, F.lit(float("inf"))).otherwise(10.0 * F.log10(F.lit(65025.0) / mse))
 
 
-def squared_error(a: str, b: str) -> Column:
-    """Sum over the channels of (a_c - b_c)^2 as a long."""
-    return sum(((F.col(f"{a}{c}").cast("long") - F.col(f"{b}{c}")) * (F.col(f"{a}{c}").cast("long") - F.col(f"{b}{c}")) for c in "gb"), (F.col(f"{a}r").cast("long") - F.col(f"{b}r")) * (F.col(f"{a}r").cast("long") - F.col(f"{b}r")))
+#: Fixed value: pixels that both masks must share for a view to count.
+LEAST_SHARED = 100
+
+
+def compared_views(truth: DataFrame, rendered: DataFrame) -> DataFrame:
+    """(uid, view, iou, psnr, psnr_flip): renders of a texture as it is and upside down against the true views.
+
+    truth(uid, view, y, x, fg, tr, tg, tb) has every pixel of a view, rendered(uid, view, y, x, flipped, r, g, b) those a
+    face covers. Colours are compared where both have the object; with fewer than LEAST_SHARED such pixels they are undefined.
+    """
+    at = ["uid", "view", "y", "x"]
+    j = truth.join(rendered, at, "left")
+    alpha = F.coalesce(~F.col("flipped"), F.lit(False))
+    once = F.coalesce(~F.col("flipped"), F.lit(True))  # a covered pixel has two rows
+    error = sum(((F.col(c).cast("long") - F.col(f"t{c}")) * (F.col(c).cast("long") - F.col(f"t{c}")) for c in "gb"), (F.col("r").cast("long") - F.col("tr")) * (F.col("r").cast("long") - F.col("tr")))
+    both = F.col("fg") & alpha
+    g = j.groupBy("uid", "view").agg(
+        F.count_if(both).alias("i"),
+        F.count_if(once & (F.col("fg") | alpha)).alias("u"),
+        F.sum(F.when(both, error)).alias("se"),
+        F.sum(F.when(F.col("fg") & F.coalesce("flipped", F.lit(False)), error)).alias("sf"),
+    )
+    samples = F.when(F.col("i") >= LEAST_SHARED, F.col("i") * 3).otherwise(0)
+    return g.select("uid", "view", F.round(F.col("i") / F.greatest("u", F.lit(1)), 4).alias("iou"), psnr(F.col("se"), samples).alias("psnr"), psnr(F.col("sf"), samples).alias("psnr_flip"))
 
 
 def agreement(views: DataFrame, key: str) -> DataFrame:
-    """Median over views of the clipped PSNR, direct and flipped; undefined views are skipped and counted.
+    """Median over views of the clipped PSNR, direct and flipped, and of the IoU; undefined views are skipped and counted.
 
-    views(key, view, psnr, psnr_flip).
+    views(key, view, iou, psnr, psnr_flip).
     """
-    clip = lambda c: F.least(F.col(c), F.lit(PSNR_CEILING))
+    # least() passes over nulls: an undefined view must not count as the ceiling
+    clip = lambda c: F.when(F.col(c).isNotNull(), F.least(F.col(c), F.lit(PSNR_CEILING)))
     return views.groupBy(key).agg(
         F.round(F.median(clip("psnr")), 3).alias("g8_psnr"),
         F.round(F.median(clip("psnr_flip")), 3).alias("g8_psnr_flip"),
         F.count("*").alias("g8_views"),
         F.count("psnr").alias("g8_views_measured"),
         F.count_if(F.col("psnr") == float("inf")).alias("g8_exact_views"),
+        F.round(F.median("iou"), 4).alias("g8_iou"),
     )
 
 
@@ -132,6 +134,14 @@ def iou(a: Column, b: Column) -> Column:
     return F.round(F.try_divide(F.count_if(a & b), F.count_if(a | b)), 4)
 
 
+def silhouettes(a: DataFrame, b: DataFrame, keys: list[str], threshold: int = 128) -> DataFrame:
+    """(keys, iou) of two coverage masks (keys, y, x, v): a pixel counts from `threshold` on, one that a mask lacks is 0."""
+    at = [*keys, "y", "x"]
+    j = a.select(*at, F.col("v").alias("_a")).join(b.select(*at, F.col("v").alias("_b")), at, "full")
+    on = lambda c: F.coalesce(F.col(c) >= threshold, F.lit(False))
+    return j.groupBy(*keys).agg(iou(on("_a"), on("_b")).alias("iou"))
+
+
 def framing(ious: DataFrame, key: str) -> DataFrame:
     """(key, g4_iou_min, g4_iou_orig, g4_views): worst IoU over the views now and originally; undefined ones are skipped."""
     return ious.groupBy(key).agg(F.min("iou").alias("g4_iou_min"), F.min("iou_orig").alias("g4_iou_orig"), F.count("*").alias("g4_views"))

@@ -84,24 +84,45 @@ def address_map(uv_vertices: DataFrame, uv_faces: DataFrame, res: int, face_map:
 
 
 def stats(uv_vertices: DataFrame, uv_faces: DataFrame, res: int) -> DataFrame:
-    """Faces, faces without area, reversed faces, covered, overlapping and valid texels, occupancy, per uid."""
+    """Faces, faces without area, reversed faces, covered, overlapping and valid texels, occupancy and the overlapping share of what is covered, per uid."""
     tri = uv_triangles(uv_vertices, uv_faces, res)
     area = (F.col("px1") - F.col("px0")) * (F.col("py2") - F.col("py0")) - (F.col("py1") - F.col("py0")) * (F.col("px2") - F.col("px0"))
     f = tri.withColumn("a", area).groupBy("uid").agg(F.count("*").alias("num_faces"), F.count_if(F.col("a") == 0).alias("num_zero_area"), F.count_if(F.col("a") < 0).alias("num_flipped"))
     m = address_map(uv_vertices, uv_faces, res).groupBy("uid").agg(F.count("*").alias("covered_px"), F.count_if(F.col("coverage") > 1).alias("overlap_px"), F.count_if(F.col("coverage") == 1).alias("valid_px"))
     z = lambda c: F.coalesce(F.col(c), F.lit(0)).alias(c)
-    return f.join(m, "uid", "left").select("uid", "num_faces", "num_zero_area", "num_flipped", z("covered_px"), z("overlap_px"), z("valid_px"), (F.coalesce("valid_px", F.lit(0)) / F.lit(float(res * res))).alias("occupancy"))
+    return f.join(m, "uid", "left").select("uid", "num_faces", "num_zero_area", "num_flipped", z("covered_px"), z("overlap_px"), z("valid_px"), (F.coalesce("valid_px", F.lit(0)) / F.lit(float(res * res))).alias("occupancy"), (F.coalesce("overlap_px", F.lit(0)) / F.greatest(F.coalesce("covered_px", F.lit(0)), F.lit(1))).alias("overlap_ratio"))
 
 
-def mesh_check(vertices: DataFrame, faces: DataFrame) -> DataFrame:
-    """Violations of the mesh contract per uid: coordinates that are no finite numbers, faces whose corners do not exist."""
+def mesh_check(vertices: DataFrame, faces: DataFrame, uv_vertices: DataFrame | None = None, uv_faces: DataFrame | None = None) -> DataFrame:
+    """Violations of the mesh contract per uid, and the first of them as `problem` (null for none).
+
+    Coordinates that are no finite numbers, faces whose corners do not exist and, for objects with a layout, another
+    number of layout faces than faces, or layout faces whose corners do not exist.
+    """
     bad = F.lit(False)
     for c in ("x", "y", "z"):
         bad = bad | F.col(c).isNull() | F.isnan(c) | (F.abs(c) == float("inf"))
-    v = vertices.groupBy("uid").agg(F.count("*").alias("n_vertices"), F.count_if(bad).alias("not_finite"))
-    c = faces.select("uid", "fid", F.explode(F.array("a", "b", "c")).alias("vid")).join(vertices.select("uid", "vid", F.lit(1).alias("_there")), ["uid", "vid"], "left")
-    f = c.groupBy("uid").agg(F.count_distinct("fid").alias("n_faces"), F.count_if(F.col("_there").isNull()).alias("out_of_range"))
-    return v.join(f, "uid", "full").select("uid", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("n_vertices", "not_finite", "n_faces", "out_of_range")])
+    out = vertices.groupBy("uid").agg(F.count("*").alias("n_vertices"), F.count_if(bad).alias("not_finite")).join(_corners(faces, ["a", "b", "c"], vertices, "vid", "n_faces", "out_of_range"), "uid", "full")
+    names = ["n_vertices", "not_finite", "n_faces", "out_of_range"]
+    if uv_faces is not None:
+        out = out.join(_corners(uv_faces, ["ta", "tb", "tc"], uv_vertices, "tid", "n_uv_faces", "uv_out_of_range").withColumn("_laid", F.lit(True)), "uid", "full")
+        names += ["n_uv_faces", "uv_out_of_range"]
+        laid = F.coalesce("_laid", F.lit(False))
+    out = out.withColumns({c: F.coalesce(c, F.lit(0)) for c in names})
+    problem = F.when(F.col("not_finite") > 0, "vertex is not finite").when(F.col("out_of_range") > 0, "face without its vertex")
+    if uv_faces is not None:
+        problem = problem.when(laid & (F.col("n_uv_faces") != F.col("n_faces")), "layout and mesh differ in faces").when(F.col("uv_out_of_range") > 0, "layout face without its vertex")
+    return out.select("uid", *names, problem.alias("problem"))
+
+
+def _corners(faces: DataFrame, ids: list[str], points: DataFrame, point: str, count: str, missing: str) -> DataFrame:
+    c = faces.select("uid", "fid", F.explode(F.array(*ids)).alias(point)).join(points.select("uid", point, F.lit(1).alias("_there")), ["uid", point], "left")
+    return c.groupBy("uid").agg(F.count_distinct("fid").alias(count), F.count_if(F.col("_there").isNull()).alias(missing))
+
+
+def required(check: DataFrame) -> DataFrame:
+    """The rows of mesh_check, or an error that names the first object and problem met."""
+    return check.withColumn("problem", F.when(F.col("problem").isNotNull(), F.raise_error(F.concat(F.col("uid").cast("string"), F.lit(": "), F.col("problem"))).cast("string")))
 
 
 def uv_range(uv_vertices: DataFrame, slack: float = 1e-3) -> DataFrame:

@@ -82,25 +82,22 @@ def normalized(vertices: DataFrame, fit: str = "box", extent: float = EXTENT) ->
     return v.select("uid", "vid", *[(off[c] / scale).alias(c) for c in ("x", "y", "z")])
 
 
-def projected(vertices: DataFrame, cameras: DataFrame, res: int) -> DataFrame:
-    """(uid, view, vid, px, py, depth): every vertex in every view; the cameras are broadcast."""
-    d = {c: F.col(c) - F.col(f"o{c}") for c in ("x", "y", "z")}
-    dot = lambda a: F.col(f"{a}x") * d["x"] + F.col(f"{a}y") * d["y"] + F.col(f"{a}z") * d["z"]
-    p = vertices.crossJoin(F.broadcast(cameras))
-    return p.select("uid", "view", "vid", ((dot("r") * 0.5 + 0.5) * float(res)).alias("px"), ((1.0 - (dot("u") * 0.5 + 0.5)) * float(res)).alias("py"), (-dot("k")).alias("depth"))
-
-
 def fragments(vertices: DataFrame, faces: DataFrame, cameras: DataFrame, res: int, keep: DataFrame | None = None) -> DataFrame:
     """(uid, view, y, x, fid, b0, b1, b2, z): the nearest face at each pixel; equal depth (to 9 places) goes to the lower face.
 
-    keep (uid, fid) restricts the faces. Back faces are not culled.
+    keep (uid, fid) restricts the faces. Back faces are not culled. The corners of a face are joined once; every view
+    (a handful of cameras, which are broadcast) then projects them by arithmetic, so only fragments are shuffled.
     """
     if keep is not None:
         faces = faces.join(keep, ["uid", "fid"], "left_semi")
-    views = cameras.select("view")
-    f = faces.crossJoin(F.broadcast(views))
-    tri = corner_columns(f, projected(vertices, cameras, res), ["a", "b", "c"], "vid", ["px", "py", "depth"], ["uid", "view"])
-    c = cells(tri, res, res, ["uid", "view"], shared_edges=True, margin=True)
+    t = corner_columns(faces, vertices, ["a", "b", "c"], "vid", ["x", "y", "z"], ["uid"]).withColumnsRenamed({f"{c}{k}": f"v{c}{k}" for c in "xyz" for k in range(3)})
+    t = t.crossJoin(F.broadcast(cameras))
+
+    def dot(axis: str, k: int) -> Column:
+        return sum((F.col(f"{axis}{c}") * (F.col(f"v{c}{k}") - F.col(f"o{c}")) for c in "yz"), F.col(f"{axis}x") * (F.col(f"vx{k}") - F.col("ox")))
+
+    corners = [x for k in range(3) for x in (((dot("r", k) * 0.5 + 0.5) * float(res)).alias(f"px{k}"), ((1.0 - (dot("u", k) * 0.5 + 0.5)) * float(res)).alias(f"py{k}"), (-dot("k", k)).alias(f"depth{k}"))]
+    c = cells(t.select("uid", "view", "fid", *corners), res, res, ["uid", "view"], shared_edges=True, margin=True)
     z = F.col("depth0") * F.col("b0") + F.col("depth1") * F.col("b1") + F.col("depth2") * F.col("b2")
     near = F.min(F.struct(F.round(z, 9).alias("z"), "fid", "b0", "b1", "b2")).alias("t")
     return c.groupBy("uid", "view", "y", "x").agg(near).select("uid", "view", "y", "x", "t.fid", "t.b0", "t.b1", "t.b2", "t.z")
@@ -112,19 +109,21 @@ def texel(coord: Column, size: int | Column) -> Column:
     return F.least(F.greatest(F.rint(coord * (n - 1)).cast("int"), F.lit(0)), (n - 1).cast("int"))
 
 
-def emission(frags: DataFrame, uv_vertices: DataFrame, uv_faces: DataFrame, pixels: DataFrame, width: int | Column, height: int | Column, flipped: bool = False) -> DataFrame:
+def emission(frags: DataFrame, uv_vertices: DataFrame, uv_faces: DataFrame, pixels: DataFrame, width: int | Column, height: int | Column, flipped: bool | None = False) -> DataFrame:
     """(uid, view, y, x, r, g, b): each fragment with the texel its face shows. pixels(uid, y, x, r, g, b).
 
-    flipped samples the texture upside down; the fragments stay. width and height may be columns of the fragments.
+    flipped samples the texture upside down; the fragments stay. With None both ways are taken in one pass, told apart
+    by a column `flipped`. width and height may be columns of the fragments.
     """
     uv = corner_columns(uv_faces, uv_vertices, ["ta", "tb", "tc"], "tid", ["u", "v"], ["uid"])
     j = frags.join(uv, ["uid", "fid"])
     at = lambda c: F.col(f"{c}0") * F.col("b0") + F.col(f"{c}1") * F.col("b1") + F.col(f"{c}2") * F.col("b2")
     h = F.lit(height) if isinstance(height, int) else height
     ty = texel(at("v"), height)
-    j = j.withColumns({"tx": texel(at("u"), width), "ty": ((h - 1).cast("int") - ty) if flipped else ty})
+    ways = [F.struct(F.lit(way).alias("flipped"), ((h - 1).cast("int") - ty if way else ty).alias("ty")) for way in ((False, True) if flipped is None else (flipped,))]
+    j = j.select("uid", "view", "y", "x", texel(at("u"), width).alias("tx"), F.explode(F.array(*ways)).alias("way")).select("uid", "view", "y", "x", "tx", "way.*")
     p = pixels.select("uid", F.col("y").alias("ty"), F.col("x").alias("tx"), "r", "g", "b")
-    return j.join(p, ["uid", "ty", "tx"]).select("uid", "view", "y", "x", "r", "g", "b")
+    return j.join(p, ["uid", "ty", "tx"]).select("uid", "view", "y", "x", *(["flipped"] if flipped is None else []), "r", "g", "b")
 
 
 def shaded(frags: DataFrame, vertices: DataFrame, faces: DataFrame, cameras: DataFrame, base: int = 235, ambient: float = 0.18) -> DataFrame:

@@ -10,6 +10,7 @@ from lamina.operators import image as im
 from lamina.operators import pixelmeasures as pm
 from lamina.operators import raster as ras
 from lamina.operators import view as vw
+from lamina.session import settled
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -60,7 +61,7 @@ def raster_winding(spark: SparkSession, d: str) -> DataFrame:
 @query(
     "raster_stats",
     f"""WITH {_MAP}, fs AS (SELECT uid, count(*) AS num_faces, count(*) FILTER (area = 0) AS num_zero_area, count(*) FILTER (area < 0) AS num_flipped FROM ar GROUP BY uid)
-    SELECT fs.*, covered_px, overlap_px, valid_px, valid_px / CAST({RES * RES} AS double) AS occupancy FROM fs JOIN
+    SELECT fs.*, covered_px, overlap_px, valid_px, valid_px / CAST({RES * RES} AS double) AS occupancy, overlap_px / CAST(greatest(covered_px, 1) AS double) AS overlap_ratio FROM fs JOIN
     (SELECT uid, count(*) AS covered_px, count(*) FILTER (coverage > 1) AS overlap_px, count(*) FILTER (coverage = 1) AS valid_px FROM am GROUP BY uid) USING (uid)""",
 )
 def raster_stats(spark: SparkSession, d: str) -> DataFrame:
@@ -84,17 +85,47 @@ def uv_range(spark: SparkSession, d: str) -> DataFrame:
     return ras.uv_range(fx.lattice(spark, d)[0])
 
 
+# every third mesh lacks layout faces, another third layout vertices
+_BROKEN = "cu AS (SELECT * FROM mf WHERE uid % 3 <> 1 OR fid % 11 <> 0), ct AS (SELECT * FROM mt WHERE uid % 3 <> 2 OR tid < 1000)"
+
+
 @query(
     "mesh_check",
-    f"""WITH {fx.FIELD} SELECT v.uid, n_vertices, not_finite, n_faces, out_of_range FROM (SELECT uid, count(*) AS n_vertices, count(*) FILTER (isnan(y) OR isinf(y)) AS not_finite FROM mv GROUP BY uid) v
-    JOIN (SELECT f.uid, count(*) AS n_faces, sum((a NOT BETWEEN 0 AND m)::int + (b NOT BETWEEN 0 AND m)::int + (c NOT BETWEEN 0 AND m)::int)::bigint AS out_of_range FROM mf f JOIN (SELECT uid, max(vid) AS m FROM mv GROUP BY uid) USING (uid) GROUP BY f.uid) USING (uid)""",
+    f"""WITH {fx.FIELD}, {_BROKEN},
+    nv AS (SELECT uid, count(*) AS n_vertices, count(*) FILTER (isnan(y) OR isinf(y)) AS not_finite FROM mv GROUP BY uid),
+    nf AS (SELECT uid, count(*) AS n_faces FROM mf GROUP BY uid),
+    nu AS (SELECT f.uid, count(DISTINCT f.fid) AS n_uv_faces, count(*) FILTER (t.tid IS NULL) AS uv_out_of_range
+           FROM (SELECT uid, fid, unnest([a, b, c]) AS tid FROM cu) f LEFT JOIN ct t ON t.uid = f.uid AND t.tid = f.tid GROUP BY f.uid)
+    SELECT uid, n_vertices, not_finite, n_faces, CAST(0 AS bigint) AS out_of_range, n_uv_faces, uv_out_of_range,
+      CASE WHEN not_finite > 0 THEN 'vertex is not finite' WHEN n_uv_faces <> n_faces THEN 'layout and mesh differ in faces' WHEN uv_out_of_range > 0 THEN 'layout face without its vertex' END AS problem
+    FROM nv JOIN nf USING (uid) JOIN nu USING (uid)""",
 )
 def mesh_check(spark: SparkSession, d: str) -> DataFrame:
-    v, f, _, _ = fx.height_field(spark, d)
-    return ras.mesh_check(v, f)
+    v, f, uv, uf = fx.height_field(spark, d)
+    third = F.pmod("uid", F.lit(3))
+    return ras.mesh_check(v, f, uv.filter((third != 2) | (F.col("tid") < 1000)), uf.filter((third != 1) | (F.pmod("fid", F.lit(11)) != 0)))
+
+
+_UNWRAP = f"""{fx.FIELD}, gs AS (SELECT uid, CAST(ceil(sqrt(ceil(count(*) / 2.0))) AS double) AS s FROM mf GROUP BY uid),
+gc AS MATERIALIZED (SELECT uid, fid, s, fid % 2 = 1 AS odd, (fid // 2) % CAST(s AS bigint) / s AS x, floor(fid // 2 / s) / s AS y, CAST(0.02 AS double) / s AS i, CAST(0.96 AS double) / s AS f FROM mf JOIN gs USING (uid)),
+pt AS (SELECT *, unnest([0, 1, 2]) AS k FROM gc),
+uvv AS MATERIALIZED (SELECT uid, fid * 3 + k AS tid, CASE WHEN odd THEN x + CASE k WHEN 1 THEN 2 * i ELSE f END WHEN k = 1 THEN x + f - i ELSE x + i END AS u,
+  CASE WHEN odd THEN y + CASE k WHEN 2 THEN 2 * i ELSE f END WHEN k = 2 THEN y + f - i ELSE y + i END AS v FROM pt),
+tri AS MATERIALIZED (SELECT uid, tid // 3 AS fid, {", ".join(f"max({c}) FILTER (tid % 3 = {k}) * CAST(256 AS double) AS p{a}{k}" for k in range(3) for c, a in (("u", "x"), ("v", "y")))} FROM uvv GROUP BY uid, tid // 3)"""
+_MEASURED = """fs AS (SELECT uid, count(*) AS num_faces, count(*) FILTER (area = 0) AS num_zero_area, count(*) FILTER (area < 0) AS num_flipped FROM ar GROUP BY uid),
+px_ AS (SELECT uid, count(*) AS covered_px, count(*) FILTER (coverage > 1) AS overlap_px, count(*) FILTER (coverage = 1) AS valid_px FROM (SELECT uid, y, x, count(*) AS coverage FROM frag GROUP BY uid, y, x) GROUP BY uid)"""
 
 
-@query("grid_unwrap")
+@query("grid_layout", f"WITH {_UNWRAP} SELECT uid, tid, round(u, 9) AS u, round(v, 9) AS v FROM uvv")
+def grid_layout(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(ras.grid_unwrap(fx.height_field(spark, d)[1])[0], "u", "v", places=9)
+
+
+@query(
+    "grid_unwrap",
+    f"""WITH {_UNWRAP}, {fx.cells_sql(256, ["uid"], False)}, {_MEASURED}
+    SELECT *, valid_px / CAST(65536 AS double) AS occupancy, overlap_px / CAST(greatest(covered_px, 1) AS double) AS overlap_ratio FROM fs JOIN px_ USING (uid)""",
+)
 def grid_unwrap(spark: SparkSession, d: str) -> DataFrame:
     _, f, _, _ = fx.height_field(spark, d)
     v, uf = ras.grid_unwrap(f)
@@ -160,26 +191,22 @@ uvz AS MATERIALIZED (SELECT z.*, u1 + t.u * b2 AS u, v1 + t.v * b2 AS v FROM uv2
 _RENDER = f"{fx.PX}, {_ZB}, {_UVZ}, {_render_sql('rd', False)}, {_render_sql('rf', True)}"
 
 
-def _renders(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(direct, flipped, pixels): the six views of each height field under its own image."""
+def _renders(spark: SparkSession, d: str, flipped: bool | None) -> DataFrame:
+    """The six views of each height field under its own image, upside down or both ways."""
     px = fx.pixels(spark, d)
     _, _, uv, uf = fx.height_field(spark, d)
-    frags = _fragments(spark, d)
-    dims = im.sizes(px).withColumnRenamed("img", "uid")
-    frags = frags.join(dims, "uid")
-    p = px.withColumnRenamed("img", "uid")
-    direct, flipped = (vw.emission(frags, uv, uf, p, F.col("w"), F.col("h"), flip) for flip in (False, True))
-    return direct, flipped, px
+    frags = _fragments(spark, d).join(im.sizes(px).withColumnRenamed("img", "uid"), "uid")
+    return vw.emission(frags, uv, uf, px.withColumnRenamed("img", "uid"), F.col("w"), F.col("h"), flipped)
 
 
 @query("render_box_views", f"WITH {_RENDER} SELECT * FROM rd")
 def render_box_views(spark: SparkSession, d: str) -> DataFrame:
-    return _renders(spark, d)[0]
+    return _renders(spark, d, False)
 
 
-@query("render_ortho", f"WITH {_RENDER} SELECT * FROM rf WHERE view = 2")
+@query("render_ortho", f"WITH {_RENDER} SELECT false AS flipped, * FROM rd UNION ALL SELECT true, * FROM rf")
 def render_ortho(spark: SparkSession, d: str) -> DataFrame:
-    return _renders(spark, d)[1].filter("view = 2")
+    return _renders(spark, d, None)
 
 
 _LIGHT = vw._unit(vw.KEY_LIGHT)
@@ -239,20 +266,15 @@ ps AS (SELECT uid, view, round(inter / CAST(greatest(uni, 1) AS double), 4) AS i
 
 
 def _g8_views(spark: SparkSession, d: str) -> DataFrame:
-    """(uid, view, iou, psnr, psnr_flip): each view against its reference; masks under 100 pixels are void."""
-    direct, flipped, px = _renders(spark, d)
+    """(uid, view, iou, psnr, psnr_flip): each view against a reference made from it. The renders are written once, as both sides read them."""
+    rendered = settled(_renders(spark, d, None), "renders")
     side = F.sequence(F.lit(0), F.lit(VRES - 1))
-    canvas = px.select(F.col("img").alias("uid")).distinct().withColumn("view", F.explode(F.sequence(F.lit(0), F.lit(5)))).withColumn("y", F.explode(side)).withColumn("x", F.explode(side))
+    canvas = rendered.select("uid").distinct().withColumn("view", F.explode(F.sequence(F.lit(0), F.lit(5)))).withColumn("y", F.explode(side)).withColumn("x", F.explode(side))
     at = ["uid", "view", "y", "x"]
-    ref = canvas.join(direct, at, "left").select(*at, F.coalesce(F.least(F.col("r") + F.pmod(F.col("x") * 7 + F.col("y") * 3, F.lit(5)), F.lit(255)), F.lit(210)).alias("r"), F.coalesce(F.least(F.col("g") + F.pmod(F.col("x") * 5 + F.col("y"), F.lit(3)), F.lit(255)), F.lit(210)).alias("g"), F.coalesce("b", F.lit(210)).alias("b"))
-    fg = vw.tile_foreground(ref.withColumns({"th": F.lit(VRES), "tw": F.lit(VRES)}), ["uid", "view"]).select(*at, "fg", *[F.col(c).alias(f"t{c}") for c in "rgb"])
-    named = lambda df, p: df.select(*at, *[F.col(c).alias(f"{p}{c}") for c in "rgb"])
-    j = fg.join(named(direct, "d"), at, "left").join(named(flipped, "m"), at, "left")
-    alpha = F.col("dr").isNotNull()
-    both = F.col("fg") & alpha
-    g = j.groupBy("uid", "view").agg(F.count_if(both).alias("i"), F.count_if(F.col("fg") | alpha).alias("u"), F.sum(F.when(both, pm.squared_error("d", "t"))).alias("se"), F.sum(F.when(both, pm.squared_error("m", "t"))).alias("sf"))
-    samples = F.when(F.col("i") >= 100, F.col("i") * 3).otherwise(0)
-    return g.select("uid", "view", F.round(F.col("i") / F.greatest("u", F.lit(1)), 4).alias("iou"), pm.psnr(F.col("se"), samples).alias("psnr"), pm.psnr(F.col("sf"), samples).alias("psnr_flip"))
+    shifted = lambda c, dx, dy, m: F.coalesce(F.least(F.col(c) + F.pmod(F.col("x") * dx + F.col("y") * dy, F.lit(m)), F.lit(255)), F.lit(210)).alias(c)
+    ref = canvas.join(rendered.filter("not flipped"), at, "left").select(*at, shifted("r", 7, 3, 5), shifted("g", 5, 1, 3), F.coalesce("b", F.lit(210)).alias("b"))
+    fg = vw.tile_foreground(ref.withColumns({"th": F.lit(VRES), "tw": F.lit(VRES)}), ["uid", "view"])
+    return pm.compared_views(fg.select(*at, "fg", *[F.col(c).alias(f"t{c}") for c in "rgb"]), rendered)
 
 
 @query("g8_psnr_view", f"WITH {_G8} SELECT uid, view, round(psnr, 6) AS psnr, round(psnr_flip, 6) AS psnr_flip FROM ps")
@@ -260,33 +282,44 @@ def g8_psnr_view(spark: SparkSession, d: str) -> DataFrame:
     return _g8_views(spark, d).select("uid", "view", F.round("psnr", 6).alias("psnr"), F.round("psnr_flip", 6).alias("psnr_flip"))
 
 
-_AGREE = "round(median(least(psnr, 99)), 3) AS g8_psnr, round(median(least(psnr_flip, 99)), 3) AS g8_psnr_flip, count(*) AS g8_views, count(psnr) AS g8_views_measured, count(*) FILTER (psnr = 'inf'::double) AS g8_exact_views"
+_AGREE = """round(median(CASE WHEN psnr IS NOT NULL THEN least(psnr, 99) END), 3) AS g8_psnr, round(median(CASE WHEN psnr_flip IS NOT NULL THEN least(psnr_flip, 99) END), 3) AS g8_psnr_flip,
+  count(*) AS g8_views, count(psnr) AS g8_views_measured, count(*) FILTER (psnr = 'inf'::double) AS g8_exact_views, round(median(iou), 4) AS g8_iou"""
 
 
-@query("g8_agreement", f"WITH {_G8} SELECT uid, {_AGREE} FROM ps GROUP BY uid")
+# every fifth view is undefined, and passed over by the medians
+@query("g8_agreement", f"WITH {_G8}, th AS (SELECT uid, view, iou, CASE WHEN (uid + view) % 5 <> 0 THEN psnr END AS psnr, CASE WHEN (uid + view) % 5 <> 0 THEN psnr_flip END AS psnr_flip FROM ps) SELECT uid, {_AGREE} FROM th GROUP BY uid")
 def g8_agreement(spark: SparkSession, d: str) -> DataFrame:
-    return pm.agreement(_g8_views(spark, d), "uid")
+    void = F.pmod(F.col("uid") + F.col("view"), F.lit(5)) == 0
+    return pm.agreement(_g8_views(spark, d).withColumns({c: F.when(~void, F.col(c)) for c in ("psnr", "psnr_flip")}), "uid")
 
 
-@query("g8_measure", f"WITH {_G8} SELECT uid, {_AGREE}, round(median(iou), 4) AS g8_iou FROM ps GROUP BY uid")
+@query("g8_measure", f"WITH {_G8} SELECT uid, {_AGREE} FROM ps GROUP BY uid")
 def g8_measure(spark: SparkSession, d: str) -> DataFrame:
-    v = _g8_views(spark, d)
-    return pm.agreement(v, "uid").join(v.groupBy("uid").agg(F.round(F.median("iou"), 4).alias("g8_iou")), "uid")
+    return pm.agreement(_g8_views(spark, d), "uid")
+
+
+_SIL = f"""{_ZB}, cv AS (SELECT uid, view, true AS whole, fid % 3 <> 0 AND fid * 37 % 256 >= 128 AS a, fid % 5 <> 0 AND fid * 53 % 256 >= 128 AS b FROM zb)"""
 
 
-_SIL = f"""{_ZB}, k AS (SELECT uid, view, count(*) AS n, count(*) FILTER (fid % 3 <> 0) AS m FROM zb GROUP BY uid, view), o AS (SELECT uid, view, count(*) FILTER (fid % 5 <> 0) AS m FROM zb GROUP BY uid, view)"""
+def _masks(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(whole, a, b): coverage masks of the views, of all faces and of two thinned sets of them, with values from 0 to 255."""
+    f = settled(_fragments(spark, d).select("uid", "view", "y", "x", "fid"), "fragments")
+    at = ["uid", "view", "y", "x"]
+    thin = lambda drop, k: f.filter(F.pmod("fid", F.lit(drop)) != 0).select(*at, F.pmod(F.col("fid") * k, F.lit(256)).alias("v"))
+    return f.select(*at, F.lit(255).alias("v")), thin(3, 37), thin(5, 53)
 
 
-@query("silhouette_iou", f"WITH {_SIL} SELECT uid, view, round(m / n, 4) AS iou FROM k")
+@query("silhouette_iou", f"WITH {_SIL} SELECT uid, view, round(count(*) FILTER (a AND b) / count(*) FILTER (a OR b), 4) AS iou FROM cv GROUP BY uid, view")
 def silhouette_iou(spark: SparkSession, d: str) -> DataFrame:
-    f = _fragments(spark, d)
-    return f.groupBy("uid", "view").agg(pm.iou(F.lit(True), F.pmod("fid", F.lit(3)) != 0).alias("iou"))
+    _, a, b = _masks(spark, d)
+    return pm.silhouettes(a, b, ["uid", "view"])
 
 
-@query("g4_framing", f"WITH {_SIL} SELECT k.uid, min(round(k.m / n, 4)) AS g4_iou_min, min(round(o.m / n, 4)) AS g4_iou_orig, count(*) AS g4_views FROM k JOIN o USING (uid, view) GROUP BY k.uid")
+@query("g4_framing", f"WITH {_SIL}, io AS (SELECT uid, view, round(count(*) FILTER (a) / count(*), 4) AS m, round(count(*) FILTER (b) / count(*), 4) AS o FROM cv GROUP BY uid, view) SELECT uid, min(m) AS g4_iou_min, min(o) AS g4_iou_orig, count(*) AS g4_views FROM io GROUP BY uid")
 def g4_framing(spark: SparkSession, d: str) -> DataFrame:
-    f = _fragments(spark, d)
-    ious = f.groupBy("uid", "view").agg(pm.iou(F.lit(True), F.pmod("fid", F.lit(3)) != 0).alias("iou"), pm.iou(F.lit(True), F.pmod("fid", F.lit(5)) != 0).alias("iou_orig"))
+    whole, a, b = _masks(spark, d)
+    keys = ["uid", "view"]
+    ious = pm.silhouettes(a, whole, keys).join(pm.silhouettes(b, whole, keys).withColumnRenamed("iou", "iou_orig"), keys)
     return pm.framing(ious, "uid")
 
 
@@ -334,13 +367,16 @@ def mask_resample(spark: SparkSession, d: str) -> DataFrame:
     return im.mask_resized(grid, 32, im.sizes(px))
 
 
-def _lanczos_sql(src: str) -> str:
-    """Both passes with weights computed in SQL from the public formula."""
-    f = "CASE WHEN t = 0 THEN 1 WHEN abs(t) >= 3 THEN 0 ELSE sin(pi() * t) / (pi() * t) * sin(pi() * t / 3) / (pi() * t / 3) END"
+_LANCZOS = "CASE WHEN t = 0 THEN 1 WHEN abs(t) >= 3 THEN 0 ELSE sin(pi() * t) / (pi() * t) * sin(pi() * t / 3) / (pi() * t / 3) END"
+_CUBIC = "CASE WHEN abs(t) < 1 THEN CAST(1.5 AS double) * abs(t) ** 3 - CAST(2.5 AS double) * t * t + 1 WHEN abs(t) < 2 THEN CAST(-0.5 AS double) * (abs(t) ** 3 - 5 * t * t + 8 * abs(t) - 4) ELSE 0 END"
+
+
+def _resize_sql(src: str, size: int = 32, reach: int = 3, f: str = _LANCZOS) -> str:
+    """Both passes with weights computed in SQL from the public formula of the kernel."""
     byte = lambda c: f"CAST(least(greatest((sum(CAST({c} AS bigint) * k)::bigint + 2097152) >> 22, 0), 255) AS integer) AS {c}"
     return f"""ns AS (SELECT DISTINCT unnest([h, w]) AS n FROM (SELECT max(y) + 1 AS h, max(x) + 1 AS w FROM {src} GROUP BY img)),
-    ct AS (SELECT n, i, (i + CAST(0.5 AS double)) * n / 32 AS c, greatest(n / CAST(32 AS double), 1) AS s FROM ns CROSS JOIN range(32) t(i)),
-    rg AS (SELECT *, unnest(range(CAST(greatest(trunc(c - 3 * s + CAST(0.5 AS double)), 0) AS bigint), CAST(least(trunc(c + 3 * s + CAST(0.5 AS double)), n) AS bigint))) AS j FROM ct),
+    ct AS (SELECT n, i, (i + CAST(0.5 AS double)) * n / {size} AS c, greatest(n / CAST({size} AS double), 1) AS s FROM ns CROSS JOIN range({size}) t(i)),
+    rg AS (SELECT *, unnest(range(CAST(greatest(trunc(c - {reach} * s + CAST(0.5 AS double)), 0) AS bigint), CAST(least(trunc(c + {reach} * s + CAST(0.5 AS double)), n) AS bigint))) AS j FROM ct),
     rt AS (SELECT *, (j - c + CAST(0.5 AS double)) / s AS t FROM rg), rw AS (SELECT *, {f} AS w FROM rt), rn AS (SELECT *, w / sum(w) OVER (PARTITION BY n, i) * 4194304 AS q FROM rw),
     wt AS (SELECT n, i, j, CAST(trunc(CASE WHEN q >= 0 THEN q + CAST(0.5 AS double) ELSE q - CAST(0.5 AS double) END) AS bigint) AS k FROM rn),
     sz AS (SELECT img, max(y) + 1 AS h, max(x) + 1 AS w FROM {src} GROUP BY img),
@@ -348,17 +384,17 @@ def _lanczos_sql(src: str) -> str:
     lz AS (SELECT h1.img, CAST(wt.i AS integer) AS y, CAST(h1.x AS integer) AS x, {byte('r')}, {byte('g')}, {byte('b')} FROM h1 JOIN wt ON wt.n = h1.h AND wt.j = h1.y GROUP BY h1.img, wt.i, h1.x)"""
 
 
-@query("lanczos_resize", f"WITH {fx.PX}, {_lanczos_sql('px')} SELECT * FROM lz")
+@query("lanczos_resize", f"WITH {fx.PX}, {_resize_sql('px')} SELECT * FROM lz")
 def lanczos_resize(spark: SparkSession, d: str) -> DataFrame:
     return im.resized(fx.pixels(spark, d), 32)
 
 
-@query("bicubic_resize")
+@query("bicubic_resize", f"WITH {fx.PX}, {_resize_sql('px', 48, 2, _CUBIC)} SELECT * FROM lz")
 def bicubic_resize(spark: SparkSession, d: str) -> DataFrame:
     return im.resized(fx.pixels(spark, d), 48, "cubic")
 
 
-_DELIVER = f"{_DIL}, {_lanczos_sql('dl')}, {_MASK}, n2 AS (SELECT a.img, a.y, a.x, b.y AS ny, b.x AS nx, (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) AS d2 FROM ms a JOIN ms b ON a.img = b.img AND NOT a.valid AND b.valid WHERE (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= 16), b2 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY img, y, x ORDER BY d2, ny, nx) AS n FROM n2) WHERE n = 1), de AS (SELECT p.img, p.y, p.x, {', '.join(f'CASE WHEN valid THEN p.{c} ELSE coalesce(q.{c}, 0) END AS {c}' for c in 'rgb')} FROM lz p JOIN ms USING (img, y, x) LEFT JOIN b2 USING (img, y, x) LEFT JOIN lz q ON q.img = p.img AND q.y = b2.ny AND q.x = b2.nx)"
+_DELIVER = f"{_DIL}, {_resize_sql('dl')}, {_MASK}, n2 AS (SELECT a.img, a.y, a.x, b.y AS ny, b.x AS nx, (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) AS d2 FROM ms a JOIN ms b ON a.img = b.img AND NOT a.valid AND b.valid WHERE (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= 16), b2 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY img, y, x ORDER BY d2, ny, nx) AS n FROM n2) WHERE n = 1), de AS (SELECT p.img, p.y, p.x, {', '.join(f'CASE WHEN valid THEN p.{c} ELSE coalesce(q.{c}, 0) END AS {c}' for c in 'rgb')} FROM lz p JOIN ms USING (img, y, x) LEFT JOIN b2 USING (img, y, x) LEFT JOIN lz q ON q.img = p.img AND q.y = b2.ny AND q.x = b2.nx)"
 
 
 @query("deliver_texture", f"WITH {_DELIVER} SELECT * FROM de")
@@ -379,32 +415,42 @@ def ring_consistency(spark: SparkSession, d: str) -> DataFrame:
     return im.ring_consistency(*_image(spark, d))
 
 
-_FAM = f"{fx.PX}, {_MAP}, fm AS (SELECT 'xatlas' AS family, y * {RES} + x AS i, face_id, b0, b1, b2 FROM am WHERE uid = 'plain' UNION ALL SELECT 'smart_uv', y * {RES} + x, CASE WHEN (y * {RES} + x) % 17 = 0 THEN face_id + 1 ELSE face_id END, b0, b1, b2 FROM am WHERE uid = 'plain')"
-_SAMP = f"{_FAM}, dm AS (SELECT img, max(y) + 1 AS h, max(x) + 1 AS w FROM px GROUP BY img), su AS (SELECT m.family, m.i, a.u * b0 + b.u * b1 + c.u * b2 AS u, a.v * b0 + b.v * b1 + c.v * b2 AS v FROM fm m LEFT JOIN uvf f ON f.uid = 'plain' AND f.fid = m.face_id LEFT JOIN uvv a ON a.uid = f.uid AND a.tid = f.ta LEFT JOIN uvv b ON b.uid = f.uid AND b.tid = f.tb LEFT JOIN uvv c ON c.uid = f.uid AND c.tid = f.tc), sm AS (SELECT dm.img, family, i, coalesce(r, 0) AS r, coalesce(g, 0) AS g, coalesce(b, 0) AS b FROM dm CROSS JOIN su LEFT JOIN px ON px.img = dm.img AND px.x = least(greatest(CAST(round_even(u * (w - 1), 0) AS integer), 0), w - 1) AND px.y = least(greatest(CAST(round_even(v * (h - 1), 0) AS integer), 0), h - 1))"
+# each image is an object with one of the two layouts
+_FAM = f"""{fx.PX}, {_MAP}, ob AS (SELECT img, max(y) + 1 AS h, max(x) + 1 AS w, CASE WHEN img % 2 = 0 THEN 'plain' ELSE 'overlap' END AS layout FROM px GROUP BY img),
+fm AS (SELECT ob.img AS uid, layout, 'xatlas' AS family, y * {RES} + x AS i, face_id, b0, b1, b2 FROM ob JOIN am ON am.uid = layout
+  UNION ALL SELECT ob.img, layout, 'smart_uv', y * {RES} + x, CASE WHEN (y * {RES} + x) % 17 = 0 THEN face_id + 1 ELSE face_id END, b0, b1, b2 FROM ob JOIN am ON am.uid = layout)"""
+_SAMP = f"""{_FAM},
+su AS (SELECT m.uid, m.family, m.i, a.u * b0 + b.u * b1 + c.u * b2 AS u, a.v * b0 + b.v * b1 + c.v * b2 AS v FROM fm m LEFT JOIN uvf f ON f.uid = m.layout AND f.fid = m.face_id
+  LEFT JOIN uvv a ON a.uid = f.uid AND a.tid = f.ta LEFT JOIN uvv b ON b.uid = f.uid AND b.tid = f.tb LEFT JOIN uvv c ON c.uid = f.uid AND c.tid = f.tc),
+sm AS (SELECT su.uid, family, i, {", ".join(f"CASE WHEN u IS NULL THEN 0 ELSE coalesce({c}, 0) END AS {c}" for c in "rgb")} FROM su JOIN ob ON ob.img = su.uid
+  LEFT JOIN px ON px.img = su.uid AND px.x = least(greatest(CAST(round_even(u * (w - 1), 0) AS integer), 0), w - 1) AND px.y = least(greatest(CAST(round_even(v * (h - 1), 0) AS integer), 0), h - 1))"""
 
 
 def _families(spark: SparkSession, d: str) -> DataFrame:
-    uv, uf = (x.filter("uid = 'plain'") for x in fx.lattice(spark, d))
-    m = ras.address_map(uv, uf, RES)
-    i = (F.col("y") * RES + F.col("x")).cast("long").alias("i")
-    first = m.select(F.lit("xatlas").alias("family"), i, "face_id", "b0", "b1", "b2")
-    other = m.select(F.lit("smart_uv").alias("family"), i, "face_id", "b0", "b1", "b2").withColumn("face_id", F.when(F.pmod("i", F.lit(17)) == 0, F.col("face_id") + 1).otherwise(F.col("face_id")))
-    return im.sampled_families(first.unionByName(other), uv.drop("uid"), uf.drop("uid"), fx.pixels(spark, d))
+    px = fx.pixels(spark, d).withColumnRenamed("img", "uid")
+    uv, uf = fx.lattice(spark, d)
+    layout = F.when(F.pmod("uid", F.lit(2)) == 0, "plain").otherwise("overlap").alias("layout")
+    objects = px.select("uid").distinct().select("uid", layout)
+    own = lambda df: df.withColumnRenamed("uid", "layout").join(objects, "layout").drop("layout")
+    m = own(ras.address_map(uv, uf, RES)).withColumn("i", (F.col("y") * RES + F.col("x")).cast("long"))
+    cols = ["uid", "i", "face_id", "b0", "b1", "b2"]
+    other = m.select(*cols, F.lit("smart_uv").alias("family")).withColumn("face_id", F.when(F.pmod("i", F.lit(17)) == 0, F.col("face_id") + 1).otherwise(F.col("face_id")))
+    return im.sampled_families(m.select(*cols, F.lit("xatlas").alias("family")).unionByName(other), own(uv), own(uf), px)
 
 
-@query("sample_families", f"WITH {_SAMP} SELECT img, family, i, r, g, b FROM sm")
+@query("sample_families", f"WITH {_SAMP} SELECT uid, family, i, r, g, b FROM sm")
 def sample_families(spark: SparkSession, d: str) -> DataFrame:
     return _families(spark, d)
 
 
-@query("g6_cross_family", f"WITH {_SAMP}, sp AS (SELECT img, i, greatest(max(r) - min(r), max(g) - min(g), max(b) - min(b)) AS s, count(DISTINCT family) AS f FROM sm GROUP BY img, i) SELECT img, round(count(*) FILTER (s > 2) / count(*), 6) AS g6_bad_fraction, count(*) AS g6_points, max(f) AS g6_families FROM sp GROUP BY img")
+@query("g6_cross_family", f"WITH {_SAMP}, sp AS (SELECT uid, i, greatest(max(r) - min(r), max(g) - min(g), max(b) - min(b)) AS s, count(DISTINCT family) AS f FROM sm GROUP BY uid, i) SELECT uid, round(count(*) FILTER (s > 2) / count(*), 6) AS g6_bad_fraction, count(*) AS g6_points, max(f) AS g6_families FROM sp GROUP BY uid")
 def g6_cross_family(spark: SparkSession, d: str) -> DataFrame:
-    return pm.cross_family(_families(spark, d), ["img"], "i")
+    return pm.cross_family(_families(spark, d), ["uid"], "i")
 
 
-@query("family_resolve", f"WITH {_SAMP} SELECT img, family, round(avg((greatest(r, g, b) > 0)::int), 4) AS resolved FROM sm GROUP BY img, family")
+@query("family_resolve", f"WITH {_SAMP} SELECT uid, family, round(avg((greatest(r, g, b) > 0)::int), 4) AS resolved FROM sm GROUP BY uid, family")
 def family_resolve(spark: SparkSession, d: str) -> DataFrame:
-    return pm.family_resolve(_families(spark, d), ["img"])
+    return pm.family_resolve(_families(spark, d), ["uid"])
 
 
 # ----------------------------------------------------------------- measures
@@ -437,7 +483,7 @@ def g1_ref_dark(spark: SparkSession, d: str) -> DataFrame:
 @query(
     "measurement_row",
     f"""WITH {_BLOBS}, {_FULL}, {_RC}, a AS ({SQL['g1_dark_frac'].replace(f'WITH {fx.PX}', '')}), b AS (SELECT img, round(max(n) / sum(n), 3) AS g1_max_blob FROM sz GROUP BY img), c AS ({SQL['ring_consistency'].split(_RC)[1]})
-    SELECT img, g1_dark_frac, g1_valid_texels, coalesce(g1_max_blob, 0) AS g1_max_blob, ring_texels, CASE WHEN ring_difference > 0 OR far_background > 0 THEN 'margin kernel post-condition violated' END AS error,
+    SELECT img, g1_dark_frac, g1_valid_texels, coalesce(g1_max_blob, 0) AS g1_max_blob, ring_texels, CASE WHEN ring_difference > 0 OR far_background > 0 THEN 'ring or background differs from the margin rule' END AS error,
       'g1_ref_dark g3 g4 g5 g6 g7 g8' AS unmeasured FROM a JOIN c USING (img) LEFT JOIN b USING (img)""",
 )
 def measurement_row(spark: SparkSession, d: str) -> DataFrame:

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from grids import encode_grid
 from lamina.operators import image as im
 from lamina.operators import pixelmeasures as pm
 from lamina.operators import raster as ras
@@ -61,19 +62,19 @@ def test_nearest_matches_brute_force(spark):
 
 
 def test_no_valid_texel_turns_black(spark):
-    px = im.encode_grid(spark, 0, np.full((5, 5, 3), 9, np.uint8))
+    px = encode_grid(spark, 0, np.full((5, 5, 3), 9, np.uint8))
     assert im.dilate_full(px, grid(spark, np.zeros((5, 5), bool))).agg(F.max("r")).first()[0] == 0
 
 
 def test_resize_keeps_a_flat_image(spark):
-    px = im.encode_grid(spark, 0, np.full((20, 33, 3), 77, np.uint8))
+    px = encode_grid(spark, 0, np.full((20, 33, 3), 77, np.uint8))
     r = im.resized(px, 16).agg(F.count("*"), F.min("g"), F.max("g")).first()
     assert tuple(r) == (256, 77, 77)
 
 
 def test_delivered_ring_is_consistent(spark):
     rng = np.random.default_rng(0)
-    px = im.encode_grid(spark, 0, rng.integers(100, 250, (40, 40, 3)).astype(np.uint8))
+    px = encode_grid(spark, 0, rng.integers(100, 250, (40, 40, 3)).astype(np.uint8))
     mask = np.zeros((40, 40), bool)
     mask[12:26, 10:30] = True
     g = grid(spark, mask)
@@ -85,16 +86,21 @@ def test_delivered_ring_is_consistent(spark):
 def test_blobs_by_both_ways(spark):
     rng = np.random.default_rng(4)
     dark = rng.random((30, 30)) < 0.55
-    px = im.encode_grid(spark, 0, np.where(dark[..., None], 0, 200).repeat(3, 2).astype(np.uint8))
+    px = encode_grid(spark, 0, np.where(dark[..., None], 0, 200).repeat(3, 2).astype(np.uint8))
     r = pm.dark_blobs(px, grid(spark, np.ones((30, 30), bool))).first()
     ys, xs = np.nonzero(dark)
     lab = pm.label(ys, xs)
-    at = {(y, x): n for y, x, n in zip(ys.tolist(), xs.tolist(), lab.tolist())}
-    edges = [(y * 30 + x, y * 30 + x + d) for y, x in at for d, k in ((1, (y, x + 1)), (30, (y + 1, x))) if k in at]
-    nodes = spark.createDataFrame([(y * 30 + x,) for y, x in at], "id long")
-    roots = pm.linked_components(nodes, spark.createDataFrame(edges, "a long, b long"))
-    sizes = sorted(x["count"] for x in roots.groupBy("root").count().collect())
-    assert (r.blobs, r.largest, r.dark) == (len(sizes), sizes[-1], sum(sizes)) == (len(set(lab.tolist())), np.bincount(np.unique(lab, return_inverse=True)[1]).max(), dark.sum())
+    left, sizes = set(zip(ys.tolist(), xs.tolist())), []
+    while left:
+        todo, n = [left.pop()], 0
+        while todo:
+            y, x = todo.pop()
+            n += 1
+            near = {(y, x + 1), (y, x - 1), (y + 1, x), (y - 1, x)} & left
+            left -= near
+            todo += near
+        sizes.append(n)
+    assert (r.blobs, r.largest, r.dark) == (len(sizes), max(sizes), sum(sizes)) == (len(set(lab.tolist())), np.bincount(np.unique(lab, return_inverse=True)[1]).max(), dark.sum())
 
 
 def test_cameras_agree_with_the_rig():
