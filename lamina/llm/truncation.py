@@ -238,7 +238,6 @@ def verdicts(df: DataFrame, id_col: str, text_col: str, source_col: str, subject
     # words that make up a 250th of the corpus: at most 250
     frequent = single.filter(F.col("n") * 250 >= total).select(F.col("word").alias("before"), F.col("word").alias("group"))
     group = F.when(F.col("before").startswith("^"), F.col("before")).otherwise(F.coalesce("group", F.lit("*"))).alias("group")
-    grouped = pairs.join(F.broadcast(frequent), "before", "left").select(group, "word", "n", "gaps", "ends").groupBy("group", "word").agg(*sums)
     vocabulary = single.filter((F.col("n") - F.col("ends") >= few) & (F.length("word") <= LONGEST_WORD)).select("word", (F.col("n") - F.col("ends")).alias("inner"))
     starts = vocabulary.filter(F.length("word") > 1).select(F.explode(F.transform(F.sequence(F.lit(1), F.length("word") - 1), lambda i: F.substring(F.col("word"), F.lit(1), i))).alias("word"), "inner").groupBy("word").agg(F.max("inner").alias("longer"))
 
@@ -252,14 +251,20 @@ def verdicts(df: DataFrame, id_col: str, text_col: str, source_col: str, subject
     texts = per.agg(F.coalesce(F.sum("texts"), F.lit(0))).first()[0]
     alone = per.filter(F.col("texts") * 3 > 2 * texts).select("source", F.lit(True).alias("alone"))
     ends = rows.filter(F.col("state") == OPEN).select("source", "copy", "before", "word").distinct().groupBy("source", "before", "word").agg(F.count("*").alias("own"))
-    ends = ends.join(F.broadcast(frequent), "before", "left").select("source", "before", "word", group, "own")
-
-    tails = rows.filter(F.col("state") == OPEN).select("source", "before", "word", "brief").distinct().join(F.broadcast(frequent), "before", "left").select("source", "before", "word", "brief", group).join(F.broadcast(alone), "source", "left")
-    for name, stats, on in (("p", pairs, ["before", "word"]), ("g", grouped, ["group", "word"]), ("w", single, ["word"])):
-        own = ends.groupBy("source", *on).agg(F.sum("own").alias("own"))
-        tails = tails.join(stats.select(*on, "n", "gaps", "ends"), on, "left").join(own, ["source", *on], "left").withColumn("own", F.when(F.coalesce("alone", F.lit(False)), 1).otherwise(F.col("own")))
-        share = _finished(F.col("n"), F.col("gaps"), F.col("ends"), F.col("own"))
-        tails = tails.withColumns({f"{name}_n": F.col("n"), f"{name}_ends": F.col("ends"), f"{name}_own": F.col("own"), f"{name}_share": share}).drop("n", "gaps", "ends", "own")
+    # a word is looked up with the word before it, with the group of that word, and alone: three keys, joined as one
+    def keyed(df: DataFrame) -> DataFrame:
+        one = lambda level, before: F.struct(F.lit(level).alias("level"), before.alias("key"))
+        return df.withColumn("_k", F.explode(F.array(one("p", F.col("before")), one("g", F.col("group")), one("w", F.lit(""))))).select("*", "_k.*").drop("_k")
+
+    by = ["level", "key", "word"]
+    own = keyed(ends.join(F.broadcast(frequent), "before", "left").withColumn("group", group)).groupBy("source", *by).agg(F.sum("own").alias("own"))
+    stats = keyed(pairs.join(F.broadcast(frequent), "before", "left").withColumn("group", group)).groupBy(*by).agg(*sums)
+    tails = rows.filter(F.col("state") == OPEN).select("source", "before", "word", "brief").distinct().join(F.broadcast(frequent), "before", "left").withColumn("group", group)
+    tails = keyed(tails).join(stats, by, "left").join(own, ["source", *by], "left").join(F.broadcast(alone), "source", "left")
+    tails = tails.withColumn("own", F.when(F.coalesce("alone", F.lit(False)), 1).otherwise(F.col("own")))
+    tails = tails.withColumn("share", _finished(F.col("n"), F.col("gaps"), F.col("ends"), F.col("own")))
+    of = lambda level, c: F.max(F.when(F.col("level") == level, F.col(c))).alias(f"{level}_{c}")
+    tails = tails.groupBy("source", "before", "word", "brief").agg(*[of(level, c) for level in "pgw" for c in ("n", "ends", "own", "share")])
     tails = tails.join(starts, "word", "left").join(nouns, "word", "left")
     known = lambda a: F.coalesce(F.col(f"{a}_n") - F.col(f"{a}_own"), F.lit(0)) >= enough
     stump = F.col("longer").isNotNull() & ((F.col("w_n") - 1 < few) | ((F.col("w_n") == F.col("w_ends")) & (F.col("longer") > F.col("w_n"))))
