@@ -1,8 +1,8 @@
 """Encoding of a corpus by a shuffle of its distinct words, and decoding by a join with the token bytes.
 
 Texts are taken up in blocks, and cut into pre-tokens once. A word that is a token of the vocabulary has its id at
-once; a block numbers its other distinct words and keeps its texts as lists of ids and such numbers, position by
-position. The other words go through the shuffle once a block, are encoded in the task that owns them, and their ids
+once; a block numbers its distinct words, keeps the ids known already beside, and its texts as lists of such numbers,
+position by position. The words without an id go through the shuffle once a block, are encoded in the task that owns them, and their ids
 go back to the block, where the texts are put together again by position. A hot word costs one row a block, however
 often it stands there, and is spread over SALTS tasks.
 """
@@ -35,23 +35,24 @@ def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.Array, pa.Dictionar
 
 
 def _block_rows(id_type: str, path: str, name: str):
-    """Texts (block, id, codes, step) and the words the vocabulary lacks (block, code, word), as rows of one table."""
+    """As rows of one table: texts (block, id, codes, step), the ids of a block's words (codes with step 0, -1 where the
+    vocabulary lacks the word), and the words it lacks (block, code, word)."""
 
     def rows(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = B.ranks(path, name)
         for batch in it:
             for block, ids, w, ends in _blocks(batch):
-                number = np.fromiter((known.get(x, -1) for x in w.dictionary.to_pylist()), np.int64, len(w.dictionary))
+                number = np.fromiter((known.get(x, -1) for x in w.dictionary.to_pylist()), np.int32, len(w.dictionary))
                 lacking = np.flatnonzero(number < 0)
-                number[lacking] = len(known) + np.arange(len(lacking))
-                codes = number[w.indices.to_numpy()].astype(np.uint16 if len(known) + len(lacking) <= 1 << 16 else np.uint32)
+                codes = w.indices.to_numpy().astype(np.uint16 if len(number) <= 1 << 16 else np.uint32)
                 step, n, m = codes.itemsize, len(ids), len(lacking)
                 packed = pa.LargeBinaryArray.from_buffers(pa.large_binary(), n, [None, pa.py_buffer((ends * step).astype(np.int64)), pa.py_buffer(codes)])
                 same = lambda x, k, t: pa.repeat(pa.scalar(x, t), k)
                 yield pa.RecordBatch.from_arrays([same(block, n, pa.int64()), ids, packed.cast(pa.binary()), same(step, n, pa.int32()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], _NAMES)
+                yield pa.RecordBatch.from_arrays([same(block, 1, pa.int64()), pa.nulls(1, ids.type), pa.array([number.tobytes()], pa.binary()), same(0, 1, pa.int32()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.binary())], _NAMES)
                 if m:
                     words = w.dictionary.take(pa.array(lacking)).cast(pa.binary())
-                    yield pa.RecordBatch.from_arrays([same(block, m, pa.int64()), pa.nulls(m, ids.type), pa.nulls(m, pa.binary()), pa.nulls(m, pa.int32()), pa.array(np.arange(m, dtype=np.int32)), words], _NAMES)
+                    yield pa.RecordBatch.from_arrays([same(block, m, pa.int64()), pa.nulls(m, ids.type), pa.nulls(m, pa.binary()), pa.nulls(m, pa.int32()), pa.array(lacking.astype(np.int32)), words], _NAMES)
 
     return rows, f"block long, id {id_type}, codes binary, step int, code int, word binary"
 
@@ -74,27 +75,29 @@ def _encode_rows(path: str, name: str):
 
 
 def _join_back(vocabulary: int):
-    """The texts of a block from its codes: ids as they are, and the numbered words' ids from the table."""
+    """The texts of a block from their codes: by the ids known already, and the other words' ids from the table."""
 
     def join(texts: pa.Table, table: pa.Table) -> pa.Table:
+        step = texts.column("step").to_numpy()
+        words = texts.filter(pa.array(step == 0)).column("codes")
+        texts = texts.filter(pa.array(step > 0))
         if not texts.num_rows:
             return pa.table({"id": texts.column("id"), "ids": pa.array([], pa.list_(pa.int32()))})
         packed = table.column("ids").combine_chunks().cast(pa.large_binary()) if table.num_rows else pa.array([], pa.large_binary())
         off = np.frombuffer(packed.buffers()[1], np.int64, len(packed) + 1, packed.offset * 8) // 4 if len(packed) else np.zeros(1, np.int64)
         vals = np.frombuffer(packed.buffers()[2], np.int32, int(off[-1])) if off[-1] else np.empty(0, np.int32)
+        # each word of the block as a place in the lists: first one list for each id, then those of the table
+        place = np.frombuffer(words[0].as_py(), np.int32).astype(np.int64)
+        place[table.column("code").to_numpy().astype(np.int64)] = vocabulary + np.arange(table.num_rows)
+        if len(place) and place.min() < 0:
+            raise ValueError("a block lost words on the way; the input changed while it was read")
         body = texts.column("codes").combine_chunks().cast(pa.large_binary())
         boff = np.frombuffer(body.buffers()[1], np.int64, len(body) + 1, body.offset * 8)
-        raw = np.frombuffer(body.buffers()[2], np.uint8)[boff[0] : boff[-1]] if boff[-1] else np.empty(0, np.uint8)
-        step = texts.column("step")[0].as_py()
-        codes = raw.view(np.uint16 if step == 2 else np.uint32).astype(np.int64)
-        row = np.full(max(0, int(codes.max(initial=-1)) - vocabulary + 1), -1, np.int64)
-        place = table.column("code").to_numpy().astype(np.int64)
-        row[place] = vocabulary + np.arange(len(place))
-        at = np.concatenate([np.arange(vocabulary), row])[codes]
-        if len(at) and at.min() < 0:
-            raise ValueError("a block lost words on the way; the input changed while it was read")
+        raw = np.frombuffer(body.buffers()[2], np.uint8)[boff[0] : boff[-1]] if boff[-1] > boff[0] else np.empty(0, np.uint8)
+        size = int(step.max())
+        at = place[raw.view(np.uint16 if size == 2 else np.uint32)]
         ids, ends = B.gather(np.concatenate([np.arange(vocabulary, dtype=np.int32), vals]), np.concatenate([np.arange(vocabulary), vocabulary + off]), at)
-        lists = pa.ListArray.from_arrays(pa.array(ends[(boff - boff[0]) // step].astype(np.int32)), pa.array(ids, pa.int32()))
+        lists = pa.ListArray.from_arrays(pa.array(ends[(boff - boff[0]) // size].astype(np.int32)), pa.array(ids, pa.int32()))
         return pa.table({"id": texts.column("id"), "ids": lists})
 
     return join
