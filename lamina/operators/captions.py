@@ -52,6 +52,15 @@ def clean(caption: Column, limit: int = 220) -> Column:
     return F.substring(stripped(F.regexp_replace(unquoted, BLANK + "+", " ")), 1, limit)
 
 
+#: Characters of an error that are kept, of one object and of a batch.
+OBJECT_ERROR, BATCH_ERROR = 150, 180
+
+
+def error_text(c: Column, limit: int = OBJECT_ERROR) -> Column:
+    """What is kept of an error: its first characters (the field's length)."""
+    return F.substring(c, 1, limit)
+
+
 def views(sources: DataFrame, n: int = 2) -> DataFrame:
     """The first n views by name of each uid, from the source of the highest preference that has any."""
     best = Window.partitionBy("uid")

@@ -47,14 +47,23 @@ def uv_provenance(c: Column) -> Column:
     return F.coalesce(F.when(s != "", s), F.lit("grid"))
 
 
+def asked_key(delivery_key: Column, atlas_at: Column, delivered_at: Column) -> Column:
+    """The key an object is asked for: its delivery key, and another one while the atlas is newer than what was delivered."""
+    newer = F.coalesce(atlas_at > delivered_at, F.lit(False))
+    return F.when(newer, F.concat(delivery_key, F.lit("|atlas-newer"))).otherwise(delivery_key)
+
+
 def delivery_action(rows: DataFrame) -> DataFrame:
-    """The first reason not to deliver, else deliver: not current, no atlas, nothing changed since."""
+    """What is to be done with an object that is due: stale (its atlas was not completed at the current key), missing atlas,
+    unchanged (the atlas has the digest of the last delivery, at the same delivery key), or deliver.
+
+    rows: done_key, current_key, atlas (its digest), own_digest, own_delivery, delivery_key.
+    """
     a = (
-        F.when(~F.col("done_key").eqNullSafe(F.col("current_key")), "stale")
+        F.when(~F.col("done_key").eqNullSafe(F.col("current_key")) | F.col("done_key").isNull(), "stale")
         .when(F.col("atlas").isNull(), "missing atlas")
-        .when(F.col("delivered").isNull(), "deliver")
-        .when(F.col("atlas_at") > F.col("delivered_at"), "atlas newer")
-        .otherwise("unchanged")
+        .when((F.col("own_digest") == F.col("atlas")) & (F.col("own_delivery") == F.col("delivery_key")), "unchanged")
+        .otherwise("deliver")
     )
     return rows.withColumn("action", a)
 
@@ -109,13 +118,14 @@ def resolved_families(families: DataFrame, uv: DataFrame, uf: DataFrame, texture
     return pm.family_resolve(p, ["uid"]).groupBy("uid").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("family", "resolved")))).alias("family_resolve"))
 
 
-def assembled(pixels: DataFrame, grid: DataFrame, references: DataFrame | None = None, agreement: DataFrame | None = None, resolved: DataFrame | None = None, bless: DataFrame | None = None, render: DataFrame | None = None) -> DataFrame:
+def assembled(pixels: DataFrame, grid: DataFrame, references: DataFrame | None = None, agreement: DataFrame | None = None, resolved: DataFrame | None = None, bless: DataFrame | None = None, render: DataFrame | None = None, margin: int = 4) -> DataFrame:
     """One measurement row per image, from what is there for it; `unmeasured` names what is absent.
 
     references(uid, y, x, r, g, b), agreement as sheet_agreement, resolved as resolved_families, bless(uid, note),
     render(uid, measures map<string, double>, note): numbers of a renderer over the own ones. uid is img as text.
+    margin: the ring the textures were delivered with.
     """
-    rows = pm.dark_coverage(pixels, grid).join(image.ring_consistency(pixels, grid), "img").join(pm.dark_blobs(pixels, grid).select("img", "g1_max_blob"), "img", "left")
+    rows = pm.dark_coverage(pixels, grid).join(image.ring_consistency(pixels, grid, margin), "img").join(pm.dark_blobs(pixels, grid).select("img", "g1_max_blob"), "img", "left")
     error = F.when((F.col("ring_difference") > 0) | (F.col("far_background") > 0), "ring or background differs from the margin rule")
     rows = rows.withColumns({"uid": F.col("img").cast("string"), "error": error, "g1_max_blob": F.coalesce("g1_max_blob", F.lit(0.0))})
     none = lambda kind: F.lit(None).cast(kind)

@@ -228,6 +228,12 @@ def caption_views(spark: SparkSession, d: str) -> DataFrame:
     return cap.views(p.select("uid", F.col("source").alias("name"), F.when(F.lower("source").like("%.obj"), 0).otherwise(1).alias("preference")).distinct())
 
 
+@query("error_text", "SELECT caption_id, 'ValueError: ' || left(error, 138) AS error, left('ValueError: ' || error, 180) AS batch_error FROM captions WHERE error IS NOT NULL")
+def error_text(spark: SparkSession, d: str) -> DataFrame:
+    whole = F.concat(F.lit("ValueError: "), "error")
+    return table(spark, d, "captions").filter("error is not null").select("caption_id", cap.error_text(whole).alias("error"), cap.error_text(whole, cap.BATCH_ERROR).alias("batch_error"))
+
+
 @query("reference_batches", "SELECT owner, claim_id, CAST(floor((row_number() OVER (PARTITION BY owner ORDER BY claim_id) - 1) / 8) AS bigint) AS batch FROM (SELECT DISTINCT owner, claim_id FROM claims WHERE stage = 'reference' AND op = 'claim')")
 def reference_batches(spark: SparkSession, d: str) -> DataFrame:
     c = table(spark, d, "claims").filter("stage = 'reference' and op = 'claim'").select("owner", "claim_id").distinct()
@@ -488,22 +494,31 @@ def run_status(spark: SparkSession, d: str) -> DataFrame:
     return led.status(pop, _current(claims), led.latest_done(claims), held)
 
 
+# the digest of an atlas stands for its bytes: here of the generating owner, or for every third object of the ledger row
 @query(
     "assetize_plan",
-    f"""WITH {_CURRENT}, {_DONE}, g AS (SELECT * FROM cur WHERE stage = 'generate'), gd AS (SELECT * FROM done WHERE stage = 'generate'), ad AS (SELECT * FROM done WHERE stage = 'assetize')
-    SELECT g.uid, CASE WHEN gd.content_key IS DISTINCT FROM g.content_key THEN 'stale' WHEN p.uid IS NULL THEN 'missing atlas' WHEN ad.uid IS NULL THEN 'deliver' WHEN gd.event_at > ad.event_at THEN 'atlas newer' ELSE 'unchanged' END AS action
-    FROM g LEFT JOIN gd ON gd.uid = g.uid LEFT JOIN ad ON ad.uid = g.uid LEFT JOIN (SELECT DISTINCT uid FROM prepared) p ON p.uid = g.uid""",
+    f"""WITH {_CURRENT}, {_DONE}, g AS (SELECT * FROM cur WHERE stage = 'generate'), gd AS (SELECT * FROM done WHERE stage = 'generate'), ad AS (SELECT * FROM done WHERE stage = 'assetize'),
+    j AS (SELECT g.uid, g.content_key AS cur_key, gd.content_key AS done_key, ad.content_key AS own_key, CASE WHEN p.uid IS NOT NULL THEN coalesce(CASE WHEN gd.claim_id % 3 = 0 THEN CAST(gd.claim_id AS varchar) ELSE gd.owner END, '-') END AS atlas,
+      coalesce(ad.owner, '-') AS own_digest, ad.uid IS NOT NULL AS own, gd.event_at > ad.event_at AS newer
+      FROM g LEFT JOIN gd ON gd.uid = g.uid LEFT JOIN ad ON ad.uid = g.uid LEFT JOIN (SELECT DISTINCT uid FROM prepared) p ON p.uid = g.uid)
+    SELECT uid, CASE WHEN newer THEN cur_key || '|atlas-newer' ELSE cur_key END AS asked_key,
+      CASE WHEN done_key IS NULL OR done_key IS DISTINCT FROM cur_key THEN 'stale' WHEN atlas IS NULL THEN 'missing atlas' WHEN own AND atlas = own_digest AND own_key = cur_key THEN 'unchanged' ELSE 'deliver' END AS action
+    FROM j WHERE CASE WHEN newer THEN cur_key || '|atlas-newer' ELSE cur_key END IS DISTINCT FROM own_key""",
 )
 def assetize_plan(spark: SparkSession, d: str) -> DataFrame:
-    from lamina.operators.measures import delivery_action
+    from lamina.operators.measures import asked_key, delivery_action
 
     claims = table(spark, d, "claims")
     done = led.latest_done(claims)
-    g = _current(claims).filter("stage = 'generate'").select("uid", F.col("content_key").alias("current_key"))
-    gd = done.filter("stage = 'generate'").select("uid", F.col("content_key").alias("done_key"), F.col("event_at").alias("atlas_at"))
-    ad = done.filter("stage = 'assetize'").select("uid", F.col("event_at").alias("delivered_at"), F.lit(True).alias("delivered"))
-    files = table(spark, d, "prepared").select("uid").distinct().withColumn("atlas", F.lit(True))
-    return delivery_action(g.join(gd, "uid", "left").join(ad, "uid", "left").join(files, "uid", "left")).select("uid", "action")
+    name = F.coalesce("owner", F.lit("-"))
+    g = _current(claims).filter("stage = 'generate'").select("uid", F.col("content_key").alias("current_key"), F.col("content_key").alias("delivery_key"))
+    gd = done.filter("stage = 'generate'").select("uid", F.col("content_key").alias("done_key"), F.col("event_at").alias("atlas_at"), F.when(F.col("claim_id") % 3 == 0, F.col("claim_id").cast("string")).otherwise(name).alias("bytes"))
+    ad = done.filter("stage = 'assetize'").select("uid", F.col("event_at").alias("delivered_at"), name.alias("own_digest"), F.col("content_key").alias("own_delivery"))
+    files = table(spark, d, "prepared").select("uid").distinct().withColumn("there", F.lit(True))
+    rows = g.join(gd, "uid", "left").join(ad, "uid", "left").join(files, "uid", "left").withColumn("atlas", F.when(F.col("there"), F.coalesce("bytes", F.lit("-"))))
+    rows = rows.withColumn("asked_key", asked_key(F.col("delivery_key"), F.col("atlas_at"), F.col("delivered_at"))).filter(~F.col("asked_key").eqNullSafe(F.col("own_delivery")))
+    return delivery_action(rows).select("uid", "asked_key", "action")
+
 
 
 @query("spawn_summary", "SELECT consumer, count(*) AS workers, count(*) FILTER (outcome <> 'succeeded') AS failed, bool_and(outcome = 'succeeded') AS ok FROM runs WHERE outcome <> 'running' GROUP BY consumer")

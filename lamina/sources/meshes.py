@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import json
 import struct
 from collections.abc import Iterator
@@ -114,38 +115,123 @@ def glb_chunks(data: bytes) -> tuple[dict, bytes]:
     return doc, body
 
 
+def _stored(doc: dict, body: bytes, ref: dict, kind: np.dtype, width: int, count: int) -> np.ndarray:
+    """Elements of a buffer view; strided views are honoured. Buffers are the binary chunk or data written into the JSON."""
+    view = doc["bufferViews"][ref["bufferView"]]
+    uri = doc.get("buffers", [{}])[view.get("buffer", 0)].get("uri")
+    if uri is not None:
+        if not uri.startswith("data:"):
+            raise ValueError("buffer in another file")
+        body = base64.b64decode(uri.partition(",")[2])
+    start, size = view.get("byteOffset", 0) + ref.get("byteOffset", 0), kind.itemsize * width
+    step = view.get("byteStride") or size
+    raw = np.frombuffer(body, np.uint8)[start:]
+    if count and len(raw) < (count - 1) * step + size:
+        raise ValueError("accessor beyond its buffer")
+    return np.lib.stride_tricks.as_strided(raw, (count, size), (step, 1)).copy().view(kind).reshape(count, width)
+
+
 def glb_accessor(doc: dict, body: bytes, i: int) -> np.ndarray:
-    """The numbers of an accessor, one row an element; strided views are honoured."""
+    """The numbers of an accessor, one row an element: sparse ones filled in, normalised integers as fractions."""
     a = doc["accessors"][i]
-    view = doc["bufferViews"][a["bufferView"]]
-    kind, width = np.dtype(_KIND[a["componentType"]]), _WIDTH[a["type"]]
-    start = view.get("byteOffset", 0) + a.get("byteOffset", 0)
-    step = view.get("byteStride") or kind.itemsize * width
-    return np.lib.stride_tricks.as_strided(np.frombuffer(body, np.uint8)[start:].view(np.uint8), (a["count"], kind.itemsize * width), (step, 1)).copy().view(kind).reshape(a["count"], width)
+    kind, width, n = np.dtype(_KIND[a["componentType"]]), _WIDTH[a["type"]], a["count"]
+    out = _stored(doc, body, a, kind, width, n) if "bufferView" in a else np.zeros((n, width), kind)
+    if "sparse" in a:
+        s = a["sparse"]
+        at = _stored(doc, body, s["indices"], np.dtype(_KIND[s["indices"]["componentType"]]), 1, s["count"])[:, 0]
+        out[at] = _stored(doc, body, s["values"], kind, width, s["count"])
+    if a.get("normalized") and kind.kind in "iu":
+        return np.maximum(out / float(np.iinfo(kind).max), -1.0)
+    return out
+
+
+def _placed(doc: dict) -> list[tuple[dict, np.ndarray]]:
+    """Every mesh the scene shows with its 4 x 4 transform, in the order of the nodes; a file without scenes shows its meshes as they are."""
+    nodes = doc.get("nodes", [])
+    if not nodes or "scenes" not in doc:
+        return [(m, np.eye(4)) for m in doc.get("meshes", [])]
+    out = []
+
+    def walk(i: int, parent: np.ndarray, above: tuple) -> None:
+        if i in above:
+            raise ValueError("nodes in a circle")
+        n = nodes[i]
+        here = parent @ _transform(n)
+        if "mesh" in n:
+            out.append((doc["meshes"][n["mesh"]], here))
+        for c in n.get("children", []):
+            walk(c, here, (*above, i))
+
+    for i in doc["scenes"][doc.get("scene", 0)].get("nodes", []):
+        walk(i, np.eye(4), ())
+    return out
+
+
+def _transform(node: dict) -> np.ndarray:
+    """A node's matrix, or its translation, rotation (quaternion x, y, z, w) and scale."""
+    if "matrix" in node:
+        return np.array(node["matrix"], float).reshape(4, 4).T
+    x, y, z, w = node.get("rotation", (0.0, 0.0, 0.0, 1.0))
+    turn = np.array([[1 - 2 * (y * y + z * z), 2 * (x * y - z * w), 2 * (x * z + y * w)], [2 * (x * y + z * w), 1 - 2 * (x * x + z * z), 2 * (y * z - x * w)], [2 * (x * z - y * w), 2 * (y * z + x * w), 1 - 2 * (x * x + y * y)]])
+    out = np.eye(4)
+    out[:3, :3] = turn * np.array(node.get("scale", (1.0, 1.0, 1.0)), float)
+    out[:3, 3] = node.get("translation", (0.0, 0.0, 0.0))
+    return out
 
 
 def glb_primitives(data: bytes) -> list[tuple[np.ndarray, np.ndarray, np.ndarray | None]]:
-    """(positions, triangles, texture coordinates or None) of every triangle primitive. glTF's v runs down already."""
-    doc, body = glb_chunks(data)
+    """(positions, triangles, texture coordinates or None) of every triangle primitive of the scene, moved to its place.
+
+    glTF's v runs down already. The winding of a mirrored node is turned back.
+    """
+    doc, body = gltf_parts(data)
     out = []
-    for mesh in doc.get("meshes", []):
+    for mesh, place in _placed(doc):
         for p in mesh.get("primitives", []):
             if p.get("mode", 4) != 4:
                 continue
             pos = glb_accessor(doc, body, p["attributes"]["POSITION"]).astype(np.float64)
+            if not np.array_equal(place, np.eye(4)):
+                pos = pos @ place[:3, :3].T + place[:3, 3]
             idx = glb_accessor(doc, body, p["indices"]).reshape(-1) if "indices" in p else np.arange(len(pos))
+            tri = idx.astype(np.int64).reshape(-1, 3)
+            if np.linalg.det(place[:3, :3]) < 0:
+                tri = tri[:, [0, 2, 1]]
             uv = glb_accessor(doc, body, p["attributes"]["TEXCOORD_0"]).astype(np.float64) if "TEXCOORD_0" in p["attributes"] else None
-            out.append((pos, idx.astype(np.int64).reshape(-1, 3), uv))
+            out.append((pos, tri, uv))
     return out
 
 
+def gltf_parts(data: bytes) -> tuple[dict, bytes]:
+    """JSON and binary part of a GLB file, or of a .gltf text (whose buffers are in the text)."""
+    if data[:4] != b"glTF" and data.lstrip()[:1] == b"{":
+        return json.loads(data), b""
+    return glb_chunks(data)
+
+
 def has_texcoord(data: bytes) -> bool:
-    doc, _ = glb_chunks(data)
+    doc, _ = gltf_parts(data)
     return any("TEXCOORD_0" in p.get("attributes", {}) for m in doc.get("meshes", []) for p in m.get("primitives", []))
 
 
-def glb_bytes(pos: np.ndarray, tri: np.ndarray, uv: np.ndarray | None) -> bytes:
-    """A GLB file of one primitive."""
+def declares_texcoord(files: DataFrame) -> DataFrame:
+    """(uid, has_texcoord) of GLB and .gltf files (uid, content): whether any primitive declares TEXCOORD_0; null for an unreadable file."""
+
+    def rows(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in it:
+            out = []
+            for data in b.column("content").to_pylist():
+                try:
+                    out.append(has_texcoord(data or b""))
+                except (ValueError, KeyError, IndexError, TypeError):
+                    out.append(None)
+            yield pa.RecordBatch.from_arrays([b.column("uid"), pa.array(out, pa.bool_())], ["uid", "has_texcoord"])
+
+    return files.select("uid", "content").mapInArrow(rows, f"uid {files.schema['uid'].dataType.simpleString()}, has_texcoord boolean")
+
+
+def glb_bytes(pos: np.ndarray, tri: np.ndarray, uv: np.ndarray | None, node: dict | None = None) -> bytes:
+    """A GLB file of one primitive, under a node with a transform if one is given."""
     parts = [pos.astype("<f4").tobytes(), tri.astype("<u4").tobytes()] + ([uv.astype("<f4").tobytes()] if uv is not None else [])
     views, at = [], 0
     for p in parts:
@@ -156,7 +242,7 @@ def glb_bytes(pos: np.ndarray, tri: np.ndarray, uv: np.ndarray | None) -> bytes:
     if uv is not None:
         acc.append({"bufferView": 2, "componentType": 5126, "count": len(uv), "type": "VEC2"})
         attr["TEXCOORD_0"] = 2
-    doc = json.dumps({"asset": {"version": "2.0"}, "buffers": [{"byteLength": at}], "bufferViews": views, "accessors": acc, "meshes": [{"primitives": [{"attributes": attr, "indices": 1}]}]}).encode()
+    doc = json.dumps({"asset": {"version": "2.0"}, "buffers": [{"byteLength": at}], "bufferViews": views, "accessors": acc, "meshes": [{"primitives": [{"attributes": attr, "indices": 1}]}], "nodes": [{"mesh": 0} | (node or {})], "scenes": [{"nodes": [0]}], "scene": 0}).encode()
     doc += b" " * (-len(doc) % 4)
     body = b"".join(parts)
     body += b"\0" * (-len(body) % 4)
@@ -172,7 +258,7 @@ def glb_scan(files: DataFrame) -> DataFrame:
             for uid, data in zip(b.column("uid"), b.column("content").to_pylist()):
                 try:
                     prims = glb_primitives(data or b"")
-                except (ValueError, KeyError, IndexError, TypeError):
+                except (ValueError, KeyError, IndexError, TypeError, RecursionError):
                     yield pa.RecordBatch.from_arrays([pa.array([uid.as_py()], uid.type), pa.array([0], pa.int32()), pa.array(["error"]), pa.array([0], pa.int64()), *[pa.array([None], pa.float64())] * 3], names)
                     continue
                 for i, (pos, tri, uv) in enumerate(prims):

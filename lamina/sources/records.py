@@ -7,17 +7,32 @@ import os
 from dataclasses import fields
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lamina.operators.gates import Thresholds
+from lamina.session import fits, settled
 
 CAPTION_SCHEMA = "uid string, caption string, error string, family string"
 
 
+def numbered_lines(spark: SparkSession, *paths: str) -> DataFrame:
+    """(path, line_no, value) of text files: line numbers from 1 in each file, however a file is split for reading.
+
+    Lines of a split are numbered in their task, on top of the lines of the splits before; there is one number a split.
+    """
+    lines = spark.read.text(list(paths)).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_id"))
+    lines = settled(lines, "lines")
+    splits = lines.groupBy("path", "_block").agg(F.count("*").alias("_n"), F.min("_id").alias("_first"))
+    before = Window.partitionBy("path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.select("path", "_block", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first") + 1).alias("_base"))
+    splits = F.broadcast(splits) if fits(splits, 100_000) else splits
+    return lines.join(splits, ["path", "_block"]).select("path", (F.col("_id") + F.col("_base")).alias("line_no"), "value")
+
+
 def read_captions(spark: SparkSession, *paths: str) -> DataFrame:
     """(uid, caption, error, family, shard, line_no) of JSONL shards, blank lines left out; a broken line has null fields."""
-    lines = spark.read.text(list(paths)).select("value", F.element_at(F.split(F.input_file_name(), "/"), -1).alias("shard"), F.monotonically_increasing_id().alias("line_no"))
+    lines = numbered_lines(spark, *paths).withColumn("shard", F.element_at(F.split("path", "/"), -1))
     return lines.filter(F.trim("value") != "").select(F.from_json("value", CAPTION_SCHEMA).alias("r"), "shard", "line_no").select("r.*", "shard", "line_no")
 
 

@@ -77,12 +77,39 @@ class Versions:
 
     def published(self) -> dict[int, dict]:
         """Manifest of each version, in order."""
+        return {v: self._manifest(v) for v in self._numbers()}
+
+    def latest(self) -> tuple[int, dict] | None:
+        """Number and manifest of the last version; only that manifest is read."""
+        found = self._numbers()
+        return (found[-1], self._manifest(found[-1])) if found else None
+
+    def _numbers(self) -> list[int]:
         fs, p = hadoop_path(self.spark, f"{self.path}/manifests")
-        if not fs.exists(p):
-            return {}
-        names = [s.getPath().getName() for s in fs.listStatus(p)]
-        found = sorted(int(n[2:-5]) for n in names if n.startswith("v=") and n.endswith(".json"))
-        return {v: json.loads(small_text(self.spark, f"{self.path}/manifests/v={v}.json")) for v in found}
+        names = [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+        return sorted(int(n[2:-5]) for n in names if n.startswith("v=") and n.endswith(".json"))
+
+    def _manifest(self, version: int) -> dict:
+        return json.loads(small_text(self.spark, f"{self.path}/manifests/v={version}.json"))
+
+    def replace(self, rows: DataFrame) -> None:
+        """The table as a whole; the version before it stays for its readers, older ones go."""
+        name = self.write(rows)
+        while True:
+            last = self.latest()
+            n = last[0] + 1 if last else 1
+            if put_if_absent(self.spark, f"{self.path}/manifests/v={n}.json", json.dumps({"data": name})):
+                break
+        if n > 2:
+            self.drop(self._manifest(n - 2)["data"])
+
+    def append(self, rows: DataFrame) -> None:
+        """More rows, all or none; writers that append at once do not lose each other's."""
+        name = self.write(rows)
+        while True:
+            last = self._numbers()
+            if put_if_absent(self.spark, f"{self.path}/manifests/v={last[-1] + 1 if last else 1}.json", json.dumps({"data": name})):
+                return
 
     def write(self, rows: DataFrame) -> str:
         """The rows in a data folder nobody reads yet; its name."""
