@@ -1,8 +1,9 @@
 """Column-level data quality profile: faults, shares of nulls, distincts, ranges, power sums, drift between loads.
 
-All statistics come from one histogram per load and column, so they merge: power sums are exact (decimals in
-units of `unit`), distincts are groups. The gap between the cumulative shares of neighbouring loads is exact
-too; it is summed in ranges of values, so that no task holds a whole load.
+All statistics come from one histogram per load and column, so they merge: power sums are whole numbers in units that
+hold nine digits of a column's largest value, distincts are groups. Faults and shares of nulls are read off the
+profile; the gap between the cumulative shares of neighbouring loads, which moments cannot bound, is exact from the
+histogram, summed in ranges of values, so that no task holds a whole load.
 """
 
 from __future__ import annotations
@@ -87,31 +88,27 @@ def _big(c: str | Column) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("decimal(19,0)")
 
 
-def load_totals(hist: DataFrame) -> DataFrame:
-    """Rows, nulls and comparable values of each load and column, beside those of the load before (null for the first)."""
-    t = hist.groupBy("load_id", "column_name").agg(
-        F.sum("rows").alias("n"),
-        F.coalesce(F.sum(F.when(F.col("missing"), F.col("rows"))), F.lit(0)).alias("nulls"),
-        F.coalesce(F.sum(F.when(F.col("value").isNotNull(), F.col("rows"))), F.lit(0)).alias("values"),
-    )
+def with_before(profile: DataFrame) -> DataFrame:
+    """The profile beside rows, nulls and comparable values of the load before (p_...; null for the first)."""
     w = Window.partitionBy("column_name").orderBy("load_id")
-    return t.select("*", *[F.lag(c).over(w).alias(f"p_{c}") for c in ("load_id", "n", "nulls", "values")])
+    return profile.select("*", *[F.lag(c).over(w).alias(f"p_{c}") for c in ("load_id", "n_rows", "n_null", "n")])
 
 
-def null_drift(totals: DataFrame, percent: int = 15) -> DataFrame:
+def null_drift(profile: DataFrame, percent: int = 15) -> DataFrame:
     """(load, column) whose share of nulls differs from the load before by more than `percent` hundredths."""
-    gap = F.abs(_big("nulls") * _big("p_n") - _big("p_nulls") * _big("n"))
-    return totals.filter(gap * 100 > _big("n") * _big("p_n") * percent).select("load_id", "column_name")
+    gap = F.abs(_big("n_null") * _big("p_n_rows") - _big("p_n_null") * _big("n_rows"))
+    return profile.filter(gap * 100 > _big("n_rows") * _big("p_n_rows") * percent).select("load_id", "column_name")
 
 
-def value_drift(hist: DataFrame, totals: DataFrame, percent: int = 25, ranges: int = 64) -> DataFrame:
+def value_drift(hist: DataFrame, profile: DataFrame, percent: int = 25, ranges: int = 64) -> DataFrame:
     """(load, column) where the largest gap between cumulative shares of this load and the one before exceeds `percent` hundredths.
 
     Each distinct value of a pair of loads is one row with two counts; running sums are taken inside ranges of
     values (cut at approximate quantiles) on top of the sums of the ranges before. Cuts only spread the work.
     """
     vals = hist.filter("value is not null").groupBy("load_id", "column_name", "value").agg(F.sum("rows").alias("c"))
-    pairs = totals.filter("p_load_id is not null").select("load_id", "p_load_id", "column_name", "values", "p_values")
+    # one row a load and column: a log of loads, which stays small beside its rows
+    pairs = profile.filter("p_load_id is not null").select("load_id", "p_load_id", "column_name", F.col("n").alias("values"), F.col("p_n").alias("p_values"))
     now = vals.join(F.broadcast(pairs.select("load_id", "column_name")), ["load_id", "column_name"]).select("load_id", "column_name", "value", "c", F.lit(0).cast("long").alias("p"))
     was = vals.withColumnRenamed("load_id", "p_load_id").join(F.broadcast(pairs.select("load_id", "p_load_id", "column_name")), ["p_load_id", "column_name"]).select("load_id", "column_name", "value", F.lit(0).cast("long").alias("c"), F.col("c").alias("p"))
     both = now.unionByName(was).groupBy("load_id", "column_name", "value").agg(F.sum("c").alias("c"), F.sum("p").alias("p"))
@@ -126,39 +123,56 @@ def value_drift(hist: DataFrame, totals: DataFrame, percent: int = 25, ranges: i
     return run.filter(gap * 100 > _big("values") * _big("p_values") * percent).select("load_id", "column_name").distinct()
 
 
-def drifting_loads(df: DataFrame, rules: list[Rule], null_percent: int = 15, gap_percent: int = 25) -> DataFrame:
-    """Loads that differ from the load before, as (load_id, column_name). All rows count as stored; the first load has none before."""
-    hist = settled(histogram(df, rules), "histogram")
-    totals = load_totals(hist)
-    return null_drift(totals, null_percent).unionByName(value_drift(hist, totals, gap_percent)).distinct()
+def found(df: DataFrame, rules: list[Rule], load: str = "load_id", row_id: str = "measurement_id", null_percent: int = 15, gap_percent: int = 25) -> DataFrame:
+    """(load_id, column_name, row id): values at fault, and with row id 0 the loads that differ from the load before.
+
+    The histogram is written once; the profile made of it names the loads and columns with violations, whose rows are then
+    looked up, and the shares of nulls. All rows count as stored; the first load has none before.
+    """
+    hist = settled(histogram(df, rules, load), "histogram")
+    rows = with_before(settled(profiled(hist), "profile"))
+    at_fault = rows.filter("n_fault > 0").select("load_id", "column_name")
+    bad = faults(df, rules, load, row_id).withColumnRenamed(load, "load_id")
+    bad = bad.alias("f").join(F.broadcast(at_fault).alias("p"), F.col("f.load_id").eqNullSafe(F.col("p.load_id")) & (F.col("f.column_name") == F.col("p.column_name")), "left_semi")
+    drift = null_drift(rows, null_percent).unionByName(value_drift(hist, rows, gap_percent)).distinct()
+    return bad.select("load_id", "column_name", row_id).unionByName(drift.withColumn(row_id, F.lit(0).cast(df.schema[row_id].dataType)))
 
 
-def profile(df: DataFrame, rules: list[Rule], unit: int = 6) -> DataFrame:
-    """One row per load and column: rows, nulls, faults, distincts, range, moments and the standardised difference to the load before.
+def profile(df: DataFrame, rules: list[Rule], load: str = "load_id") -> DataFrame:
+    """One row per load and column: rows, nulls, faults, distincts, range, moments and the standardised difference to the load before."""
+    return profiled(settled(histogram(df, rules, load), "histogram"))
 
-    Power sums s1 to s3 are exact in units of 10**-unit. Columns without a number have null moments.
-    """
-    h = histogram(df, rules)
-    k = F.round(F.col("value") * 10**unit).cast("decimal(12,0)")
-    one = k.cast("decimal(38,0)")
+
+#: Digits of a column's largest value that power sums keep: cubes of 10**11 rows stay within 38 digits.
+DIGITS = 9
+
+
+def profiled(hist: DataFrame) -> DataFrame:
+    """The profile of a histogram. Power sums s1 to s3 are whole numbers in units of 10**-places; columns without a finite number have null moments."""
+    value = F.when(F.abs("value") < F.lit(float("inf")), F.col("value"))
+    most = F.max(F.abs(value))
+    units = hist.groupBy("column_name").agg(F.coalesce(F.lit(DIGITS - 1) - F.floor(F.log10(F.when(most > 0, most))), F.lit(0)).cast("int").alias("places"))
+    h = hist.join(F.broadcast(units), "column_name")  # one row a column
+    one = F.round(value * F.pow(F.lit(10.0), F.col("places"))).cast("decimal(38,0)")
     c = F.col("rows").cast("decimal(38,0)")
-    g = h.groupBy("load_id", "column_name").agg(
+    g = h.groupBy("load_id", "column_name", "places").agg(
         F.sum("rows").alias("n_rows"),
         F.coalesce(F.sum(F.when(F.col("missing"), F.col("rows"))), F.lit(0)).alias("n_null"),
         F.coalesce(F.sum(F.when(F.col("faulty"), F.col("rows"))), F.lit(0)).alias("n_fault"),
         F.count_distinct("text_hash").alias("n_distinct"),
         F.coalesce(F.sum(F.when(F.col("value").isNotNull(), F.col("rows"))), F.lit(0)).alias("n"),
+        F.coalesce(F.sum(F.when(value.isNotNull(), F.col("rows"))), F.lit(0)).alias("finite"),
         F.min("value").alias("low"),
         F.max("value").alias("high"),
         *[F.sum(_product([one] * p + [c])).alias(f"s{p}") for p in (1, 2, 3)],
     )
-    n, s1, s2, s3 = (F.col(x).cast("double") for x in ("n", "s1", "s2", "s3"))
-    scale = float(10**unit)
+    n, s1, s2, s3 = (F.col(x).cast("double") for x in ("finite", "s1", "s2", "s3"))
+    scale = F.pow(F.lit(10.0), F.col("places"))
     mean = F.try_divide(s1, n)
     raw = F.try_divide(s2, n) - mean * mean
     var = F.when(raw < 0, 0.0).otherwise(raw)
     m3 = F.try_divide(s3, n) - 3 * mean * F.try_divide(s2, n) + 2 * mean * mean * mean
-    g = g.select("load_id", "column_name", "n_rows", "n_null", "n_fault", "n_distinct", "low", "high", (mean / scale).alias("mean"), (F.sqrt(var) / scale).alias("sd"), F.try_divide(m3, F.pow(F.sqrt(var), 3)).alias("skew"))
+    g = g.select("load_id", "column_name", "n_rows", "n_null", "n_fault", "n_distinct", "n", "low", "high", (mean / scale).alias("mean"), (F.sqrt(var) / scale).alias("sd"), F.try_divide(m3, F.pow(F.sqrt(var), 3)).alias("skew"))
     w = Window.partitionBy("column_name").orderBy("load_id")
     spread = F.sqrt((F.col("sd") * F.col("sd") + F.pow(F.lag("sd").over(w), 2)) / 2)
     return g.withColumn("shift", F.try_divide(F.col("mean") - F.lag("mean").over(w), spread))

@@ -22,16 +22,14 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    m = table(spark, d, "measurements")
     rules = prof.measurement_rules()
-    drift = prof.drifting_loads(m.select("load_id", *[r.name for r in rules]), rules)
-    return prof.faults(m, rules).unionByName(drift.withColumn("measurement_id", F.lit(0).cast("long")))
+    return prof.found(table(spark, d, "measurements").select("load_id", "measurement_id", *[r.name for r in rules]), rules)
 
 
 def p5_profile(spark: SparkSession, d: str) -> DataFrame:
     rules = prof.measurement_rules()
     p = prof.profile(table(spark, d, "measurements").select("load_id", *[r.name for r in rules]), rules)
-    return p.select("load_id", "column_name", "n_rows", "n_null", "n_fault", "n_distinct", "low", "high", *[F.round(c, 5).alias(c) for c in ("mean", "sd", "shift")])
+    return p.select("load_id", "column_name", "n_rows", "n_null", "n_fault", "n_distinct", "low", "high", *[F.round(c, 5).alias(c) for c in ("mean", "sd", "shift")], F.round("skew", 4).alias("skew"))
 
 
 _OBJ = object_sql("uid")
@@ -86,10 +84,11 @@ SELECT load_id, column_name, CAST(0 AS bigint) FROM gap WHERE g > 0.25 * vals *
 P5_PROFILE_SQL = f"""WITH {_LONG},
 agg AS (SELECT load_id, column_name, count(*) AS n_rows, count(*) FILTER (missing) AS n_null, count(*) FILTER (bad) AS n_fault, count(DISTINCT txt) AS n_distinct,
                min(v) AS low, max(v) AS high, avg(v) AS mean, stddev_pop(v) AS sd FROM long GROUP BY ALL),
+cu AS (SELECT l.load_id, l.column_name, avg((v - mean) ** 3) AS m3 FROM long l JOIN agg a ON a.load_id = l.load_id AND a.column_name = l.column_name WHERE v IS NOT NULL GROUP BY ALL),
 nx AS (SELECT *, lag(mean) OVER w AS pm, lag(sd) OVER w AS ps FROM agg WINDOW w AS (PARTITION BY column_name ORDER BY load_id))
 SELECT load_id, column_name, n_rows, n_null, n_fault, n_distinct, low, high, round(mean, 5) AS mean, round(sd, 5) AS sd,
-       round((mean - pm) / nullif(sqrt((sd * sd + ps * ps) / 2), 0), 5) AS shift
-FROM nx"""
+       round((mean - pm) / nullif(sqrt((sd * sd + ps * ps) / 2), 0), 5) AS shift, round(m3 / nullif(sd ** 3, 0), 4) AS skew
+FROM nx LEFT JOIN cu USING (load_id, column_name)"""
 
 QUERIES = {"p3_found": p3_found, "p5_found": p5_found, "p5_profile": p5_profile}
 SQL = {"p3_found": P3_SQL, "p5_found": P5_SQL, "p5_profile": P5_PROFILE_SQL}
