@@ -24,9 +24,11 @@ def overridden(own: Column, render: Column) -> Column:
 
 
 def albedo_ratio(rendered: Column, visible: Column) -> tuple[Column, Column]:
-    """(ratio, note): null and a note where nothing is visible."""
+    """(ratio, note): null and a note where nothing is visible, or where either number is NaN or infinite."""
     none = F.coalesce(visible, F.lit(0.0)) == 0
-    return F.round(F.try_divide(rendered, visible), 4), F.when(none, "no visible albedo").otherwise("")
+    odd = lambda c: F.coalesce(F.isnan(c) | (F.abs(c) == float("inf")), F.lit(False))
+    bad = odd(rendered) | odd(visible)
+    return F.when(~bad, F.round(F.try_divide(rendered, visible), 4)), F.when(bad, "albedo is no number").when(none, "no visible albedo").otherwise("")
 
 
 def preparation_notes() -> Column:

@@ -183,14 +183,18 @@ def safetensors_families(spark: SparkSession, d: str) -> DataFrame:
     return arrays.family_scan(g.mapInArrow(rows, "uid long, content binary")).select("uid", "family", "y", "x", "face_id")
 
 
-@query("stream_claims", TABULAR["queue_claims"])
+# a stream gives out what its watermark has passed: six hours before the last event, in whole milliseconds
+_PASSED = "(SELECT epoch_ms(max(event_at)) - 6 * 3600000 FROM claims WHERE uid IS NOT NULL AND event_at IS NOT NULL)"
+
+
+@query("stream_claims", TABULAR["queue_claims"].replace("FROM claims", f"FROM (SELECT * FROM claims WHERE epoch_us(event_at) <= {_PASSED} * 1000)"))
 def stream_claims(spark: SparkSession, d: str) -> DataFrame:
     return lease.run_to_table(lease.claims_won(lease.read_events(spark, f"{d}/claims.parquet")), "won")
 
 
-@query("stream_sessions", TABULAR["queue_sessions"])
+@query("stream_sessions", f"SELECT * FROM ({TABULAR['queue_sessions']}) WHERE epoch_us(last_at) + {lease.LEASE_SECONDS} * 1000000 <= {_PASSED} * 1000")
 def stream_sessions(spark: SparkSession, d: str) -> DataFrame:
-    return lease.run_to_table(lease.sessions(lease.read_events(spark, f"{d}/claims.parquet")), "sessions", "complete")
+    return lease.run_to_table(lease.sessions(lease.read_events(spark, f"{d}/claims.parquet")), "sessions")
 
 
 @query("prepare_mesh", f"WITH {fx.FIELD} SELECT uid, count(*) AS n_vertices FROM mv GROUP BY uid")

@@ -375,15 +375,14 @@ def render_override(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "g3_albedo_ratio",
-    f"SELECT measurement_id, round(g8_psnr / nullif(g8_psnr_flip, 0), 4) AS ratio, CASE WHEN coalesce(g8_psnr_flip, 0) = 0 THEN 'no visible albedo' ELSE '' END AS note FROM {_ONCE} WHERE NOT isnan(coalesce(g8_psnr, 0)) AND NOT isnan(coalesce(g8_psnr_flip, 0)) AND NOT isinf(coalesce(g8_psnr, 0)) AND NOT isinf(coalesce(g8_psnr_flip, 0))",
+    f"""WITH f AS (SELECT *, isnan(coalesce(g8_psnr, 0)) OR isinf(coalesce(g8_psnr, 0)) OR isnan(coalesce(g8_psnr_flip, 0)) OR isinf(coalesce(g8_psnr_flip, 0)) AS odd FROM {_ONCE})
+    SELECT measurement_id, CASE WHEN NOT odd THEN round(g8_psnr / nullif(g8_psnr_flip, 0), 4) END AS ratio, CASE WHEN odd THEN 'albedo is no number' WHEN coalesce(g8_psnr_flip, 0) = 0 THEN 'no visible albedo' ELSE '' END AS note FROM f""",
 )
 def g3_albedo_ratio(spark: SparkSession, d: str) -> DataFrame:
     from lamina.operators.measures import albedo_ratio as ratio
 
-    finite = lambda c: ~F.isnan(F.coalesce(c, F.lit(0.0))) & ~F.coalesce(F.abs(c) == float("inf"), F.lit(False))
-    a, b = F.col("g8_psnr"), F.col("g8_psnr_flip")
-    r, note = ratio(a, b)
-    return _measured(spark, d).filter(finite(a) & finite(b)).select("measurement_id", r.alias("ratio"), note.alias("note"))
+    r, note = ratio(F.col("g8_psnr"), F.col("g8_psnr_flip"))
+    return _measured(spark, d).select("measurement_id", r.alias("ratio"), note.alias("note"))
 
 
 # ------------------------------------------------------------------ ledger

@@ -16,57 +16,80 @@ EVENTS = "claim_id long, stage string, uid string, op string, owner string, cont
 WINS = "stage string, uid string, content_key string, epoch long, claim_id long, owner string"
 
 
-def read_events(spark: SparkSession, path: str) -> DataFrame:
-    """The ledger as a stream; a table of one file is read through its folder."""
+def read_events(spark: SparkSession, path: str, files: int = 1000) -> DataFrame:
+    """The ledger as a stream of at most `files` files a batch; a table of one file is read through its folder."""
     folder, _, name = path.rpartition("/")
-    return spark.readStream.schema(EVENTS).option("pathGlobFilter", "*.parquet").parquet(f"{folder}/{name[:-8]}*.parquet")
+    return spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", files).option("pathGlobFilter", "*.parquet").parquet(f"{folder}/{name[:-8]}*.parquet")
 
 
-def lease_step(lease: int = LEASE_SECONDS):
-    """State of a unit: (epoch, last event time in microseconds, open, won). Events of a batch are taken in event order.
+#: How late an event may come, and how long a silent unit is remembered after its lease.
+LATE = "6 hours"
+REMEMBERED_SECONDS = 90 * 86_400
+_STATE = "epoch long, last long, live boolean, won boolean, ids array<long>, ats array<long>, ops array<string>, owners array<string>"
 
-    A lease opens with the first event, after a release or completion, or after a silence longer than the lease;
-    its first claim wins it.
+
+def lease_step(lease: int = LEASE_SECONDS, remembered: int = REMEMBERED_SECONDS):
+    """State of a unit: (epoch, last event time in microseconds, open, won) and the events the watermark has not passed.
+
+    Events wait until the watermark passes them and are then taken in event order, each claim_id once, so that the result
+    does not depend on the batches they came in; what comes later still is dropped by the watermark. A timer wakes the
+    unit for its next waiting event, and at last to be forgotten, once it was silent for its lease and `remembered` seconds:
+    a unit that comes back after that begins at its first epoch. A lease opens with the first event, after a release or
+    completion, or after a silence longer than the lease; its first claim wins it.
     """
     us = lease * 1_000_000
 
     def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        epoch, last, live, won = state.get if state.exists else (0, 0, False, False)
-        rows = pd.concat(list(frames)).drop_duplicates("claim_id").sort_values(["at", "claim_id"])
+        epoch, last, live, won, ids, ats, ops, owners = state.get if state.exists else (0, 0, False, False, [], [], [], [])
+        waiting = dict(zip(ids, zip(ats, ops, owners)))
+        if not state.hasTimedOut:
+            for f in frames:
+                for claim_id, at, op, owner in zip(f["claim_id"], f["at"], f["op"], f["owner"]):
+                    waiting.setdefault(int(claim_id), (int(at), op, owner))
+        passed = state.getCurrentWatermarkMs() * 1000
         out = []
-        for at, op, claim_id, owner in zip(rows["at"], rows["op"], rows["claim_id"], rows["owner"]):
+        for claim_id, (at, op, owner) in sorted(((i, e) for i, e in waiting.items() if e[0] <= passed), key=lambda x: (x[1][0], x[0])):
             if not live or at - last > us:
                 epoch, won = epoch + 1, False
             if op == "claim" and not won:
                 out.append((*key, epoch, claim_id, owner))
                 won = True
             live, last = op not in ("release", "complete"), at
-        state.update((int(epoch), int(last), bool(live), bool(won)))
+        rest = {i: e for i, e in waiting.items() if e[0] > passed}
+        gone = last + us + remembered * 1_000_000
+        if rest or gone > passed:
+            cols = [list(c) for c in zip(*rest.values())] if rest else [[], [], []]
+            state.update((int(epoch), int(last), bool(live), bool(won), list(rest), *cols))
+            state.setTimeoutTimestamp(min(cols[0], default=gone) // 1000 + 1)
+        else:
+            state.remove()
         yield pd.DataFrame(out, columns=["stage", "uid", "content_key", "epoch", "claim_id", "owner"])
 
     return step
 
 
-def claims_won(events: DataFrame, lease: int = LEASE_SECONDS) -> DataFrame:
-    """The stream of won claims. Rows without uid or event time are left out; keys of a stream must not be null, so null parts read as ''."""
-    e = events.filter("uid is not null and event_at is not null").select("claim_id", F.coalesce("stage", F.lit("")).alias("stage"), "uid", F.coalesce("content_key", F.lit("")).alias("content_key"), "op", "owner", F.unix_micros(F.col("event_at").cast("timestamp")).alias("at"))
-    return e.groupBy("stage", "uid", "content_key").applyInPandasWithState(lease_step(lease), WINS, "epoch long, last long, live boolean, won boolean", "append", GroupStateTimeout.NoTimeout)
+def _events(events: DataFrame, late: str) -> DataFrame:
+    """Rows without uid or event time are left out; event times carry the watermark."""
+    return events.filter("uid is not null and event_at is not null").withColumn("event_at", F.col("event_at").cast("timestamp")).withWatermark("event_at", late)
+
+
+def claims_won(events: DataFrame, lease: int = LEASE_SECONDS, late: str = LATE) -> DataFrame:
+    """The stream of won claims, of events up to the watermark. Keys of a stream must not be null, so null parts read as ''."""
+    e = _events(events, late).select("claim_id", F.coalesce("stage", F.lit("")).alias("stage"), "uid", F.coalesce("content_key", F.lit("")).alias("content_key"), "op", "owner", "event_at", F.unix_micros("event_at").alias("at"))
+    return e.groupBy("stage", "uid", "content_key").applyInPandasWithState(lease_step(lease), WINS, _STATE, "append", GroupStateTimeout.EventTimeTimeout)
 
 
-def sessions(events: DataFrame, lease: int = LEASE_SECONDS, late: str = "3650 days") -> DataFrame:
-    """Spans of activity of each unit, as they stand after every batch (complete mode); an event stored twice counts once."""
-    e = events.filter("uid is not null and event_at is not null").withColumn("event_at", F.col("event_at").cast("timestamp")).withWatermark("event_at", late)
+def sessions(events: DataFrame, lease: int = LEASE_SECONDS, late: str = LATE) -> DataFrame:
+    """Spans of activity of each unit, given out once the watermark passes their end; then their state is dropped. An event stored twice counts once."""
+    e = _events(events, late)
     s = e.groupBy(F.session_window("event_at", f"{lease} seconds").alias("w"), "stage", "uid", "content_key").agg(F.size(F.collect_set("claim_id")).cast("long").alias("events"), F.max("event_at").alias("last_at"))
     return s.select("stage", "uid", "content_key", F.col("w.start").cast("timestamp_ntz").alias("started_at"), F.col("last_at").cast("timestamp_ntz").alias("last_at"), "events")
 
 
-def run_to_table(stream: DataFrame, label: str, mode: str = "append") -> DataFrame:
-    """Runs the stream over what is there now and reads what it wrote; state and output lie in the shared folder."""
+def run_to_table(stream: DataFrame, label: str) -> DataFrame:
+    """Runs the stream over what is there now and reads what it appended; state and output lie in the shared folder."""
     spark = stream.sparkSession
     out, ckpt = shared_table(spark, label), shared_table(spark, f"{label}-state")
-    if mode == "append":
-        q = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
-    else:
-        q = stream.writeStream.outputMode(mode).foreachBatch(lambda df, n: df.write.mode("overwrite").parquet(out)).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
+    q = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
     q.awaitTermination()
     return spark.read.schema(stream.schema).parquet(out)
