@@ -42,7 +42,8 @@ def is_real(c: Column) -> Column:
 
 
 def real_sql(c: str) -> str:
-    """is_real as SQL for the check."""
-    s = f"lower(regexp_replace(regexp_replace({c}, '{INVISIBLE}', '', 'g'), '{BLANKS}+', ' ', 'g'))"
-    b = f"regexp_replace({s}, '^[ \\[\\](){{}}<>\"'']+|[ \\[\\](){{}}<>\"'']+\\z', '', 'g')"
-    return f"coalesce(NOT (regexp_matches({b}, '{_STAND_IN_RE}') OR NOT regexp_matches({c}, '[\\p{{L}}\\p{{N}}]')), false)"
+    """is_real for the check, said another way: the words of the text, trimmed, are not in the list and hold a letter or digit."""
+    words = f"list_filter(regexp_split_to_array(regexp_replace(lower({c}), '{INVISIBLE}', '', 'g'), '{BLANKS}+'), lambda x: x <> '')"
+    listed = ", ".join(f"'{w}'" for w in STAND_INS)
+    around = " []<>(){}\"''"
+    return f"({c} IS NOT NULL AND regexp_matches({c}, '[\\p{{L}}\\p{{N}}]') AND trim(array_to_string({words}, ' '), '{around}') NOT IN ({listed}))"

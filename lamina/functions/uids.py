@@ -31,7 +31,9 @@ def object_of(c: Column) -> Column:
 
 
 def object_sql(c: str) -> str:
-    """object_of as SQL for the check."""
-    plain = f"lower(translate(regexp_replace({c}, '{INVISIBLE}', '', 'g'), '{_WIDE}', '{_NARROW}'))"
-    digits = f"regexp_replace(regexp_replace({plain}, '{_WORD}', ' ', 'g'), '[^0-9a-f]', '', 'g')"
-    return f"CASE WHEN regexp_matches({c}, '{VALID}') THEN {c} WHEN regexp_matches({digits}, '{VALID}') THEN {digits} END"
+    """object_of for the check, said another way: split into words, drop those with a letter beyond f, join the hex digits of the rest."""
+    wide = f"array_to_string(list_transform(string_split({c}, ''), lambda x: CASE WHEN unicode(x) BETWEEN 65281 AND 65374 THEN chr(CAST(unicode(x) - 65248 AS integer)) ELSE x END), '')"
+    words = f"regexp_split_to_array(lower(regexp_replace({wide}, '{INVISIBLE}', '', 'g')), '[^\\p{{L}}\\p{{N}}]+')"
+    kept = f"list_filter({words}, lambda x: NOT regexp_matches(regexp_replace(x, '[a-f]', '', 'g'), '\\p{{L}}'))"
+    digits = f"regexp_replace(array_to_string({kept}, ''), '[^0-9a-f]', '', 'g')"
+    return f"CASE WHEN length({digits}) IN (32, 64) THEN {digits} END"

@@ -22,12 +22,16 @@ GATE_NAMES = ["g1_ref_dark", "g3", "g4", "g5", "g6", "g7", "g8"]
 
 @dataclass(frozen=True)
 class Rule:
-    """A profiled column: its fault predicate, the number that is compared between loads (None: not compared), its text form."""
+    """A profiled column: its fault predicate, the number that is compared between loads (None: not compared), its text form.
+
+    plain: rows with equal numbers have equal values, so that the text is needed only where there is no number.
+    """
 
     name: str
     fault: Column
     number: Column | None
     text: Column
+    plain: bool = False
 
 
 def outside(name: str, low: float, high: float) -> Column:
@@ -52,7 +56,7 @@ def bad_text(name: str) -> Column:
 def measurement_rules() -> list[Rule]:
     def number(name: str, low: float, high: float) -> Rule:
         f = outside(name, low, high)
-        return Rule(name, f, F.when(~f, F.col(name) + F.lit(0.0)), F.col(name).cast("string"))
+        return Rule(name, f, F.when(~f, F.col(name) + F.lit(0.0)), F.col(name).cast("string"), True)
 
     names = F.col("unmeasured")
     return [
@@ -71,16 +75,12 @@ def faults(df: DataFrame, rules: list[Rule], load: str = "load_id", row_id: str
 
 def histogram(df: DataFrame, rules: list[Rule], load: str = "load_id") -> DataFrame:
     """(load, column_name, value, missing, faulty, text_hash, rows): counts of equal values; partial sums are merged before the shuffle."""
-    one = [
-        F.struct(
-            F.lit(r.name).alias("column_name"),
-            (r.number if r.number is not None else F.lit(None).cast("double")).alias("value"),
-            r.text.isNull().alias("missing"),
-            r.fault.alias("faulty"),
-            F.when(r.text.isNotNull(), F.md5(r.text)).alias("text_hash"),
-        )
-        for r in rules
-    ]
+    def one_of(r: Rule) -> Column:
+        number = r.number if r.number is not None else F.lit(None).cast("double")
+        unseen = r.text.isNotNull() & number.isNull() if r.plain else r.text.isNotNull()
+        return F.struct(F.lit(r.name).alias("column_name"), number.alias("value"), r.text.isNull().alias("missing"), r.fault.alias("faulty"), F.when(unseen, F.unhex(F.md5(r.text))).alias("text_hash"))
+
+    one = [one_of(r) for r in rules]
     return df.select(F.col(load).alias("load_id"), F.explode(F.array(*one)).alias("v")).select("load_id", "v.*").groupBy("load_id", "column_name", "value", "missing", "faulty", "text_hash").agg(F.count("*").alias("rows"))
 
 
@@ -143,7 +143,7 @@ def profile(df: DataFrame, rules: list[Rule], load: str = "load_id") -> DataFram
     return profiled(settled(histogram(df, rules, load), "histogram"))
 
 
-#: Digits of a column's largest value that power sums keep: cubes of 10**11 rows stay within 38 digits.
+#: Digits of a column's largest value that power sums keep. Squares of 10**13 rows stay within 38 digits; where cubes do not, the skew is null.
 DIGITS = 9
 
 
@@ -153,18 +153,21 @@ def profiled(hist: DataFrame) -> DataFrame:
     most = F.max(F.abs(value))
     units = hist.groupBy("column_name").agg(F.coalesce(F.lit(DIGITS - 1) - F.floor(F.log10(F.when(most > 0, most))), F.lit(0)).cast("int").alias("places"))
     h = hist.join(F.broadcast(units), "column_name")  # one row a column
-    one = F.round(value * F.pow(F.lit(10.0), F.col("places"))).cast("decimal(38,0)")
-    c = F.col("rows").cast("decimal(38,0)")
+    one = F.round(value * F.pow(F.lit(10.0), F.col("places"))).cast("long")
+    wide = lambda c: c.cast("decimal(19,0)")
+    square = one * one  # within 10**18
+    powers = [wide(one), wide(square), (wide(square) * wide(one)).cast("decimal(28,0)")]
+    c = F.col("rows").cast("decimal(13,0)")
     g = h.groupBy("load_id", "column_name", "places").agg(
         F.sum("rows").alias("n_rows"),
         F.coalesce(F.sum(F.when(F.col("missing"), F.col("rows"))), F.lit(0)).alias("n_null"),
         F.coalesce(F.sum(F.when(F.col("faulty"), F.col("rows"))), F.lit(0)).alias("n_fault"),
-        F.count_distinct("text_hash").alias("n_distinct"),
+        F.count_if(~F.col("missing")).alias("n_distinct"),  # a row of the histogram is one value
         F.coalesce(F.sum(F.when(F.col("value").isNotNull(), F.col("rows"))), F.lit(0)).alias("n"),
         F.coalesce(F.sum(F.when(value.isNotNull(), F.col("rows"))), F.lit(0)).alias("finite"),
         F.min("value").alias("low"),
         F.max("value").alias("high"),
-        *[F.sum(_product([one] * p + [c])).alias(f"s{p}") for p in (1, 2, 3)],
+        *[F.try_sum(F.try_multiply(p, c)).alias(f"s{i}") for i, p in enumerate(powers, 1)],
     )
     n, s1, s2, s3 = (F.col(x).cast("double") for x in ("finite", "s1", "s2", "s3"))
     scale = F.pow(F.lit(10.0), F.col("places"))
@@ -176,10 +179,3 @@ def profiled(hist: DataFrame) -> DataFrame:
     w = Window.partitionBy("column_name").orderBy("load_id")
     spread = F.sqrt((F.col("sd") * F.col("sd") + F.pow(F.lag("sd").over(w), 2)) / 2)
     return g.withColumn("shift", F.try_divide(F.col("mean") - F.lag("mean").over(w), spread))
-
-
-def _product(cols: list[Column]) -> Column:
-    out = cols[0]
-    for c in cols[1:]:
-        out = (out * c).cast("decimal(38,0)")
-    return out

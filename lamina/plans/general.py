@@ -63,8 +63,8 @@ _FU = "(unmeasured IS NOT NULL AND (unmeasured <> list_sort(list_distinct(unmeas
 _FE = f"(error IS NOT NULL AND (NOT {real_sql('error')} OR regexp_matches(error, '[\\p{{Cc}}\\x{{FFFD}}]')))"
 _LONG = f"""
 long AS (
-  SELECT load_id, measurement_id, 'g1_dark_frac' AS column_name, g1_dark_frac IS NULL AS missing, {_F1} AS bad, CASE WHEN NOT {_F1} THEN g1_dark_frac END AS v, CAST(g1_dark_frac AS varchar) AS txt FROM measurements
-  UNION ALL SELECT load_id, measurement_id, 'g8_psnr', g8_psnr IS NULL, {_F8}, CASE WHEN NOT {_F8} THEN g8_psnr END, CAST(g8_psnr AS varchar) FROM measurements
+  SELECT load_id, measurement_id, 'g1_dark_frac' AS column_name, g1_dark_frac IS NULL AS missing, {_F1} AS bad, CASE WHEN NOT {_F1} THEN g1_dark_frac END AS v, CAST(g1_dark_frac + 0 AS varchar) AS txt FROM measurements
+  UNION ALL SELECT load_id, measurement_id, 'g8_psnr', g8_psnr IS NULL, {_F8}, CASE WHEN NOT {_F8} THEN g8_psnr END, CAST(g8_psnr + 0 AS varchar) FROM measurements
   UNION ALL SELECT load_id, measurement_id, 'unmeasured', unmeasured IS NULL, {_FU}, CAST(len(unmeasured) AS double), CAST(unmeasured AS varchar) FROM measurements
   UNION ALL SELECT load_id, measurement_id, 'error', error IS NULL, {_FE}, NULL, error FROM measurements),
 tot AS (SELECT load_id, column_name, count(*) AS n, count(*) FILTER (missing) AS nulls, count(v) AS vals FROM long GROUP BY ALL),
