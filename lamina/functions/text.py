@@ -13,11 +13,15 @@ INVISIBLE = r"[\p{Cf}\x{034F}\x{115F}\x{1160}\x{17B4}\x{17B5}\x{180B}-\x{180F}\x
 #: Blanks: separators and control characters.
 BLANKS = r"[\p{Z}\p{Cc}\x{2800}]"
 
-_STAND_IN_RE = "^(" + "|".join(w.replace(".", r"\.") for w in STAND_INS) + r")\z"
 
 
-#: More letters and digits than the longest stand-in has: no stand-in, whatever stands between them.
-_MANY = "^(?:[^\\p{L}\\p{N}]*+[\\p{L}\\p{N}&&[^\\x{115F}\\x{1160}\\x{17B4}\\x{17B5}\\x{3164}\\x{FFA0}]]){" + str(max(map(len, STAND_INS)) + 1) + "}"
+def _any_of(words: list[str]) -> str:
+    return "^(" + "|".join(w.replace(".", r"\.") for w in words) + r")\z"
+
+
+def _more_than(words: list[str]) -> str:
+    """More letters and digits than the longest word has: no stand-in, whatever stands between them."""
+    return r"^(?:[^\p{L}\p{N}]*+[\p{L}\p{N}&&[^\x{115F}\x{1160}\x{17B4}\x{17B5}\x{3164}\x{FFA0}]]){" + str(max(map(len, words), default=0) + 1) + "}"
 
 
 def bare(c: Column) -> Column:
@@ -31,14 +35,14 @@ def is_blank(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(c, INVISIBLE, ""), BLANKS, "") == ""
 
 
-def is_stand_in(c: Column) -> Column:
+def is_stand_in(c: Column, words: list[str] = STAND_INS) -> Column:
     """A word for a missing value, or no letter and no digit at all (blank included). Null for null."""
-    return bare(c).rlike(_STAND_IN_RE) | ~c.rlike(r"[\p{L}\p{N}]")
+    return bare(c).rlike(_any_of(words)) | ~c.rlike(r"[\p{L}\p{N}]")
 
 
-def is_real(c: Column) -> Column:
+def is_real(c: Column, words: list[str] = STAND_INS) -> Column:
     """Neither null nor blank nor a stand-in for a missing value. Never null. Texts with enough letters are settled at the first of them."""
-    return F.coalesce(F.when(c.rlike(_MANY), True).otherwise(~is_stand_in(c)), F.lit(False))
+    return F.coalesce(F.when(c.rlike(_more_than(words)), True).otherwise(~is_stand_in(c, words)), F.lit(False))
 
 
 def real_sql(c: str) -> str:

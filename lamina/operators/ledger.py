@@ -71,7 +71,8 @@ def work(population: DataFrame, done: DataFrame, claimed: DataFrame, order: list
 def status(population: DataFrame, current: DataFrame, done: DataFrame, held: DataFrame) -> DataFrame:
     """Per stage: total, done at the current key, done under another, remaining, in flight, stale.
 
-    population(uid), current(stage, uid, content_key), done(stage, uid, content_key), held(stage, uid, stale).
+    population(uid), current(stage, uid, content_key), done(stage, uid, content_key), held(stage, uid, stale). The stages
+    are those a pipeline names, a handful, and are broadcast.
     """
     stages = current.select("stage").distinct()
     grid = population.select("uid").distinct().crossJoin(F.broadcast(stages))

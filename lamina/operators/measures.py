@@ -36,7 +36,7 @@ def preparation_notes() -> Column:
     return F.array_compact(
         F.array(
             F.when(F.col("uv_out_of_range"), "layout outside [0, 1], replaced"),
-            F.when(F.lower(F.trim("uv_source")) == "xatlas", "layout made here"),
+            F.when(F.lower(F.trim("uv_source")).isin("xatlas", "grid"), "layout made here"),
             F.when(F.col("overlap_texels") > 0, F.concat(F.col("overlap_texels").cast("string"), F.lit(" texels claimed twice"))),
             F.when(F.col("occupancy") < 0.05, "layout covers little of the atlas"),
         )

@@ -52,6 +52,15 @@ def obj_scan(spark: SparkSession, d: str) -> DataFrame:
     return meshes.obj_scan(meshes.obj_text(meshes.obj_lines(*_mesh(spark, d))))[2]
 
 
+@query("obj_files", f"WITH {fx.FIELD}, {_ORDERED} SELECT uid, count(*) AS n_faces, sum(a + 2 * b + 3 * c)::bigint AS corners FROM of GROUP BY uid")
+def obj_files(spark: SparkSession, d: str) -> DataFrame:
+    """Meshes to OBJ files in the shared folder, read back."""
+    out = shared_table(spark, "obj")
+    meshes.obj_files(meshes.obj_text(meshes.obj_lines(*_mesh(spark, d))), out)
+    files = spark.read.format("binaryFile").load(out).select(F.regexp_extract("path", r"([0-9]+)\.obj", 1).cast("long").alias("uid"), F.decode("content", "UTF-8").alias("content"))
+    return meshes.obj_scan(files)[2].groupBy("uid").agg(F.count("*").alias("n_faces"), F.sum(F.col("a") + 2 * F.col("b") + 3 * F.col("c")).alias("corners"))
+
+
 @query("polygon_fan", "SELECT population_id, k, objects[1] AS a, objects[k + 1] AS b, objects[k + 2] AS c FROM (SELECT *, CAST(unnest(range(1, len(objects) - 1)) AS integer) AS k FROM (SELECT DISTINCT ON (population_id) population_id, objects FROM population))")
 def polygon_fan(spark: SparkSession, d: str) -> DataFrame:
     return meshes.polygon_fan(table(spark, d, "population").dropDuplicates(["population_id"]), ["population_id"], "objects")

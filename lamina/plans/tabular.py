@@ -533,7 +533,7 @@ def worker_plan(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "prepared_record",
-    """SELECT prepared_id, array_to_string(list_filter([CASE WHEN uv_out_of_range THEN 'layout outside [0, 1], replaced' END, CASE WHEN lower(trim(uv_source)) = 'xatlas' THEN 'layout made here' END,
+    """SELECT prepared_id, array_to_string(list_filter([CASE WHEN uv_out_of_range THEN 'layout outside [0, 1], replaced' END, CASE WHEN lower(trim(uv_source)) IN ('xatlas', 'grid') THEN 'layout made here' END,
       CASE WHEN overlap_texels > 0 THEN concat(overlap_texels, ' texels claimed twice') END, CASE WHEN occupancy < 0.05 THEN 'layout covers little of the atlas' END], lambda x: x IS NOT NULL), '; ') AS notes
     FROM (SELECT DISTINCT ON (prepared_id) * FROM prepared)""",
 )
@@ -548,3 +548,10 @@ def uv_source(spark: SparkSession, d: str) -> DataFrame:
     from lamina.operators.measures import uv_provenance
 
     return table(spark, d, "prepared").select("prepared_id", uv_provenance(F.col("uv_source")).alias("uv_source")).distinct()
+
+
+@query("versions_row", "SELECT * FROM (VALUES ('contract_version', 'lamina.run/2'), ('gate_version', 'lamina.gates/1'), ('package_version', '0.2.0'), ('pipeline_version', 'lamina.pipeline/2'), ('recipe_version', 'lamina.recipe/1')) t(name, version)")
+def versions_row(spark: SparkSession, d: str) -> DataFrame:
+    from lamina.versions import VERSIONS
+
+    return spark.createDataFrame(list(VERSIONS.items()), "name string, version string")

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from lamina.operators import captions as cap
 from lamina.operators import gates, identity, image, ledger, raster, view
-from lamina.operators.measures import asked_key, assembled, delivery_action, resolved_families, sheet_agreement
+from lamina.operators.measures import asked_key, assembled, delivery_action, preparation_notes, resolved_families, sheet_agreement
 from lamina.session import build_session, hadoop_path, settled
 from lamina.sources import arrays, meshes, records
 from lamina.sources.versions import Versions
@@ -126,7 +126,8 @@ class Run:
         seen = f.select("uid").distinct().withColumn("_faces", F.lit(True))
         unread = scan.filter("part = 'error'").select("uid").unionByName(obj.filter("content is null").select("uid")).distinct().withColumn("_unread", F.lit(True))
         rec = files.select("uid", "source", "format")
-        for df in (s, n, check, kept, seen, unread):
+        flags = bad.withColumn("uv_out_of_range", F.lit(True))
+        for df in (s, n, check, kept, seen, unread, flags):
             rec = rec.join(df, "uid", "left")
         error = (
             F.when(F.col("format") == "unsupported", "unsupported format")
@@ -137,7 +138,8 @@ class Run:
             .when(F.coalesce("valid_px", F.lit(0)) == 0, "layout covers no texel")
             .when(~F.coalesce(F.col("_extent") > 0, F.lit(False)), "mesh has zero extent")
         )
-        rec = rec.withColumns({"resolution": F.lit(res), "error": error, "uv_source": F.when(F.col("_faces"), F.coalesce("uv_source", F.lit("grid")))}).drop("_extent", "_faces", "_unread", "problem")
+        rec = rec.withColumns({"resolution": F.lit(res), "error": error, "uv_source": F.when(F.col("_faces"), F.coalesce("uv_source", F.lit("grid"))), "uv_out_of_range": F.coalesce("uv_out_of_range", F.lit(False)), "overlap_texels": F.col("overlap_px")})
+        rec = rec.withColumn("notes", F.when(F.col("_faces"), preparation_notes())).drop("_extent", "_faces", "_unread", "problem")
         out = self.write(rec, "prepared")
         good = out.filter("error is null").select("uid").distinct()
         a = self.write(raster.address_map(uv, uf, res).join(good, "uid", "left_semi"), "addresses")

@@ -92,6 +92,13 @@ def obj_text(lines: DataFrame) -> DataFrame:
     return g.select("uid", F.concat(F.array_join(F.transform("l", lambda s: s["line"]), "\n"), F.lit("\n")).alias("content"))
 
 
+def obj_files(texts: DataFrame, folder: str) -> DataFrame:
+    """(path, size) of the OBJ files written for the texts (uid, content), from the tasks."""
+    from lamina.sources.arrays import binary_files
+
+    return binary_files(texts.select(F.col("uid").alias("img"), F.encode("content", "UTF-8").alias("content")), folder, ".obj")
+
+
 #: Component types of binary glTF accessors, and components of their shapes.
 _KIND = {5120: "<i1", 5121: "<u1", 5122: "<i2", 5123: "<u2", 5125: "<u4", 5126: "<f4"}
 _WIDTH = {"SCALAR": 1, "VEC2": 2, "VEC3": 3, "VEC4": 4}

@@ -37,6 +37,13 @@ def put_if_absent(spark: SparkSession, path: str, text: str) -> bool:
             return True
         except FileExistsError:
             return False
+        except OSError:  # a mount without hard links: created only if absent
+            try:
+                with open(local, "x") as f:
+                    f.write(text)
+                return True
+            except FileExistsError:
+                return False
         finally:
             os.unlink(tmp)
     if scheme in OBJECT_STORES:

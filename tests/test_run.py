@@ -64,6 +64,7 @@ def test_stages(spark, tmp_path):
     run = Run(spark, f"file://{tmp_path}/work")
     rec = {r.source.rsplit("/", 1)[1]: r for r in run.prepare(f"{tmp_path}/*.obj", res=64).collect()}
     assert (rec["a.obj"].uv_source, rec["b.obj"].uv_source) == ("supplied", "grid") and rec["a.obj"].valid_px > 0
+    assert rec["a.obj"].notes == [] and rec["b.obj"].notes[:2] == ["layout outside [0, 1], replaced", "layout made here"]
     rng = np.random.default_rng(0)
     mask = np.zeros((32, 32), bool)
     mask[6:26, 6:26] = True
