@@ -31,26 +31,35 @@ def _topleft(a: int, b: int) -> Column:
     return (dy < 0) | ((dy == 0) & (dx > 0))
 
 
+def computed_once(df: DataFrame, columns: dict[str, Column], drop: list[str] | None = None) -> DataFrame:
+    """The frame with columns that later filters read but do not work out again: the optimizer puts a filter's expressions in
+    place of names all the way down, and a generated row stops it."""
+    rest = [c for c in df.columns if c not in columns and c not in (drop or [])]
+    return df.select(*rest, F.explode(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))).alias("_once")).select(*rest, "_once.*")
+
+
 def cells(tri: DataFrame, width: int, height: int, keys: list[str], shared_edges: bool, margin: bool = False) -> DataFrame:
     """Cells whose centre lies in the triangles (px0..py2), as keys, fid, x, y, b0..b2 in the caller's corner order.
 
     shared_edges: an edge belongs to both faces (a depth test settles it); otherwise only to one, by the top-left rule.
     Triangles without area are left out. margin: triangles wholly off the canvas are left out before clipping.
     """
+    corners = [f"p{n}{k}" for k in range(3) for n in ("x", "y")]
+    t = computed_once(tri, {c: F.col(c) for c in corners})
     area = (F.col("px1") - F.col("px0")) * (F.col("py2") - F.col("py0")) - (F.col("py1") - F.col("py0")) * (F.col("px2") - F.col("px0"))
-    t = tri.withColumn("area", area).filter("area <> 0").withColumn("swap", F.col("area") < 0)
-    pick = lambda n, k: F.when(F.col("swap"), F.col(f"p{n}{(0, 2, 1)[k]}")).otherwise(F.col(f"p{n}{k}")).alias(f"t{n}{k}")
-    t = t.select(*keys, "fid", "swap", *[pick(n, k) for k in range(3) for n in ("x", "y")], *[c for c in tri.columns if c not in (*keys, "fid", "px0", "px1", "px2", "py0", "py1", "py2")])
+    t = computed_once(t, {"area": area}).filter("area <> 0")
+    pick = lambda n, k: F.when(F.col("area") < 0, F.col(f"p{n}{(0, 2, 1)[k]}")).otherwise(F.col(f"p{n}{k}"))
+    t = computed_once(t, {"swap": F.col("area") < 0} | {f"t{n}{k}": pick(n, k) for k in range(3) for n in ("x", "y")}, ["area", *corners])
     lo = {n: F.least(*[F.col(f"t{n}{k}") for k in range(3)]) for n in ("x", "y")}
     hi = {n: F.greatest(*[F.col(f"t{n}{k}") for k in range(3)]) for n in ("x", "y")}
     if margin:
         t = t.filter((hi["x"] >= 0) & (lo["x"] <= width) & (hi["y"] >= 0) & (lo["y"] <= height))
     clip = lambda c, n: F.least(F.greatest(c, F.lit(0)), F.lit(n - 1)).cast("int")
-    t = t.withColumns({"x0": clip(F.ceil(lo["x"] - 0.5), width), "x1": clip(F.floor(hi["x"] - 0.5), width), "y0": clip(F.ceil(lo["y"] - 0.5), height), "y1": clip(F.floor(hi["y"] - 0.5), height)})
+    t = computed_once(t, {"x0": clip(F.ceil(lo["x"] - 0.5), width), "x1": clip(F.floor(hi["x"] - 0.5), width), "y0": clip(F.ceil(lo["y"] - 0.5), height), "y1": clip(F.floor(hi["y"] - 0.5), height)})
     t = t.filter("x0 <= x1 and y0 <= y1")  # a sequence would count down
     t = t.withColumn("x", F.explode(F.sequence("x0", "x1"))).withColumn("y", F.explode(F.sequence("y0", "y1")))
     t = t.withColumns({"cx": F.col("x").cast("double") + 0.5, "cy": F.col("y").cast("double") + 0.5})
-    t = t.withColumns({"e0": _edge(1, 2), "e1": _edge(2, 0), "e2": _edge(0, 1)})
+    t = computed_once(t, {"e0": _edge(1, 2), "e1": _edge(2, 0), "e2": _edge(0, 1)})
     if shared_edges:
         inside = (F.col("e0") >= 0) & (F.col("e1") >= 0) & (F.col("e2") >= 0)
     else:
@@ -74,9 +83,10 @@ def address_map(uv_vertices: DataFrame, uv_faces: DataFrame, res: int, face_map:
     face_map (uid, fid, mesh_fid) leads from UV faces to mesh faces.
     """
     c = cells(uv_triangles(uv_vertices, uv_faces, res), res, res, ["uid"], shared_edges=False)
-    g = c.groupBy("uid", "y", "x").agg(F.count("*").alias("coverage"), F.max(F.struct("fid", "b0", "b1", "b2")).alias("t"))
+    # where only one face covers a texel, each maximum is that face's
+    g = c.groupBy("uid", "y", "x").agg(F.count("*").alias("coverage"), *[F.max(b).alias(b) for b in ("fid", "b0", "b1", "b2")])
     one = F.col("coverage") == 1
-    out = g.select("uid", "y", "x", "coverage", F.when(one, F.col("t.fid")).otherwise(-1).cast("long").alias("face_id"), *[F.when(one, F.col(f"t.{b}")).alias(b) for b in ("b0", "b1", "b2")])
+    out = g.select("uid", "y", "x", "coverage", F.when(one, F.col("fid")).otherwise(-1).cast("long").alias("face_id"), *[F.when(one, F.col(b)).alias(b) for b in ("b0", "b1", "b2")])
     if face_map is not None:
         m = face_map.select("uid", F.col("fid").alias("face_id"), "mesh_fid")
         out = out.join(m, ["uid", "face_id"], "left").withColumn("face_id", F.coalesce("mesh_fid", F.lit(-1)).cast("long")).drop("mesh_fid")

@@ -99,8 +99,15 @@ def fragments(vertices: DataFrame, faces: DataFrame, cameras: DataFrame, res: in
     corners = [x for k in range(3) for x in (((dot("r", k) * 0.5 + 0.5) * float(res)).alias(f"px{k}"), ((1.0 - (dot("u", k) * 0.5 + 0.5)) * float(res)).alias(f"py{k}"), (-dot("k", k)).alias(f"depth{k}"))]
     c = cells(t.select("uid", "view", "fid", *corners), res, res, ["uid", "view"], shared_edges=True, margin=True)
     z = F.col("depth0") * F.col("b0") + F.col("depth1") * F.col("b1") + F.col("depth2") * F.col("b2")
-    near = F.min(F.struct(F.round(z, 9).alias("z"), "fid", "b0", "b1", "b2")).alias("t")
-    return c.groupBy("uid", "view", "y", "x").agg(near).select("uid", "view", "y", "x", "t.fid", "t.b0", "t.b1", "t.b2", "t.z")
+    # depth (9 places) and face as one number, so that fragments merge in a hash table instead of being sorted
+    face = F.when(F.col("fid") < _FACES, F.col("fid")).otherwise(F.raise_error(F.lit("too many faces in a mesh")).cast("long"))
+    c = c.withColumn("near", F.round(F.round(z, 9) * 1e9).cast("long") * _FACES + face)
+    first = c.groupBy("uid", "view", "y", "x").agg(F.min("near").alias("near"), *[F.min_by(b, "near").alias(b) for b in ("b0", "b1", "b2")])
+    return first.select("uid", "view", "y", "x", F.pmod("near", F.lit(_FACES)).alias("fid"), "b0", "b1", "b2", (F.floor(F.col("near") / _FACES) / 1e9).alias("z"))
+
+
+#: Faces a mesh may have in a view, and with them the depths that fit beside: up to 8.5, thrice the camera's distance. More is an error.
+_FACES = 1 << 30
 
 
 def texel(coord: Column, size: int | Column) -> Column:
