@@ -61,24 +61,27 @@ class VersionedTarget(Versions):
         """Rows of the published versions, with run_id below `before` if given."""
         return self.read([m for v, m in self.published().items() if before is None or v < before], _SCHEMA)
 
-    def advance(self, new: DataFrame, run_id: int) -> bool:
+    def advance(self, new: DataFrame, run_id: int, rows: int | None = None) -> bool:
         """Publish what is new: the rows of `new` (one a key) that are later than the target's row of their key.
 
         Rows whose state moved but compares equal are stored with `changed` false: without their position a late
-        row could pass for a change. False where the run is published already.
+        row could pass for a change. False where the run is published already. rows: how many there are, where that is known.
         """
-        if run_id in self.published():
+        versions = self.published()
+        if run_id in versions:
             return False
-        known = self.rows(before=run_id)
+        held = [m for v, m in versions.items() if v < run_id]
+        if not held:
+            return self.publish(run_id, self.write(new.select("key", "at", "row_id", "version", F.lit(True).alias("changed"), F.lit(run_id).cast("int").alias("run_id"))))
         # few new rows go to the target, so that it is not shuffled; else Spark's own runtime filters thin it out
         keys = new.select("key")
-        touched = known.join(F.broadcast(keys) if fits(keys, SENT) else keys, "key", "left_semi")
+        few = fits(keys, SENT) if rows is None else rows <= SENT
+        touched = self.read(held, _SCHEMA).join(F.broadcast(keys) if few else keys, "key", "left_semi")
         k, n = latest_state(touched).alias("k"), new.alias("n")
-        held = (F.col("k.at") > F.col("n.at")) | ((F.col("k.at") == F.col("n.at")) & (F.col("k.row_id") >= F.col("n.row_id")))
-        rows = n.join(k, F.col("n.key") == F.col("k.key"), "left").filter(~F.coalesce(held, F.lit(False)))
+        known = (F.col("k.at") > F.col("n.at")) | ((F.col("k.at") == F.col("n.at")) & (F.col("k.row_id") >= F.col("n.row_id")))
+        later = n.join(k, F.col("n.key") == F.col("k.key"), "left").filter(~F.coalesce(known, F.lit(False)))
         changed = F.coalesce(F.col("k.version") != F.col("n.version"), F.lit(True))
-        rows = rows.select("n.key", "n.at", "n.row_id", "n.version", changed.alias("changed"), F.lit(run_id).cast("int").alias("run_id"))
-        return self.publish(run_id, self.write(rows))
+        return self.publish(run_id, self.write(later.select("n.key", "n.at", "n.row_id", "n.version", changed.alias("changed"), F.lit(run_id).cast("int").alias("run_id"))))
 
     def changes(self) -> DataFrame:
         """(run_id, row_id) of every key whose version is not that of the run before, or that had none."""
@@ -136,6 +139,7 @@ def replay(source: DataFrame, runs: list[tuple[int, object]], path: str) -> Vers
     """Every successful run in turn against one target."""
     target = VersionedTarget(source.sparkSession, path)
     laid = by_run(source, runs)
+    sizes = {r.slot: r["count"] for r in laid.groupBy("slot").count().collect()}  # one row a run
     for run_id, _ in runs:
-        target.advance(laid.filter(F.col("slot") == run_id).drop("slot"), run_id)
+        target.advance(laid.filter(F.col("slot") == run_id).drop("slot"), run_id, sizes.get(run_id, 0))
     return target
