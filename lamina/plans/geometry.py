@@ -231,7 +231,9 @@ def render_shape(spark: SparkSession, d: str) -> DataFrame:
     return vw.shaded(vw.fragments(nv, f, cams, VRES), nv, f, cams)
 
 
-_TILES = "dim AS (SELECT img, max(y) + 1 AS h, max(x) + 1 AS w FROM px GROUP BY img), ts AS (SELECT px.*, CAST(floor(h / 2) AS integer) AS th, CAST(floor(w / 3) AS integer) AS tw FROM px JOIN dim USING (img)), tl AS (SELECT img AS uid, CAST(floor(y / th) * 3 + floor(x / tw) AS integer) AS tile, y % th AS y, x % tw AS x, r, g, b, th, tw FROM ts WHERE floor(y / th) < 2 AND floor(x / tw) < 3)"
+_TILES = """dim AS (SELECT img, max(y) + 1 AS h, max(x) + 1 AS w FROM px GROUP BY img),
+ts AS (SELECT px.*, CAST(floor(h / 2) AS integer) AS th, CAST(floor(w / 3) AS integer) AS tw FROM px JOIN dim USING (img)),
+tl AS (SELECT img AS uid, CAST(floor(y / th) * 3 + floor(x / tw) AS integer) AS tile, y % th AS y, x % tw AS x, r, g, b, th, tw FROM ts WHERE floor(y / th) < 2 AND floor(x / tw) < 3)"""
 
 
 def _tiles(spark: SparkSession, d: str) -> DataFrame:
@@ -335,7 +337,8 @@ def _image(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     return px, fx.valid(px)
 
 
-_NEAR = "nn AS (SELECT a.img, a.y, a.x, (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) AS d2, b.y AS ny, b.x AS nx FROM {g} a JOIN {g} b ON a.img = b.img AND NOT a.valid AND b.valid{near}), nb AS (SELECT img, y, x, ny, nx, d2 FROM (SELECT *, row_number() OVER (PARTITION BY img, y, x ORDER BY d2, ny, nx) AS n FROM nn) WHERE n = 1)"
+_NEAR = """nn AS (SELECT a.img, a.y, a.x, (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) AS d2, b.y AS ny, b.x AS nx FROM {g} a JOIN {g} b ON a.img = b.img AND NOT a.valid AND b.valid{near}),
+nb AS (SELECT img, y, x, ny, nx, d2 FROM (SELECT *, row_number() OVER (PARTITION BY img, y, x ORDER BY d2, ny, nx) AS n FROM nn) WHERE n = 1)"""
 _WITHIN = _NEAR.format(g="vm", near=" AND b.x BETWEEN a.x - 4 AND a.x + 4 AND b.y BETWEEN a.y - 4 AND a.y + 4 AND (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= 16")
 _FULL = _NEAR.format(g="vm", near="")
 
@@ -358,7 +361,8 @@ def dilate_full(spark: SparkSession, d: str) -> DataFrame:
     return im.dilate_full(*_image(spark, d))
 
 
-_MASK = "dm AS (SELECT img, max(y) + 1 AS h, max(x) + 1 AS w FROM px GROUP BY img), ms AS (SELECT dm.img, CAST(a.y AS integer) AS y, CAST(b.x AS integer) AS x, v.valid FROM dm CROSS JOIN range(32) a(y) CROSS JOIN range(32) b(x) JOIN vm v ON v.img = dm.img AND v.y = CAST(floor((a.y + CAST(0.5 AS double)) * h / 32) AS integer) AND v.x = CAST(floor((b.x + CAST(0.5 AS double)) * w / 32) AS integer))"
+_MASK = """dm AS (SELECT img, max(y) + 1 AS h, max(x) + 1 AS w FROM px GROUP BY img),
+ms AS (SELECT dm.img, CAST(a.y AS integer) AS y, CAST(b.x AS integer) AS x, v.valid FROM dm CROSS JOIN range(32) a(y) CROSS JOIN range(32) b(x) JOIN vm v ON v.img = dm.img AND v.y = CAST(floor((a.y + CAST(0.5 AS double)) * h / 32) AS integer) AND v.x = CAST(floor((b.x + CAST(0.5 AS double)) * w / 32) AS integer))"""
 
 
 @query("mask_resample", f"WITH {fx.PX}, {_MASK} SELECT * FROM ms")
@@ -394,7 +398,9 @@ def bicubic_resize(spark: SparkSession, d: str) -> DataFrame:
     return im.resized(fx.pixels(spark, d), 48, "cubic")
 
 
-_DELIVER = f"{_DIL}, {_resize_sql('dl')}, {_MASK}, n2 AS (SELECT a.img, a.y, a.x, b.y AS ny, b.x AS nx, (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) AS d2 FROM ms a JOIN ms b ON a.img = b.img AND NOT a.valid AND b.valid WHERE (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= 16), b2 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY img, y, x ORDER BY d2, ny, nx) AS n FROM n2) WHERE n = 1), de AS (SELECT p.img, p.y, p.x, {', '.join(f'CASE WHEN valid THEN p.{c} ELSE coalesce(q.{c}, 0) END AS {c}' for c in 'rgb')} FROM lz p JOIN ms USING (img, y, x) LEFT JOIN b2 USING (img, y, x) LEFT JOIN lz q ON q.img = p.img AND q.y = b2.ny AND q.x = b2.nx)"
+_DELIVER = f"""{_DIL}, {_resize_sql('dl')}, {_MASK}, n2 AS (SELECT a.img, a.y, a.x, b.y AS ny, b.x AS nx, (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) AS d2 FROM ms a JOIN ms b ON a.img = b.img AND NOT a.valid AND b.valid WHERE (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= 16),
+b2 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY img, y, x ORDER BY d2, ny, nx) AS n FROM n2) WHERE n = 1),
+de AS (SELECT p.img, p.y, p.x, {', '.join(f'CASE WHEN valid THEN p.{c} ELSE coalesce(q.{c}, 0) END AS {c}' for c in 'rgb')} FROM lz p JOIN ms USING (img, y, x) LEFT JOIN b2 USING (img, y, x) LEFT JOIN lz q ON q.img = p.img AND q.y = b2.ny AND q.x = b2.nx)"""
 
 
 @query("deliver_texture", f"WITH {_DELIVER} SELECT * FROM de")
@@ -469,7 +475,9 @@ def g1_max_blob(spark: SparkSession, d: str) -> DataFrame:
     return pm.dark_blobs(*_image(spark, d))
 
 
-_FLAT = f"{fx.PX}, fl AS (SELECT img, y, x, CASE WHEN (x - 20) * (x - 20) + (y - 32) * (y - 32) <= 196 THEN CAST(floor(r / 8) AS integer) ELSE 210 END AS v FROM px), fd AS (SELECT img, max(y) + 1 AS h, max(x) + 1 AS w FROM fl GROUP BY img), cn AS (SELECT f.img, median(v) AS bg FROM fl f JOIN fd USING (img) CROSS JOIN (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) t(a, b) WHERE (CASE WHEN a = 0 THEN y < 4 ELSE y >= h - 4 END) AND (CASE WHEN b = 0 THEN x < 4 ELSE x >= w - 4 END) GROUP BY f.img)"
+_FLAT = f"""{fx.PX}, fl AS (SELECT img, y, x, CASE WHEN (x - 20) * (x - 20) + (y - 32) * (y - 32) <= 196 THEN CAST(floor(r / 8) AS integer) ELSE 210 END AS v FROM px),
+fd AS (SELECT img, max(y) + 1 AS h, max(x) + 1 AS w FROM fl GROUP BY img),
+cn AS (SELECT f.img, median(v) AS bg FROM fl f JOIN fd USING (img) CROSS JOIN (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) t(a, b) WHERE (CASE WHEN a = 0 THEN y < 4 ELSE y >= h - 4 END) AND (CASE WHEN b = 0 THEN x < 4 ELSE x >= w - 4 END) GROUP BY f.img)"""
 
 
 @query("g1_ref_dark", f"WITH {_FLAT} SELECT img, CASE WHEN count(*) FILTER (abs(v - bg) > 40) >= 500 THEN round(count(*) FILTER (abs(v - bg) > 40 AND v < 60) / count(*) FILTER (abs(v - bg) > 40), 4) END AS g1_ref_dark, count(*) FILTER (abs(v - bg) > 40) AS g1_ref_foreground_px FROM fl JOIN cn USING (img) GROUP BY img")
@@ -491,3 +499,31 @@ def measurement_row(spark: SparkSession, d: str) -> DataFrame:
 
     rows = assembled(*_image(spark, d))
     return rows.select("img", "g1_dark_frac", "g1_valid_texels", "g1_max_blob", "ring_texels", "error", F.array_join("unmeasured", " ").alias("unmeasured"))
+
+
+# everything an object may have: a reference, views, families; every third is blessed, every second has a renderer's numbers over its own
+@query(
+    "measurement_full",
+    f"""WITH one AS ({SQL['g1_dark_frac']}), ring AS ({SQL['ring_consistency']}), blob AS ({SQL['g1_max_blob']}), ref AS ({SQL['g1_ref_dark']}), g8 AS ({SQL['g8_measure']}),
+    fam AS (SELECT uid, max(resolved) FILTER (family = 'xatlas') AS fx, max(resolved) FILTER (family = 'smart_uv') AS fs FROM ({SQL['family_resolve']}) GROUP BY uid)
+    SELECT CAST(one.img AS varchar) AS uid, g1_dark_frac, coalesce(g1_max_blob, 0) AS g1_max_blob, g1_ref_dark, g1_ref_foreground_px, one.img % 3 = 0 AS g1_bless, CASE WHEN one.img % 6 = 0 THEN 'seen' WHEN one.img % 3 = 0 THEN 'no note recorded' END AS g1_bless_note,
+      CASE WHEN one.img % 2 = 0 THEN 30.0 + one.img ELSE g8_psnr END AS g8_psnr, g8_psnr_flip, g8_views, g8_views_measured, g8_exact_views, g8_iou, fx AS resolved_xatlas, fs AS resolved_smart_uv,
+      CASE WHEN one.img % 2 = 0 THEN CAST(0.5 AS double) END AS g3_ratio, '' AS g3_note, CASE WHEN one.img % 2 = 0 THEN CAST(0.97 AS double) END AS g4_iou_min, CASE WHEN one.img % 2 = 0 THEN 4 END AS g5_valid_views,
+      CASE WHEN one.img % 2 = 0 THEN 'g6 g7' ELSE 'g3 g4 g5 g6 g7' END AS unmeasured, CASE WHEN ring_difference > 0 OR far_background > 0 THEN 'ring or background differs from the margin rule' END AS error
+    FROM one JOIN ring USING (img) LEFT JOIN blob USING (img) LEFT JOIN ref USING (img) LEFT JOIN g8 ON g8.uid = one.img LEFT JOIN fam ON fam.uid = one.img""",
+)
+def measurement_full(spark: SparkSession, d: str) -> DataFrame:
+    from lamina.operators.measures import assembled
+
+    px, grid = _image(spark, d)
+    text = lambda df: df.withColumn("uid", F.col("uid").cast("string"))
+    flat = (F.col("x") - 20) * (F.col("x") - 20) + (F.col("y") - 32) * (F.col("y") - 32) <= 196
+    reference = px.select(F.col("img").alias("uid"), "y", "x", *[F.when(flat, F.floor(F.col("r") / 8).cast("int")).otherwise(210).alias(c) for c in "rgb"])
+    families = pm.family_resolve(_families(spark, d), ["uid"]).groupBy("uid").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("family", "resolved")))).alias("family_resolve"))
+    objects = px.select(F.col("img").alias("uid")).distinct()
+    bless = objects.filter("uid % 3 = 0").withColumn("note", F.when(F.pmod("uid", F.lit(6)) == 0, "seen").otherwise(" "))
+    own = {"g3_ratio": F.lit(0.5), "g4_iou_min": F.lit(0.97), "g5_valid_views": F.lit(4.0), "g8_psnr": F.col("uid") + 30.0, "seconds": F.lit(3.0)}
+    render = objects.filter("uid % 2 = 0").withColumn("measures", F.create_map(*[x for k, v in own.items() for x in (F.lit(k), v.cast("double"))])).withColumn("note", F.lit(""))
+    rows = assembled(px, grid, text(reference), text(pm.agreement(_g8_views(spark, d), "uid")), text(families), text(bless), text(render))
+    plain = ["uid", "g1_dark_frac", "g1_max_blob", "g1_ref_dark", "g1_ref_foreground_px", "g1_bless", "g1_bless_note", "g8_psnr", "g8_psnr_flip", "g8_views", "g8_views_measured", "g8_exact_views", "g8_iou", "g3_ratio", "g3_note", "g4_iou_min", "g5_valid_views", "error"]
+    return rows.select(*plain, F.col("family_resolve")["xatlas"].alias("resolved_xatlas"), F.col("family_resolve")["smart_uv"].alias("resolved_smart_uv"), F.array_join("unmeasured", " ").alias("unmeasured"))

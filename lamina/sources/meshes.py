@@ -19,6 +19,12 @@ def format_of(path: Column) -> Column:
     return F.when(s == ".obj", "obj").when(s.isin(".glb", ".gltf"), "gltf").otherwise("unsupported")
 
 
+def supported(path: Column) -> Column:
+    """The format of the path, or an error that names the path."""
+    f = format_of(path)
+    return F.when(f != "unsupported", f).otherwise(F.raise_error(F.concat(F.lit("unsupported mesh format: "), F.coalesce(path, F.lit("null"))))).cast("string")
+
+
 def polygon_fan(polygons: DataFrame, keys: list[str], corners: str) -> DataFrame:
     """Triangles (0, k, k + 1) of each list of corners; lists of fewer than three have none."""
     p = polygons.filter(F.size(corners) >= 3).withColumn("k", F.explode(F.sequence(F.lit(1), F.size(corners) - 2)))

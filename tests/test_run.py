@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lamina.operators import captions as cap
-from lamina.operators import gates, identity
+from lamina.operators import gates, identity, raster
 from grids import encode_grid
 from lamina.operators import image as im
 from lamina.run import Refused, Run, main
@@ -172,6 +172,19 @@ def test_delivery_ladder(spark, tmp_path):
     assert run.status()["stages"]["measure"]["done"] == 2
 
 
+def test_formats_and_contract_fail_by_name(spark):
+    assert spark.createDataFrame([("a.OBJ",)], "p string").select(meshes.supported(F.col("p"))).first()[0] == "obj"
+    with pytest.raises(Exception, match="unsupported mesh format: a.stl"):
+        spark.createDataFrame([("a.stl",)], "p string").select(meshes.supported(F.col("p"))).collect()
+    v = spark.createDataFrame([("m", 0, 0.0, 0.0, 0.0), ("m", 1, float("nan"), 0.0, 0.0)], "uid string, vid long, x double, y double, z double")
+    f = spark.createDataFrame([("m", 0, 0, 1, 7)], "uid string, fid long, a long, b long, c long")
+    check = raster.mesh_check(v, f)
+    r = check.first()
+    assert (r.not_finite, r.out_of_range, r.problem) == (1, 1, "vertex is not finite")
+    with pytest.raises(Exception, match="m: vertex is not finite"):
+        raster.required(check).collect()
+
+
 def test_a_failed_write_keeps_the_table(spark, tmp_path):
     run = Run(spark, f"file://{tmp_path}/work")
     run.write(spark.range(3).select(F.col("id").alias("uid")), "t")
