@@ -45,7 +45,6 @@ BROKEN_END = re.compile(
 SIGNS = re.compile(_TAG + r"""|```|(?<!\S)[:;=][-'^o]?[(\[{]+(?!\S)|[()\[\]{}「」『』（）【】„“”«»‹›‚‘’"]""")
 _ANY_SIGN = re.compile(r"""[<`()\[\]{}「」『』（）【】„“”«»‹›‚‘’"]""")
 GAP = re.compile(r"[,.;:!?…)\]}。！？、，；：）】]")
-LONGEST_WORD = 64
 #: Lengths below a limit at which a text may end that is cut back to whole words.
 SPAN = 12
 #: Texts with a terminator to each without one from which on a source is one that always has one.
@@ -238,8 +237,10 @@ def verdicts(df: DataFrame, id_col: str, text_col: str, source_col: str, subject
     # words that make up a 250th of the corpus: at most 250
     frequent = single.filter(F.col("n") * 250 >= total).select(F.col("word").alias("before"), F.col("word").alias("group"))
     group = F.when(F.col("before").startswith("^"), F.col("before")).otherwise(F.coalesce("group", F.lit("*"))).alias("group")
-    vocabulary = single.filter((F.col("n") - F.col("ends") >= few) & (F.length("word") <= LONGEST_WORD)).select("word", (F.col("n") - F.col("ends")).alias("inner"))
-    starts = vocabulary.filter(F.length("word") > 1).select(F.explode(F.transform(F.sequence(F.lit(1), F.length("word") - 1), lambda i: F.substring(F.col("word"), F.lit(1), i))).alias("word"), "inner").groupBy("word").agg(F.max("inner").alias("longer"))
+    # beginnings of known words, of just the lengths that last words have: their set is one row
+    vocabulary = single.filter(F.col("n") - F.col("ends") >= few).select("word", (F.col("n") - F.col("ends")).alias("inner"))
+    lengths = rows.filter(F.col("state") == OPEN).agg(F.collect_set(F.length("word")).alias("lengths"))
+    starts = vocabulary.crossJoin(F.broadcast(lengths)).select(F.explode(F.transform(F.filter("lengths", lambda n: (n > 0) & (n < F.length("word"))), lambda n: F.substring(F.col("word"), F.lit(1), n))).alias("word"), "inner").groupBy("word").agg(F.max("inner").alias("longer"))
 
     # words that are followed by a joining word (one in a hundred of the corpus) wherever the text goes on: a name may end with them
     joining = single.filter(F.col("n") * 100 >= total).select("word", F.lit(1).alias("joins"))

@@ -223,6 +223,12 @@ def test_a_source_does_not_vouch_for_its_own_cuts(spark, lost):
     assert len(want) > 300 and len(got & want) >= 0.9 * len(want) and len(got - want) <= 0.05 * len(want)
 
 
+def test_stumps_of_words_of_any_length(spark):
+    long = "donaudampfschifffahrtsgesellschaft" * 4
+    rows = [(i, f"Chair, {long}, red {long}, blue", "a" if i % 2 else "b", str(i), 0) for i in range(40)] + [(900, f"Chair, red {long[:100]}", "a", "z", 0)]
+    assert 900 in cut(spark, rows)
+
+
 def test_odd_captions(spark):
     assert cut(spark, []) == set()
     rows = [(1, None, "a", "", 0), (2, "", "a", "", 0), (3, " ", None, "", 0), (4, "n/a", "a", "", 0), (5, "Chair (toy", None, "", 0), (5, "Chair (toy", None, "", 0), (6, "x" * 50_000, "a", "", 0), (7, "Chair.", "a", "", 0)]
