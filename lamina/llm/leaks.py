@@ -298,10 +298,11 @@ def _hit_rows(shared):
         for b in it:
             h, off, at, doc = _unpacked(b)
             s = seeds_of(h)[at]
-            n = docs[np.searchsorted(known, s)]
-            salt = (at + doc) % np.maximum(1, -(-n // SPREAD))
-            win = _windows(h, off[doc], off[doc + 1], at, REACH + SLACK, TEXT_WINDOW, 1)
-            yield pa.RecordBatch.from_arrays([b.column("id").take(pa.array(doc)), pa.array(s.view(np.int64)), pa.array(salt.astype(np.int64)), _packed(win)], ["id", "seed", "salt", "tw"])
+            salt = (at + doc) % np.maximum(1, -(-docs[np.searchsorted(known, s)] // SPREAD))
+            for i in range(0, len(at), 20_000):
+                k = slice(i, i + 20_000)
+                win = _windows(h, off[doc[k]], off[doc[k] + 1], at[k], REACH + SLACK, TEXT_WINDOW, 1)
+                yield pa.RecordBatch.from_arrays([b.column("id").take(pa.array(doc[k])), pa.array(s[k].view(np.int64)), pa.array(salt[k].astype(np.int64)), _packed(win)], ["id", "seed", "salt", "tw"])
 
     return rows
 
