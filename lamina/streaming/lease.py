@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -26,6 +28,26 @@ def read_events(spark: SparkSession, path: str, files: int = 1000) -> DataFrame:
 LATE = "6 hours"
 REMEMBERED_SECONDS = 90 * 86_400
 _STATE = "epoch long, last long, live boolean, won boolean, ids array<long>, ats array<long>, ops array<string>, owners array<string>"
+#: Units share a state by the hash of their key: a call of Python costs more than the few events of a unit. The number is fixed for the life of a checkpoint.
+BUCKETS = 4096
+_BUCKET_STATE = "size long, units binary"
+
+
+def _advance(unit: tuple, waiting: dict, passed: int, us: int) -> tuple[tuple, dict, list]:
+    """A unit (epoch, last, live, won) after its waiting events up to `passed`, the events that wait on, and (epoch, claim_id, owner) of the claims that won."""
+    epoch, last, live, won = unit
+    out = []
+    due = sorted((e[0], i) for i, e in waiting.items() if e[0] <= passed)
+    for at, claim_id in due:
+        _, op, owner = waiting[claim_id]
+        if not live or at - last > us:
+            epoch, won = epoch + 1, False
+        if op == "claim" and not won:
+            out.append((epoch, claim_id, owner))
+            won = True
+        live, last = op not in ("release", "complete"), at
+    rest = {i: e for i, e in waiting.items() if e[0] > passed} if due else waiting
+    return (epoch, last, live, won), rest, out
 
 
 def lease_step(lease: int = LEASE_SECONDS, remembered: int = REMEMBERED_SECONDS):
@@ -36,6 +58,8 @@ def lease_step(lease: int = LEASE_SECONDS, remembered: int = REMEMBERED_SECONDS)
     unit for its next waiting event, and at last to be forgotten, once it was silent for its lease and `remembered` seconds:
     a unit that comes back after that begins at its first epoch. A lease opens with the first event, after a release or
     completion, or after a silence longer than the lease; its first claim wins it.
+
+    For a grouping by units. Its timer rings up to two milliseconds after the watermark has passed an event; `bucket_step`'s does not.
     """
     us = lease * 1_000_000
 
@@ -47,15 +71,8 @@ def lease_step(lease: int = LEASE_SECONDS, remembered: int = REMEMBERED_SECONDS)
                 for claim_id, at, op, owner in zip(f["claim_id"], f["at"], f["op"], f["owner"]):
                     waiting.setdefault(int(claim_id), (int(at), op, owner))
         passed = state.getCurrentWatermarkMs() * 1000
-        out = []
-        for claim_id, (at, op, owner) in sorted(((i, e) for i, e in waiting.items() if e[0] <= passed), key=lambda x: (x[1][0], x[0])):
-            if not live or at - last > us:
-                epoch, won = epoch + 1, False
-            if op == "claim" and not won:
-                out.append((*key, epoch, claim_id, owner))
-                won = True
-            live, last = op not in ("release", "complete"), at
-        rest = {i: e for i, e in waiting.items() if e[0] > passed}
+        (epoch, last, live, won), rest, wins = _advance((epoch, last, live, won), waiting, passed, us)
+        out = [(*key, *w) for w in wins]
         gone = last + us + remembered * 1_000_000
         if rest or gone > passed:
             cols = [list(c) for c in zip(*rest.values())] if rest else [[], [], []]
@@ -68,15 +85,68 @@ def lease_step(lease: int = LEASE_SECONDS, remembered: int = REMEMBERED_SECONDS)
     return step
 
 
+def _packed(units: dict) -> tuple[int, bytes]:
+    """Units as compressed JSON, with its length."""
+    text = json.dumps([(*k, *u, [(i, *e) for i, e in w.items()]) for k, (u, w) in units.items()], separators=(",", ":")).encode()
+    return len(text), pa.compress(text, codec="zstd", asbytes=True)
+
+
+def _unpacked(size: int, data: bytes) -> dict:
+    """(stage, uid, content_key) -> ((epoch, last, live, won), waiting events by claim_id)."""
+    return {tuple(x[:3]): (tuple(x[3:7]), {i: tuple(e) for i, *e in x[7]}) for x in json.loads(pa.decompress(bytes(data), size, codec="zstd", asbytes=True))}
+
+
+def bucket_step(lease: int = LEASE_SECONDS, remembered: int = REMEMBERED_SECONDS):
+    """What `lease_step` does, for all units of a bucket: one state, and a timer for whatever is due first among them.
+
+    The state is as large as the bucket's units: those of the last 90 days, and the events that wait.
+    """
+    us = lease * 1_000_000
+
+    def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        units = _unpacked(*state.get) if state.exists else {}
+        if not state.hasTimedOut:
+            for f in frames:
+                for stage, uid, content_key, claim_id, at, op, owner in zip(*(f[c].tolist() for c in ("stage", "uid", "content_key", "claim_id", "at", "op", "owner"))):
+                    k = (stage, uid, content_key)
+                    if k not in units:
+                        units[k] = ((0, 0, False, False), {})
+                    units[k][1].setdefault(int(claim_id), (int(at), op, owner))
+        passed = state.getCurrentWatermarkMs() * 1000
+        out, kept, timer = [], {}, None
+        for k, (unit, waiting) in units.items():
+            unit, rest, wins = _advance(unit, waiting, passed, us)
+            out += [(*k, *w) for w in wins]
+            gone = unit[1] + us + remembered * 1_000_000
+            if rest or gone > passed:
+                kept[k] = (unit, rest)
+                # a timer rings at watermarks beyond it: for an event, at the first millisecond that covers it
+                due = max(1, -(-min(e[0] for e in rest.values()) // 1000) - 1) if rest else gone // 1000 + 1
+                timer = due if timer is None else min(timer, due)
+        if kept:
+            state.update(_packed(kept))
+            state.setTimeoutTimestamp(timer)
+        elif state.exists:
+            state.remove()
+        if out:
+            yield pd.DataFrame(out, columns=["stage", "uid", "content_key", "epoch", "claim_id", "owner"])
+
+    return step
+
+
 def _events(events: DataFrame, late: str) -> DataFrame:
     """Rows without uid or event time are left out; event times carry the watermark."""
     return events.filter("uid is not null and event_at is not null").withColumn("event_at", F.col("event_at").cast("timestamp")).withWatermark("event_at", late)
 
 
-def claims_won(events: DataFrame, lease: int = LEASE_SECONDS, late: str = LATE) -> DataFrame:
-    """The stream of won claims, of events up to the watermark. Keys of a stream must not be null, so null parts read as ''."""
+def claims_won(events: DataFrame, lease: int = LEASE_SECONDS, late: str = LATE, buckets: int = BUCKETS) -> DataFrame:
+    """The stream of won claims, of events up to the watermark. Keys of a stream must not be null, so null parts read as ''.
+
+    A batch rewrites the states of the buckets its events fall in: more buckets suit small batches over very many units.
+    """
     e = _events(events, late).select("claim_id", F.coalesce("stage", F.lit("")).alias("stage"), "uid", F.coalesce("content_key", F.lit("")).alias("content_key"), "op", "owner", "event_at", F.unix_micros("event_at").alias("at"))
-    return e.groupBy("stage", "uid", "content_key").applyInPandasWithState(lease_step(lease), WINS, _STATE, "append", GroupStateTimeout.EventTimeTimeout)
+    e = e.withColumn("bucket", F.pmod(F.xxhash64("stage", "uid", "content_key"), F.lit(buckets)).cast("int"))
+    return e.groupBy("bucket").applyInPandasWithState(bucket_step(lease), WINS, _BUCKET_STATE, "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def sessions(events: DataFrame, lease: int = LEASE_SECONDS, late: str = LATE) -> DataFrame:

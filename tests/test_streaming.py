@@ -79,3 +79,46 @@ def test_silent_units_are_forgotten():
     assert run([]) == [("s", "u", "k", 1, 7, "w")] and g.value[:4] == (1, 10_000_000, True, True) and not g.value[4]
     g.watermark = g.timer
     assert g.timer == 10_000 + 60_000 + 3_600_000 + 1 and run([]) == [] and g.value is None
+
+
+def test_units_share_states(spark):
+    """Thousands of units need no state and no call of Python each, and win what the batch gives."""
+    late = [(10_000 + i, "a", "u1", "claim", "w9", "k", T0 + dt.timedelta(hours=30 + i), None) for i in range(2)]
+    rows = [(i, "s", f"u{i % 1500}", ("claim", "touch", "complete")[i // 1500 % 3], f"w{i}" if i % 7 else None, f"ké{i % 3}" if i % 5 else None, T0 + dt.timedelta(seconds=7 * i % 50_000), None) for i in range(6000)] + late
+    at = shared_table(spark, "events").removeprefix("file://")
+    spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(f"file://{at}/claims.parquet")
+    stream = lease.claims_won(lease.read_events(spark, f"file://{at}/claims.parquet"), buckets=8)
+    q = stream.writeStream.format("memory").queryName("shared_states").trigger(availableNow=True).start()
+    q.awaitTermination()
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress]
+    assert 0 < max(held) <= 8
+    key = lambda df: sorted((x.stage, x.uid, x.content_key or "", x.epoch, x.claim_id, x.owner or "") for x in df.collect())
+    known = spark.createDataFrame([x for x in rows if x[6] <= late[-1][6] - dt.timedelta(hours=6)], SCHEMA)
+    want = key(ledger.winners(known))
+    assert len(want) == 3000 and key(spark.table("shared_states")) == want
+
+
+def test_an_event_at_the_watermark_is_given_out(spark):
+    """The last event is at 30 h, so the watermark is at 24 h: events up to that very millisecond have passed."""
+    ms = [-2, -1, 0, 1]
+    rows = [(k, "s", f"u{k}", "claim", "w", "k", T0 + dt.timedelta(hours=24, milliseconds=m), None) for k, m in enumerate(ms)] + [(9, "s", "u9", "claim", "w", "k", T0 + dt.timedelta(hours=30), None)]
+    assert sorted(x.claim_id for x in streamed(spark, [rows], lease.claims_won).collect()) == [0, 1, 2]
+
+
+def test_units_of_a_bucket_wait_and_are_forgotten_apart():
+    step, g = lease.bucket_step(lease=60, remembered=3600), Group(0)
+    rows = pd.DataFrame([("s", "u", None, 7, 10_000_000, "claim", "w"), ("s", "v", "k", 8, 20_000_500, "claim", None)], columns=["stage", "uid", "content_key", "claim_id", "at", "op", "owner"])
+    run = lambda frames: [tuple(x) for f in step((3,), iter(frames), g) for x in f.itertuples(index=False)]
+    units = lambda: sorted(k[1] for k in lease._unpacked(*g.value))
+    assert run([rows, rows]) == [] and g.timer == 9_999 and units() == ["u", "v"]
+    g.hasTimedOut, g.watermark = True, 10_000
+    assert run([]) == [("s", "u", None, 1, 7, "w")] and g.timer == 20_000
+    g.watermark = 20_001
+    assert run([]) == [("s", "v", "k", 1, 8, None)] and g.timer == 10_000 + 60_000 + 3_600_000 + 1
+    g.watermark = g.timer + 1
+    assert run([]) == [] and units() == ["v"] and g.timer == 20_000 + 60_000 + 3_600_000 + 1
+    again = pd.DataFrame([("s", "v", "k", 9, g.watermark * 1000, "touch", "w"), ("s", "v", "k", 10, g.watermark * 1000, "claim", "x")], columns=rows.columns)
+    g.hasTimedOut = False
+    assert run([again]) == [("s", "v", "k", 2, 10, "x")]
+    g.hasTimedOut, g.watermark = True, g.timer + 1
+    assert run([]) == [] and g.value is None
